@@ -168,3 +168,34 @@ cte("hits", """
     SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, topic,
                                  chunk_start, line_no) AS rank
     FROM relevant) WHERE rank <= 5""", ["relevant"])
+
+# --- input, ingest, audits ----------------------------------------------------
+cte("input", """
+  SELECT Question AS question, Answer AS answer, replace(Category, ' ', '-') AS topic,
+         conv_id, turn
+  FROM raw_qna WHERE Category IS NOT NULL""", ["raw_qna"])
+cte("ingested", """
+  SELECT topic, CAST(row_number() OVER (PARTITION BY topic ORDER BY conv_id, turn) AS BIGINT) AS id,
+         coalesce(question, '') AS question, coalesce(answer, '') AS answer, conv_id, turn
+  FROM input""", ["input"])
+cte("wiki_input", """
+  SELECT '' AS question, paragraph AS answer, topic, doc_id FROM raw_wiki""", ["raw_wiki"])
+cte("wiki_validated", """
+  SELECT *, CASE WHEN question IS NULL AND answer IS NULL AND topic IS NULL THEN 'empty row'
+                 WHEN topic IS NULL THEN 'missing topic column'
+                 WHEN trim(topic) = '' THEN 'empty topic' END AS reject_reason
+  FROM wiki_input""", ["wiki_input"])
+cte("gapped_index", """
+  SELECT c.* FROM chunk_index c JOIN (
+    SELECT topic, row_number() OVER (ORDER BY topic) AS tpos FROM (SELECT DISTINCT topic FROM chunk_index)) t
+    USING (topic)
+  WHERE NOT (t.tpos % 2 = 0 AND c.chunkStart = (SELECT min(chunkStart) FROM chunk_index) + 10)""",
+    ["chunk_index"])
+cte("kw_chunked", """
+  SELECT topic, id, keywords,
+         CAST((row_number() OVER (PARTITION BY topic ORDER BY id) - 1) // 10 AS BIGINT) AS chunk
+  FROM keyword_rows""", ["keyword_rows"])
+cte("kw_index", """
+  SELECT topic, chunk, keyword, list_sort(list(CAST(id AS BIGINT))) AS ids FROM (
+    SELECT topic, chunk, id, unnest(keywords) AS keyword FROM kw_chunked)
+  GROUP BY ALL""", ["kw_chunked"])
