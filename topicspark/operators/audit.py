@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicspark.operators.numbering import number_rows
+from topicspark.operators.numbering import number_rows, number_rows_nested
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -66,13 +66,21 @@ def topic_counts(expected: DataFrame, rows: DataFrame) -> DataFrame:
                     .select("topic", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")))
 
 
+def _positions(df: DataFrame, outer: list[str], order: list[str], value: str) -> DataFrame:
+    cols = [*outer, *order]
+    if outer:
+        return number_rows_nested(df.select(*cols, value), outer, order, "idx")
+    return number_rows(df.select(*cols, value), [], order, "idx")
+
+
 def first_mismatch(a: DataFrame, a_order: list[str], b: DataFrame, b_order: list[str],
-                   col: str = "question") -> DataFrame:
+                   col: str = "question", a_outer: list[str] | None = None,
+                   b_outer: list[str] | None = None) -> DataFrame:
     """First position where trimmed ``col`` differs between two tables
-    compared row by row in their orders; rows beyond the shorter side are
-    ignored. Empty when they agree."""
-    ai = number_rows(a.select(*a_order, F.col(col).alias("_a")), [], a_order, "idx")
-    bi = number_rows(b.select(*b_order, F.col(col).alias("_b")), [], b_order, "idx")
+    compared row by row in their orders ((outer keys, order keys) each);
+    rows beyond the shorter side are ignored. Empty when they agree."""
+    ai = _positions(a.withColumnRenamed(col, "_a"), a_outer or [], a_order, "_a")
+    bi = _positions(b.withColumnRenamed(col, "_b"), b_outer or [], b_order, "_b")
     return (ai.join(bi, "idx")
               .filter(~F.trim("_a").eqNullSafe(F.trim("_b")))
               .orderBy("idx").limit(1)

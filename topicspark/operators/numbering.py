@@ -97,3 +97,22 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
         F.col("_ts_b") == F.col("_ts_bc")]
     out = local.join(_maybe_broadcast(offsets, n_buckets + 2 * n_groups), ocond, "inner")
     return out.select(*df.columns, (F.col("_ts_local") + F.col("_ts_off")).cast("long").alias(name))
+
+
+def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str],
+                       name: str = "rn") -> DataFrame:
+    """Global 1-based position in the order (``outer`` keys, then ``order``),
+    for outer keys of any type (e.g. topic names): positions within each
+    outer group come from ``number_rows``; a group's offset is the row count
+    of the groups before it, from a table with one row per group."""
+    local = number_rows(df, outer, order, "_ts_local")
+    counts = df.groupBy(*outer).agg(F.count(F.lit(1)).alias("_ts_n"))
+    okeys = [f"_ts_x{i}" for i in range(len(outer))]
+    offs = counts.select(*[F.col(c).alias(k) for c, k in zip(outer, okeys)], F.coalesce(
+        F.sum("_ts_n").over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in outer])
+                            .rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("_ts_goff"))
+    n_groups = counts.count()
+    cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(outer, okeys)]
+    out = local.join(_maybe_broadcast(offs, n_groups), cond, "inner")
+    return out.select(*df.columns, (F.col("_ts_goff") + F.col("_ts_local")).cast("long").alias(name))

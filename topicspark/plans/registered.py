@@ -1,3 +1,3 @@
 """The registered queries, grouped by SURVEY section 2 family."""
 
-from topicspark.plans import q_ingest, q_search  # noqa: F401
+from topicspark.plans import q_audit, q_ingest, q_search, q_text  # noqa: F401
