@@ -39,45 +39,47 @@ def _squares(tc: DataFrame, key: list[str], name: str) -> DataFrame:
 
 def score_pairs(queries: DataFrame, lines: DataFrame, qkey: str = "qid",
                 qtext: str = "query", lkey: list[str] | None = None,
-                ltext: str = "row_text", n_queries: int | None = None) -> DataFrame:
-    """T1 over every (query, line) pair that shares a term: (qid, lkey..., score).
-
-    J5 is the join of line terms with the (broadcast) query terms.
-    """
+                ltext: str = "row_text", n_queries: int | None = None,
+                carry: list[str] | None = None) -> DataFrame:
+    """T1 over every (query, line) pair that shares a term:
+    (qid, lkey..., carry..., score).
+
+    J5 is the join of line terms with the (broadcast) query terms. Lines are
+    hash-partitioned on their key once; the per-line sums and the
+    per-(query, line) aggregate all reuse that partitioning."""
     lkey = lkey or ["topic", "chunk_start", "chunk_end", "line_no"]
+    carry = [c for c in (carry if carry is not None else [ltext, "row_id"]) if c in lines.columns]
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
     qtc = term_counts(queries, [qkey], qtext)
-    q2 = _squares(qtc, [qkey], "Q2")
-    qt = qtc.join(q2, qkey).select(qkey, "term", F.col("cnt").alias("q"), "Q2")
-    ltc = term_counts(lines, lkey, ltext)
-    d2 = _squares(ltc, lkey, "D2")
+    qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
+             .select(qkey, "term", F.col("cnt").alias("q"), "Q2"))
+    ltc = (lines.repartition(*[F.col(k) for k in lkey])
+                .select(*lkey, *carry, F.explode(tokens(ltext)).alias("term"))
+                .groupBy(*lkey, *carry, "term").agg(F.count(F.lit(1)).alias("cnt"))
+                .withColumn("D2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(*lkey))))
     if n_queries is None:
         n_queries = queries.count()
-    # Rough bound: distinct terms per query are capped by the query text; use
-    # the checked term count when it is small enough.
+    # The query-term table has at most (terms per query) x queries rows;
+    # count it when the query count allows, broadcast it when small.
     n_terms = qt.count() if n_queries <= MAX_BROADCAST_TERMS else MAX_BROADCAST_TERMS + 1
     qside = F.broadcast(qt) if n_terms <= MAX_BROADCAST_TERMS else qt
     pairs = (ltc.join(qside, "term")
-                .groupBy(qkey, *lkey)
-                .agg(F.first("Q2").alias("Q2"),
-                     F.sum(F.col("q") * F.col("cnt")).alias("dot"),
+                .groupBy(qkey, *lkey, *carry, "Q2", "D2")
+                .agg(F.sum(F.col("q") * F.col("cnt")).alias("dot"),
                      F.sum(F.col("q") * F.col("q")).alias("sq"),
                      F.sum(F.col("cnt") * F.col("cnt")).alias("sd")))
-    return (pairs.join(d2, lkey)
-                 .select(qkey, *lkey,
-                         (F.col("dot") / (F.sqrt(F.col("sq") + c2 * (F.col("Q2") - F.col("sq")))
-                                          * F.sqrt(F.col("sd") + c2 * (F.col("D2") - F.col("sd")))))
-                         .alias("score")))
+    return pairs.select(qkey, *lkey, *carry,
+                        (F.col("dot") / (F.sqrt(F.col("sq") + c2 * (F.col("Q2") - F.col("sq")))
+                                         * F.sqrt(F.col("sd") + c2 * (F.col("D2") - F.col("sd")))))
+                        .alias("score"))
 
 
 def relevant_lines(queries: DataFrame, lines: DataFrame, threshold: float = DEFAULT_THRESHOLD,
                    qkey: str = "qid", qtext: str = "query", n_queries: int | None = None) -> DataFrame:
     """Lines scoring strictly above ``threshold``:
-    (qid, score, row_text, row_id, chunk_start, chunk_end, topic, line_no)."""
-    lkey = ["topic", "chunk_start", "chunk_end", "line_no"]
-    scored = score_pairs(queries, lines, qkey, qtext, lkey, n_queries=n_queries)
-    return (scored.filter(F.col("score") > F.lit(threshold))
-                  .join(lines.select(*lkey, "row_text", "row_id"), lkey))
+    (qid, topic, chunk_start, chunk_end, line_no, row_text, row_id, score)."""
+    scored = score_pairs(queries, lines, qkey, qtext, n_queries=n_queries)
+    return scored.filter(F.col("score") > F.lit(threshold))
 
 
 def top_hits(relevant: DataFrame, k: int = DEFAULT_K, qkey: str = "qid") -> DataFrame:

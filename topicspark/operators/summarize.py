@@ -92,29 +92,64 @@ def textrank_scores(vec: DataFrame, sents: DataFrame, key: list[str],
     return r.select(*key, "pos", F.col("r").alias("score"))
 
 
+def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
+    """(key, pos, sentence, score) for every sentence, degree centrality.
+
+    Written with window functions and aggregates only: all of them accept
+    the (row key) hash partitioning of ``base``, so after the one
+    repartition no further exchange is planned (joins would re-shuffle on
+    all their keys)."""
+    split = F.split(F.regexp_replace(F.col("text"), SENTENCE_BREAK, "$1\n"), "\n")
+    row = Window.partitionBy(*key)
+    # Blank pieces stay as rows (flag ``blank``) so that a row without any
+    # sentence still reaches the final aggregate and gets ''.
+    sents = (base.select(*key, F.posexplode(split).alias("pos", "sentence"))
+                 .withColumn("sentence", F.trim("sentence"))
+                 .withColumn("blank", F.col("sentence") == "")
+                 .withColumn("n", F.count(F.when(~F.col("blank"), F.lit(1))).over(row)))
+    # One row per (sentence, term); a sentence without tokens keeps one row
+    # with a null term (weight 0).
+    tf = (sents.select(*key, "pos", "sentence", "blank", "n",
+                       F.explode_outer(tokens("sentence")).alias("term"))
+               .groupBy(*key, "pos", "sentence", "blank", "n", "term")
+               .agg(F.count(F.lit(1)).alias("tf")))
+    by_term = Window.partitionBy(*key, "term")
+    by_sent = Window.partitionBy(*key, "pos")
+    w = (tf.withColumn("df", F.count(F.lit(1)).over(by_term))
+           .withColumn("w", F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(
+               F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)))
+           .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_sent)))
+           .withColumn("sv", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(F.lit(0.0)))
+           .withColumn("tw", F.sum("sv").over(by_term)))
+    return w.groupBy(*key, "pos", "sentence", "blank").agg(
+        F.sum(F.col("sv") * F.col("tw")).alias("score"))
+
+
 def summarize(df: DataFrame, key: list[str], question: str = "question",
               answer: str = "answer", top: int = 3, method: str = "degree",
               out: str = "summary") -> DataFrame:
     """One row per input row: (key, summary)."""
     from topicspark.session import checkpoint_dir
-    if method == "textrank":
-        checkpoint_dir(df.sparkSession)
     base = (df.select(*key, qa_text(question, answer).alias("text"))
               .repartition(*[F.col(k) for k in key]))
-    sents = sentences(base, key)
-    vec = sentence_vectors(sents, key)
     if method == "degree":
-        scores = degree_scores(vec, key)
+        scored = _degree_ranked(base, key)
     elif method == "textrank":
-        scores = textrank_scores(vec, sents, key)
+        checkpoint_dir(df.sparkSession)
+        split = F.split(F.regexp_replace(F.col("text"), SENTENCE_BREAK, "$1\n"), "\n")
+        pieces = (base.select(*key, F.posexplode(split).alias("pos", "sentence"))
+                      .withColumn("sentence", F.trim("sentence"))
+                      .withColumn("blank", F.col("sentence") == ""))
+        sents = pieces.filter(~F.col("blank")).drop("blank")
+        scores = textrank_scores(sentence_vectors(sents, key), sents, key)
+        scored = pieces.join(scores, [*key, "pos"], "left").fillna(0.0, ["score"])
     else:
         raise ValueError(f"unknown method {method!r}")
-    ranked = (sents.join(scores, [*key, "pos"], "left").fillna(0.0, ["score"])
-                   .withColumn("rk", F.row_number().over(
-                       Window.partitionBy(*key).orderBy(F.round("score", 9).desc(), "pos")))
-                   .filter(F.col("rk") <= top))
-    picked = ranked.groupBy(*key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))),
-                                 lambda s: s["sentence"]), " ").alias(out))
-    return (base.select(*key).join(picked, key, "left")
-                .select(*key, F.coalesce(F.col(out), F.lit("")).alias(out)))
+    # Blank pieces sort last and are never picked.
+    ranked = scored.withColumn("rk", F.row_number().over(
+        Window.partitionBy(*key).orderBy("blank", F.round("score", 9).desc(), "pos")))
+    pick = (F.col("rk") <= top) & ~F.col("blank")
+    return ranked.groupBy(*key).agg(
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.when(pick, F.struct("pos", "sentence")))),
+            lambda s: s["sentence"]), " ").alias(out))
