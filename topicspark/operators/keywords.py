@@ -35,11 +35,15 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
 
     The phrase-frequency join is keyed by phrase; a phrase present in most
     rows is a hot key, which the adaptive skew-join split handles."""
-    toks = docs.select(*key, F.posexplode(tokens(text)).alias("p", "tok"))
-    nxt = toks.select(*key, (F.col("p") - 1).alias("p"), F.col("tok").alias("tok2"))
-    bigrams = toks.join(nxt, [*key, "p"]).select(
-        *key, F.concat_ws(" ", "tok", "tok2").alias("phrase"))
-    phrases = toks.select(*key, F.col("tok").alias("phrase")).unionByName(bigrams)
+    # Unigrams and bigrams are built inside each row (no token join); the
+    # rows are clustered by key once so the per-row counts need no exchange.
+    t = F.col("_toks")
+    bigrams = F.transform(F.sequence(F.lit(2), F.greatest(F.size(t), F.lit(2))),
+                          lambda i: F.concat_ws(" ", F.element_at(t, i - 1), F.element_at(t, i)))
+    grams = F.when(F.size(t) >= 2, F.concat(t, bigrams)).otherwise(t)
+    phrases = (docs.select(*key, text).repartition(*[F.col(k) for k in key])
+                   .select(*key, tokens(text).alias("_toks"))
+                   .select(*key, F.explode(grams).alias("phrase")))
     tf = phrases.groupBy(*key, "phrase").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = docs.agg(F.count(F.lit(1)).alias("N"))
     dfreq = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))

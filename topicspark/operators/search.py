@@ -53,7 +53,11 @@ def score_pairs(queries: DataFrame, lines: DataFrame, qkey: str = "qid",
     qtc = term_counts(queries, [qkey], qtext)
     qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
              .select(qkey, "term", F.col("cnt").alias("q"), "Q2"))
-    ltc = (lines.repartition(*[F.col(k) for k in lkey])
+    # An explicit partition count: the lines are small in bytes but the
+    # pairs built from them are many, so the shuffle must not be coalesced
+    # into a few tasks.
+    n_parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ltc = (lines.repartition(n_parts, *[F.col(k) for k in lkey])
                 .select(*lkey, *carry, F.explode(tokens(ltext)).alias("term"))
                 .groupBy(*lkey, *carry, "term").agg(F.count(F.lit(1)).alias("cnt"))
                 .withColumn("D2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(*lkey))))
@@ -63,9 +67,12 @@ def score_pairs(queries: DataFrame, lines: DataFrame, qkey: str = "qid",
     # count it when the query count allows, broadcast it when small.
     n_terms = qt.count() if n_queries <= MAX_BROADCAST_TERMS else MAX_BROADCAST_TERMS + 1
     qside = F.broadcast(qt) if n_terms <= MAX_BROADCAST_TERMS else qt
+    # Per-line values ride along as first(): they are constant per group and
+    # stay out of the grouping hash key.
     pairs = (ltc.join(qside, "term")
-                .groupBy(qkey, *lkey, *carry, "Q2", "D2")
-                .agg(F.sum(F.col("q") * F.col("cnt")).alias("dot"),
+                .groupBy(qkey, *lkey)
+                .agg(*[F.first(c).alias(c) for c in (*carry, "Q2", "D2")],
+                     F.sum(F.col("q") * F.col("cnt")).alias("dot"),
                      F.sum(F.col("q") * F.col("q")).alias("sq"),
                      F.sum(F.col("cnt") * F.col("cnt")).alias("sd")))
     return pairs.select(qkey, *lkey, *carry,
