@@ -105,3 +105,36 @@ def t4_find_articles(spark: SparkSession, sf: str) -> DataFrame:
     hits = top_hits(relevant_lines(q, summary_lines(ci), n_queries=n_q), 5)
     return fetch_articles(hits, art, bound=5 * n_q).select(
         "qid", "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
+
+
+@register("S10", O.sql("SELECT id, chunkStart, chunkEnd, topic, summary, "
+                       "strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedAt FROM chunk_index",
+                       "chunk_index"))
+def s10_store_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The chunk index stored (dynamic partition overwrite by topic) and read back;
+    the topics are stored twice to show that a rebuild replaces, not appends."""
+    from topicspark.session import scratch_path
+    from topicspark.sources import store
+    path = scratch_path(spark, "s10")
+    _, ci = _index(spark, sf)
+    store.write_chunk_index(ci, path)
+    store.write_chunk_index(spark.read.parquet(path).select(*ci.columns), path + "-2")
+    store.write_chunk_index(spark.read.parquet(path + "-2").select(*ci.columns), path)
+    back = spark.read.parquet(path)
+    return back.select("id", "chunkStart", "chunkEnd", F.col("topic").cast("string"), "summary",
+                       F.date_format("updatedAt", "yyyy-MM-dd HH:mm:ss").alias("updatedAt"))
+
+
+@register("S11", O.sql("SELECT chunkStart AS chunkstart, chunkEnd AS chunkend, topic, summary, "
+                       "strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedat FROM chunk_index",
+                       "chunk_index"))
+def s11_scan_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Scan of the stored chunk index: chunkstart, chunkend, topic, summary, updatedat."""
+    from topicspark.session import scratch_path
+    from topicspark.sources import store
+    path = scratch_path(spark, "s11")
+    _, ci = _index(spark, sf)
+    store.write_chunk_index(ci, path)
+    s = store.read_chunk_index(spark, path)
+    return s.select(F.col("chunkStart").alias("chunkstart"), F.col("chunkEnd").alias("chunkend"),
+                    "topic", "summary", F.date_format("updatedAt", "yyyy-MM-dd HH:mm:ss").alias("updatedat"))
