@@ -89,3 +89,14 @@ def test_stream_equals_batch_and_replay(spark):
     stream._batch_writer(table, fx.AS_OF)(batch, last)
     after = sorted(tuple(r) for r in stream.read_ingested(spark, table).select("topic", "id", "question").collect())
     assert before == after
+
+
+def test_topics_by_ranges_matches_python_sort(spark):
+    seqs = {"a": [(1, 10), (11, 20)], "b": [(1, 10)], "c": [(1, 10), (11, 20), (21, 30)],
+            "d": [(1, 10), (21, 30)], "e": [(1, 10), (11, 20)], "f": [(5, 5)], "g": [(1, 10), (11, 20), (21, 25)]}
+    rows = [(t, s, e) for t, lst in seqs.items() for s, e in lst]
+    ci = spark.createDataFrame(rows, "topic string, chunkStart long, chunkEnd long")
+    got = [r.topic for r in A.topics_by_ranges(ci).orderBy("position").collect()]
+    want = [t for t, _ in sorted(sorted(seqs.items()), key=lambda x: x[1], reverse=True)]
+    # Python's reverse sort keeps ties in input order (a before e): the same as our topic tie-break.
+    assert got == want

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicspark.operators.numbering import number_rows, number_rows_nested
+from topicspark.operators.numbering import dense_rank_values, number_rows, number_rows_nested
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -103,6 +103,42 @@ def chunk_gaps(ci: DataFrame) -> DataFrame:
              .select("topic", F.col("chunkEnd").alias("chunk_end"), "next_start"))
 
 
+def topics_by_ranges(ci: DataFrame) -> DataFrame:
+    """L4: topics ordered by their list of (chunkStart, chunkEnd) pairs
+    (ascending within a topic), descending; lists compare element by element
+    and a proper prefix is smaller. Output (topic, position, n_rows), ties by
+    topic name.
+
+    Exact without gathering a topic's list into one group: prefix doubling.
+    Every element (topic, i) starts with the dense rank of its pair; each
+    round ranks the pair (rank of the block at i, rank of the block at
+    i + k), the end of a list ranking below everything; after ceil(log2 L)
+    rounds the rank at i = 1 orders whole lists. Each round is an equi-join
+    on the unique key (topic, i) and a distributed dense rank; the table is
+    checkpointed between rounds."""
+    spark = ci.sparkSession
+    el = number_rows(ci.select("topic", "chunkStart", "chunkEnd"), ["topic"],
+                     ["chunkStart", "chunkEnd"], "i")
+    cur = dense_rank_values(el, ["chunkStart", "chunkEnd"], "r").select("topic", "i", "r")
+    cur = cur.checkpoint(eager=True)
+    longest = cur.agg(F.max("i")).first()[0] or 0
+    k = 1
+    while k < longest:
+        ahead = cur.select("topic", (F.col("i") - k).alias("i"), F.col("r").alias("r2"))
+        paired = (cur.join(ahead, ["topic", "i"], "left")
+                     .select("topic", "i", "r", F.coalesce("r2", F.lit(0)).cast("long").alias("r2")))
+        cur = dense_rank_values(paired, ["r", "r2"], "nr").select("topic", "i", F.col("nr").alias("r"))
+        cur = cur.checkpoint(eager=True)
+        k *= 2
+    first = cur.filter(F.col("i") == 1).select("topic", "r")
+    rows = ci.groupBy("topic").agg(
+        F.sum(F.abs(F.col("chunkEnd") - F.col("chunkStart")) + 1).cast("long").alias("n_rows"))
+    order = first.join(rows, "topic")
+    # One row per topic from here on.
+    return order.select("topic", F.row_number().over(
+        Window.orderBy(F.desc("r"), "topic")).cast("long").alias("position"), "n_rows")
+
+
 def page(df: DataFrame, k: int, n: int, order: list[str]) -> DataFrame:
     """L1: page ``k`` (0-based) of ``n`` rows in ``order``."""
     return df.orderBy(*order).offset(k * n).limit(n)

@@ -41,7 +41,8 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
     bigrams = F.transform(F.sequence(F.lit(2), F.greatest(F.size(t), F.lit(2))),
                           lambda i: F.concat_ws(" ", F.element_at(t, i - 1), F.element_at(t, i)))
     grams = F.when(F.size(t) >= 2, F.concat(t, bigrams)).otherwise(t)
-    phrases = (docs.select(*key, text).repartition(*[F.col(k) for k in key])
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    phrases = (docs.select(*key, text).repartition(n_parts, *[F.col(k) for k in key])
                    .select(*key, tokens(text).alias("_toks"))
                    .select(*key, F.explode(grams).alias("phrase")))
     tf = phrases.groupBy(*key, "phrase").agg(F.count(F.lit(1)).alias("tf"))

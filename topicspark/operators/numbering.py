@@ -116,3 +116,18 @@ def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str
     cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(outer, okeys)]
     out = local.join(_maybe_broadcast(offs, n_groups), cond, "inner")
     return out.select(*df.columns, (F.col("_ts_goff") + F.col("_ts_local")).cast("long").alias(name))
+
+
+def dense_rank_values(df: DataFrame, cols: list[str], name: str = "dr") -> DataFrame:
+    """Add ``name`` = dense rank (1-based) of the value tuple ``cols`` over the
+    whole table, ascending; the first column must be numeric. Distinct values
+    are numbered by ``number_rows`` and joined back (broadcast when their
+    counted number allows; a hot value is then no problem)."""
+    distinct = df.select(*cols).distinct()
+    ranked = number_rows(distinct, [], cols, name)
+    ranked = ranked.checkpoint(eager=True)
+    n = ranked.count()
+    keys = [f"_ts_v{i}" for i in range(len(cols))]
+    rk = ranked.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)], name)
+    cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(cols, keys)]
+    return df.join(_maybe_broadcast(rk, n), cond, "inner").drop(*keys)

@@ -93,26 +93,32 @@ def textrank_scores(vec: DataFrame, sents: DataFrame, key: list[str],
 
 
 def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, sentence, score) for every sentence, degree centrality.
+    """(key, pos, sentence, blank, score) for every sentence piece, degree
+    centrality.
 
-    Written with window functions and aggregates only: all of them accept
-    the (row key) hash partitioning of ``base``, so after the one
+    Written with window functions, aggregates and a union only: all of them
+    keep the (row key) hash partitioning of ``base``, so after the one
     repartition no further exchange is planned (joins would re-shuffle on
-    all their keys)."""
+    all their keys). Token rows carry no sentence text; the text is put
+    back by the final per-sentence aggregate."""
     split = F.split(F.regexp_replace(F.col("text"), SENTENCE_BREAK, "$1\n"), "\n")
-    row = Window.partitionBy(*key)
+    pieces = base.select(*key, split.alias("parts"))
+    # n = non-blank sentences of the row, counted inside the row.
+    pieces = pieces.withColumn("n", F.size(F.filter("parts", lambda x: F.trim(x) != "")))
     # Blank pieces stay as rows (flag ``blank``) so that a row without any
     # sentence still reaches the final aggregate and gets ''.
-    sents = (base.select(*key, F.posexplode(split).alias("pos", "sentence"))
-                 .withColumn("sentence", F.trim("sentence"))
-                 .withColumn("blank", F.col("sentence") == "")
-                 .withColumn("n", F.count(F.when(~F.col("blank"), F.lit(1))).over(row)))
+    sents = (pieces.select(*key, "n", F.posexplode("parts").alias("pos", "sentence"))
+                   .withColumn("sentence", F.trim("sentence"))
+                   .withColumn("blank", F.col("sentence") == ""))
     # One row per (sentence, term); a sentence without tokens keeps one row
-    # with a null term (weight 0).
-    tf = (sents.select(*key, "pos", "sentence", "blank", "n",
-                       F.explode_outer(tokens("sentence")).alias("term"))
-               .groupBy(*key, "pos", "sentence", "blank", "n", "term")
-               .agg(F.count(F.lit(1)).alias("tf")))
+    # with a null term (weight 0). The sentence text rides on the row of its
+    # first token only (null elsewhere), so sorts do not copy it per token.
+    toks = sents.select(*key, "pos", "n", "blank", "sentence",
+                        F.posexplode_outer(tokens("sentence")).alias("tp", "term"))
+    tf = (toks.groupBy(*key, "pos", "term")
+              .agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("tf"),
+                   F.max(F.when(F.coalesce(F.col("tp"), F.lit(0)) == 0, F.col("sentence"))).alias("stext"),
+                   F.first("blank").alias("blank")))
     by_term = Window.partitionBy(*key, "term")
     by_sent = Window.partitionBy(*key, "pos")
     w = (tf.withColumn("df", F.count(F.lit(1)).over(by_term))
@@ -121,7 +127,8 @@ def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
            .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_sent)))
            .withColumn("sv", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(F.lit(0.0)))
            .withColumn("tw", F.sum("sv").over(by_term)))
-    return w.groupBy(*key, "pos", "sentence", "blank").agg(
+    return w.groupBy(*key, "pos").agg(
+        F.max("stext").alias("sentence"), F.first("blank").alias("blank"),
         F.sum(F.col("sv") * F.col("tw")).alias("score"))
 
 
@@ -130,8 +137,12 @@ def summarize(df: DataFrame, key: list[str], question: str = "question",
               out: str = "summary") -> DataFrame:
     """One row per input row: (key, summary)."""
     from topicspark.session import checkpoint_dir
+    # An explicit partition count: the text is small in bytes next to the
+    # per-token rows made from it, so the exchange must not be coalesced
+    # down to a few tasks by input size.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = (df.select(*key, qa_text(question, answer).alias("text"))
-              .repartition(*[F.col(k) for k in key]))
+              .repartition(n_parts, *[F.col(k) for k in key]))
     if method == "degree":
         scored = _degree_ranked(base, key)
     elif method == "textrank":

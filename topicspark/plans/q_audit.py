@@ -221,3 +221,13 @@ def x1_distinct(spark: SparkSession, sf: str) -> DataFrame:
 def x2_difference(spark: SparkSession, sf: str) -> DataFrame:
     """Expected topics minus topics present in the chunk index."""
     return A.topics_difference(fx.expected_topics(spark, sf), _index(spark, sf)[1])
+
+
+@register("L4", O.sql("""
+  SELECT topic, CAST(row_number() OVER (ORDER BY pairs DESC, topic) AS BIGINT) AS position, n_rows FROM (
+    SELECT topic, list(struct_pack(s := chunkStart, e := chunkEnd) ORDER BY chunkStart, chunkEnd) AS pairs,
+           CAST(sum(abs(chunkEnd - chunkStart) + 1) AS BIGINT) AS n_rows
+    FROM gapped_index GROUP BY topic)""", "gapped_index"))
+def l4_topics_by_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Topics of the gapped chunk index ordered by their chunk-range lists, descending."""
+    return A.topics_by_ranges(_gapped(_index(spark, sf)[1]))
