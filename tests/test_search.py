@@ -63,3 +63,21 @@ def test_short_lines_dropped(spark):
         "id long, chunkStart long, chunkEnd long, topic string, summary string, updatedAt timestamp")
     rows = summary_lines(ci).select("row_text").collect()
     assert [r.row_text for r in rows] == ["2. abc"]  # 5 characters dropped, 6 kept
+
+
+def test_stored_index_equals_direct_search(spark):
+    import tempfile
+    from topicspark.operators.search import search_index, write_search_index
+    art = fx.articles(spark, SF_SMALL).cache()
+    ci = build_chunk_index(art, summarize(art, ["topic", "id"]), 10).cache()
+    base = tempfile.mkdtemp(prefix="ts-sidx-")
+    write_search_index(ci, base + "/terms", base + "/lines")
+    lines = summary_lines(ci)
+    q = fx.queries(spark, SF_SMALL).unionByName(
+        lines.limit(5).select((F.monotonically_increasing_id() + 1000).alias("qid"),
+                              F.col("row_text").alias("query"))).cache()
+    cols = ["qid", "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic"]
+    a = sorted(tuple(r) for r in smart_query(q, ci, art).select(*cols).withColumn("score", F.round("score", 9)).collect())
+    b = sorted(tuple(r) for r in search_index(q, base + "/terms", base + "/lines", art)
+               .select(*cols).withColumn("score", F.round("score", 9)).collect())
+    assert a == b and len(a) >= 5

@@ -126,3 +126,81 @@ def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
     out = fetch_articles(hits, articles, bound=k * n_q)
     return out.select(qkey, "rank", "score", "row_text", "answer", "chunk_start",
                       "chunk_end", "topic")
+
+
+# --- stored search index ----------------------------------------------------
+# The chunk index is built offline; the per-line term counts can be built
+# with it. A query then reads only the posting rows of its own terms: the
+# term table is range-partitioned and sorted by term, so the query's term
+# list, pushed into the parquet scan, skips row groups by their min/max.
+
+MAX_PUSHDOWN_TERMS = 100_000
+LINE_KEY = ["topic", "chunk_start", "chunk_end", "line_no"]
+
+
+def line_term_table(lines: DataFrame) -> DataFrame:
+    """(term, line key..., row_id, cnt, D2) for every summary line."""
+    n_parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (lines.repartition(n_parts, *[F.col(k) for k in LINE_KEY])
+                 .select(*LINE_KEY, "row_id", F.explode(tokens("row_text")).alias("term"))
+                 .groupBy(*LINE_KEY, "term").agg(F.first("row_id").alias("row_id"),
+                                                 F.count(F.lit(1)).alias("cnt"))
+                 .withColumn("D2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(*LINE_KEY))))
+
+
+def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str) -> None:
+    """Store the line texts (partitioned by topic) and the term table
+    (range-partitioned and sorted by term)."""
+    from topicspark.operators.chunks import summary_lines
+    lines = summary_lines(chunk_index)
+    (lines.select(*LINE_KEY, "row_id", "row_text").repartition("topic")
+          .write.mode("overwrite").partitionBy("topic").parquet(lines_path))
+    n_parts = int(chunk_index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (line_term_table(spark_lines(chunk_index.sparkSession, lines_path))
+        .repartitionByRange(n_parts, "term").sortWithinPartitions("term")
+        .write.mode("overwrite").parquet(terms_path))
+
+
+def spark_lines(spark, lines_path: str) -> DataFrame:
+    return spark.read.parquet(lines_path)
+
+
+def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles: DataFrame,
+                 k: int = DEFAULT_K, threshold: float = DEFAULT_THRESHOLD,
+                 qkey: str = "qid", qtext: str = "query") -> DataFrame:
+    """T5 against the stored search index; same output as ``smart_query``."""
+    spark = queries.sparkSession
+    c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
+    n_q = queries.count()
+    qtc = term_counts(queries, [qkey], qtext)
+    qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
+             .select(qkey, "term", F.col("cnt").alias("q"), "Q2")).cache()
+    n_terms = qt.count()
+    postings = spark.read.parquet(terms_path)
+    distinct_terms = qt.select("term").distinct()
+    if distinct_terms.count() <= MAX_PUSHDOWN_TERMS:
+        # The query terms are bounded by the query texts: a literal list for
+        # the scan filter (PushedFilters: In(term, ...)).
+        postings = postings.filter(F.col("term").isin([r.term for r in distinct_terms.collect()]))
+    qside = F.broadcast(qt) if n_terms <= MAX_BROADCAST_TERMS else qt
+    scored = (postings.join(qside, "term")
+                      .groupBy(qkey, *LINE_KEY)
+                      .agg(F.first("row_id").alias("row_id"), F.first("Q2").alias("Q2"),
+                           F.first("D2").alias("D2"),
+                           F.sum(F.col("q") * F.col("cnt")).alias("dot"),
+                           F.sum(F.col("q") * F.col("q")).alias("sq"),
+                           F.sum(F.col("cnt") * F.col("cnt")).alias("sd"))
+                      .select(qkey, *LINE_KEY, "row_id",
+                              (F.col("dot") / (F.sqrt(F.col("sq") + c2 * (F.col("Q2") - F.col("sq")))
+                                               * F.sqrt(F.col("sd") + c2 * (F.col("D2") - F.col("sd")))))
+                              .alias("score"))
+                      .filter(F.col("score") > F.lit(threshold)))
+    hits = top_hits(scored, k, qkey)
+    bound = k * n_q
+    h = F.broadcast(hits) if bound <= MAX_BROADCAST_TERMS else hits
+    # Line texts of the hits only: the topic filter of the broadcast hits
+    # prunes the partitions of the line table at run time.
+    texts = spark.read.parquet(lines_path).drop("row_id").join(h, LINE_KEY).select(
+        qkey, "rank", "score", "row_text", "row_id", *LINE_KEY)
+    out = fetch_articles(texts, articles, bound=bound)
+    return out.select(qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
