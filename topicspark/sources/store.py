@@ -33,15 +33,18 @@ def max_ids(existing: DataFrame) -> DataFrame:
     return existing.groupBy("topic").agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("max_id"))
 
 
-def allocate_ids(rows: DataFrame, existing: DataFrame | None, order: list[str]) -> DataFrame:
+def allocate_ids(rows: DataFrame, existing: DataFrame | None, order: list[str],
+                 base: DataFrame | None = None) -> DataFrame:
     """Per topic, ids max(id)+1 upward in ``order`` (the input order).
 
     Numbering is skew-safe (see ``number_rows``); the base comes from a
-    one-row-per-topic table."""
+    one-row-per-topic table: ``base`` (topic, max_id) when given, else the
+    max ids of ``existing``."""
     numbered = number_rows(rows, ["topic"], order, "_n")
-    if existing is None:
-        return numbered.withColumn("id", F.col("_n")).drop("_n")
-    base = max_ids(existing)
+    if base is None:
+        if existing is None:
+            return numbered.withColumn("id", F.col("_n")).drop("_n")
+        base = max_ids(existing)
     return (numbered.join(F.broadcast(base), "topic", "left")
                     .withColumn("id", (F.coalesce(F.col("max_id"), F.lit(0)) + F.col("_n")).cast("long"))
                     .drop("_n", "max_id"))

@@ -4,8 +4,9 @@
 number of files per micro-batch, ``foreachBatch`` running the batch ingest
 plan, progress kept in a checkpoint. A replayed batch id rewrites only its
 own ``batch_id`` partitions (dynamic partition overwrite), so the sink is
-idempotent; the id base of a batch is read from earlier batches only, so a
-replayed batch gets the same ids again.
+idempotent; the id base of a batch is the running max-id table of the
+batch before it (one row per topic), so a replayed batch gets the same ids
+again and no batch scans the whole table.
 """
 
 from __future__ import annotations
@@ -31,13 +32,27 @@ def input_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) ->
                     F.col("_metadata.file_name").alias("_file")))
 
 
+def _maxids_path(table: str) -> str:
+    return table.rstrip("/") + "_maxids"
+
+
 def _batch_writer(table: str, as_of: str):
+    """foreachBatch body. Besides the rows, every batch writes the running
+    max id per topic to ``<table>_maxids/batch_id=<b>`` (one row per
+    topic); batch b takes its id base from batch b - 1 only, so a batch
+    costs O(its rows + topics), not a scan of the table, and a replayed
+    batch gets the same ids."""
+    maxids = _maxids_path(table)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            existing = spark.read.parquet(table).filter(F.col("batch_id") < F.lit(batch_id))
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            existing = None
+        base = None
+        if batch_id > 0:
+            try:
+                base = (spark.read.parquet(maxids).filter(F.col("batch_id") == F.lit(batch_id - 1))
+                             .select(F.col("topic").cast("string"), "max_id"))
+            except Exception:  # noqa: BLE001 - no earlier batch wrote ids
+                base = None
         v = validate(batch)
         good = v.filter(F.col("reject_reason").isNull()).drop("reject_reason")
         # Input order inside a batch: file name, then position in the file
@@ -49,12 +64,21 @@ def _batch_writer(table: str, as_of: str):
         ordered = (good.withColumn("_pos", F.monotonically_increasing_id())
                        .join(F.broadcast(files), "_file"))
         nodes = to_node_rows(ordered, as_of)
-        rows = store.allocate_ids(nodes, existing, ["_file_rank", "_pos"])
+        rows = store.allocate_ids(nodes, None, ["_file_rank", "_pos"],
+                                  base=F.broadcast(base) if base is not None else None)
         (rows.select("topic", "id", "question", "answer", "keywords", "updatedAt")
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
              .repartition("topic").write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id", "topic").parquet(table))
+        written = (spark.read.parquet(table).filter(F.col("batch_id") == F.lit(batch_id))
+                        .groupBy(F.col("topic").cast("string").alias("topic"))
+                        .agg(F.max("id").alias("max_id")))
+        running = written if base is None else written.unionByName(base)
+        (running.groupBy("topic").agg(F.max("max_id").cast("long").alias("max_id"))
+                .withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id").parquet(maxids))
     return write
 
 
