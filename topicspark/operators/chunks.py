@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from topicspark.functions.text import fold_lines, normalize_line, render_line, row_id_of_line
 from topicspark.operators.numbering import number_rows
+from topicspark.operators.sizing import bounded_broadcast
 
 DEFAULT_CHUNK_SIZE = 500
 
@@ -62,8 +63,8 @@ def index_ids(chunks: DataFrame, topic_order: DataFrame | None = None) -> DataFr
         F.sum("_nchunks").over(Window.orderBy(F.col("_tpos").asc_nulls_last(), "topic")
                                .rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
-    # One row per topic: the topic list is metadata-sized.
-    return (chunks.join(F.broadcast(offs), "topic")
+    # One row per topic; broadcast after a counted size check.
+    return (chunks.join(bounded_broadcast(offs), "topic")
                   .withColumn("id", (F.col("_off") + F.col("chunk") + 1).cast("long"))
                   .drop("_off"))
 

@@ -13,6 +13,7 @@ from topicspark.operators.search import fetch_articles, relevant_lines, score_pa
 from topicspark.operators.summarize import summarize
 from topicspark.plans.q_ingest import _input, _wiki_input
 from topicspark.plans.q_search import CHUNK, _index
+from topicspark.operators.sizing import bounded_broadcast
 from topicspark.registry import register
 from topicspark.sources import fixtures as fx
 
@@ -23,7 +24,7 @@ def _gapped(ci: DataFrame) -> DataFrame:
     """The chunk index without chunk 1 of every second topic (by name)."""
     tpos = ci.select("topic").distinct().withColumn(
         "tpos", F.row_number().over(Window.orderBy("topic")))  # one row per topic
-    return (ci.join(F.broadcast(tpos), "topic")
+    return (ci.join(bounded_broadcast(tpos), "topic")
               .filter(~((F.col("tpos") % 2 == 0) & (F.col("chunkStart") == CHUNK + 1)))
               .drop("tpos"))
 
@@ -157,7 +158,7 @@ def j5_term_join(spark: SparkSession, sf: str) -> DataFrame:
     lkey = ["topic", "chunk_start", "chunk_end", "line_no"]
     qt = term_counts(fx.queries(spark, sf), ["qid"], "query").withColumnRenamed("cnt", "q")
     lt = term_counts(summary_lines(ci), lkey, "row_text")
-    return lt.join(F.broadcast(qt), "term").select("qid", *lkey, "term", "q", "cnt")
+    return lt.join(bounded_broadcast(qt), "term").select("qid", *lkey, "term", "q", "cnt")
 
 
 @register("W1", O.sql("SELECT topic, id, chunk FROM chunked", "chunked"))

@@ -24,6 +24,9 @@ _ORACLE: dict[str, str] = {}
 def register(name: str, oracle_sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Timestamps of the fixtures and the oracle are UTC wall clock;
+            # epoch values (F7, T8) need the session zone to agree.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return normalize(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

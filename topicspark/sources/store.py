@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicspark.operators.numbering import number_rows
+from topicspark.operators.sizing import bounded_broadcast
 from topicspark.schemas import ARTICLE, CHUNK_INDEX
 
 
@@ -45,7 +46,7 @@ def allocate_ids(rows: DataFrame, existing: DataFrame | None, order: list[str],
         if existing is None:
             return numbered.withColumn("id", F.col("_n")).drop("_n")
         base = max_ids(existing)
-    return (numbered.join(F.broadcast(base), "topic", "left")
+    return (numbered.join(bounded_broadcast(base), "topic", "left")
                     .withColumn("id", (F.coalesce(F.col("max_id"), F.lit(0)) + F.col("_n")).cast("long"))
                     .drop("_n", "max_id"))
 

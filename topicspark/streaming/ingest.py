@@ -65,7 +65,7 @@ def _batch_writer(table: str, as_of: str):
                        .join(F.broadcast(files), "_file"))
         nodes = to_node_rows(ordered, as_of)
         rows = store.allocate_ids(nodes, None, ["_file_rank", "_pos"],
-                                  base=F.broadcast(base) if base is not None else None)
+                                  base=base)
         (rows.select("topic", "id", "question", "answer", "keywords", "updatedAt")
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
              .repartition("topic").write.mode("overwrite")
