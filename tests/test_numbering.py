@@ -34,3 +34,16 @@ def test_null_keys_and_nested(spark):
     assert got == {(None, 1): 1, (None, 3): 2, ("a", None): 1, ("a", 2): 2, ("b", 5): 1}
     nested = {(r.k, r.v): r.rn for r in number_rows_nested(df, ["k"], ["v"], "rn").collect()}
     assert nested == {(None, 1): 1, (None, 3): 2, ("a", None): 3, ("a", 2): 4, ("b", 5): 5}
+
+
+def test_hot_group_is_split_and_exact(spark):
+    # One topic holds 9,000 of 10,000 rows.
+    df = spark.range(10_000).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("t"), (F.col("id") % 7).cast("string")))
+         .otherwise(F.lit("hot")).alias("topic"),
+        ((F.col("id") * 7919) % 10_007).alias("k"))
+    got = number_rows(df, ["topic"], ["k"], "rn", target_rows=500, bucket_col="b")
+    hot_buckets = got.filter("topic = 'hot'").select("b").distinct().count()
+    assert hot_buckets >= 15  # the hot group runs as many window partitions
+    ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("topic").orderBy("k")))
+    assert got.join(ref, ["topic", "k"]).filter(F.col("rn") != F.col("ref")).count() == 0

@@ -36,11 +36,12 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
                 name: str = "rn", descending: list[bool] | None = None,
-                target_rows: int = TARGET_ROWS) -> DataFrame:
+                target_rows: int = TARGET_ROWS, bucket_col: str | None = None) -> DataFrame:
     """Add ``name`` = 1-based position (long) of each row within its ``by``
     group in ``order``: ascending with nulls first, or descending with nulls
     last where ``descending`` says so. The first order key must be numeric;
     end ``order`` with a unique key so that the order is total.
+    ``bucket_col`` keeps the bucket of each row under that name.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -96,7 +97,9 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
     ocond = [F.col(k).eqNullSafe(F.col(k + "c")) for k in gkeys] + [
         F.col("_ts_b") == F.col("_ts_bc")]
     out = local.join(_maybe_broadcast(offsets, n_buckets + 2 * n_groups), ocond, "inner")
-    return out.select(*df.columns, (F.col("_ts_local") + F.col("_ts_off")).cast("long").alias(name))
+    extra = [F.col("_ts_b").alias(bucket_col)] if bucket_col else []
+    return out.select(*df.columns, (F.col("_ts_local") + F.col("_ts_off")).cast("long").alias(name),
+                      *extra)
 
 
 def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str],
