@@ -189,7 +189,7 @@ cte("gapped_index", """
   SELECT c.* FROM chunk_index c JOIN (
     SELECT topic, row_number() OVER (ORDER BY topic) AS tpos FROM (SELECT DISTINCT topic FROM chunk_index)) t
     USING (topic)
-  WHERE NOT (t.tpos % 2 = 0 AND c.chunkStart = (SELECT min(chunkStart) FROM chunk_index) + 10)""",
+  WHERE c.chunkStart <> t.tpos * 10 + 1""",
     ["chunk_index"])
 cte("kw_chunked", """
   SELECT topic, id, keywords,
