@@ -45,15 +45,19 @@ def fold_chunks(chunked_summaries: DataFrame) -> DataFrame:
                  .alias("summary")))
 
 
-def index_ids(chunks: DataFrame, topic_order: DataFrame | None = None) -> DataFrame:
+def index_ids(chunks: DataFrame, topic_order: DataFrame | None = None,
+              chunk_counts: DataFrame | None = None) -> DataFrame:
     """Global index id over (topic order, chunk), 1-based.
 
     ``topic_order`` (topic, topic_pos) gives the order of topics (the topic
     list order); by default topics are ordered by name. Offsets come from a
     per-topic chunk count table (one row per topic), so the big table is
-    never numbered in one task.
+    never numbered in one task. ``chunk_counts`` (topic, _nchunks) may be
+    given when it is cheaper to get than from ``chunks`` (the chunk
+    assignment alone decides it).
     """
-    per_topic = chunks.groupBy("topic").agg(F.count(F.lit(1)).alias("_nchunks"))
+    per_topic = (chunk_counts if chunk_counts is not None else
+                 chunks.groupBy("topic").agg(F.count(F.lit(1)).alias("_nchunks")))
     if topic_order is None:
         per_topic = per_topic.withColumn("_tpos", F.col("topic"))
     else:
@@ -80,7 +84,10 @@ def build_chunk_index(articles: DataFrame, summaries: DataFrame,
     chunked = assign_chunks(articles.select("topic", "id"), chunk_size)
     rows = chunked.join(summaries, ["topic", "id"], "left")
     folded = fold_chunks(rows)
-    with_ids = index_ids(folded, topic_order)
+    # Chunks per topic follow from the assignment alone: the offsets table is
+    # computed without running the summaries.
+    counts = chunked.groupBy("topic").agg((F.max("chunk") + 1).alias("_nchunks"))
+    with_ids = index_ids(folded, topic_order, counts)
     return with_ids.select(
         "id", F.col("chunk_start").alias("chunkStart"), F.col("chunk_end").alias("chunkEnd"),
         "topic", "summary", F.to_timestamp(F.lit(str(as_of))).alias("updatedAt"))
