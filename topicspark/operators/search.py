@@ -101,15 +101,31 @@ def top_hits(relevant: DataFrame, k: int = DEFAULT_K, qkey: str = "qid") -> Data
                     .filter(F.col("rank") <= k))
 
 
+MAX_LOOKUP_KEYS = 10_000
+
+
 def fetch_articles(hits: DataFrame, articles: DataFrame, bound: int | None = None) -> DataFrame:
     """Answer text of every hit by (topic, row id). Hits without an
     article drop out. ``bound`` is an upper bound on the hit count (k x
-    queries); when it is small the hits are broadcast, and the topic filter
-    reaches the article scan through dynamic partition pruning."""
+    queries).
+
+    Small hit sets are point lookups: the hits are checkpointed once, their
+    topics and ids go into the article scan as literal filters (partition
+    pruning on topic, row-group min/max on the id-sorted files), and the
+    exact match is a broadcast join. Larger hit sets join by shuffle."""
     h = hits.withColumn("id", F.col("row_id").cast("long")).drop("row_id")
-    if bound is not None and bound <= MAX_BROADCAST_TERMS:
-        h = F.broadcast(h)
-    return articles.select("topic", "id", "answer").join(h, ["topic", "id"])
+    arts = articles.select("topic", "id", "answer")
+    if bound is None or bound > MAX_BROADCAST_TERMS:
+        return arts.join(h, ["topic", "id"])
+    if bound <= MAX_LOOKUP_KEYS:
+        from topicspark.session import checkpoint_dir
+        checkpoint_dir(h.sparkSession)
+        h = h.checkpoint(eager=True)
+        keys = h.select("topic", "id").distinct().collect()  # at most ``bound`` rows
+        topics = sorted({r.topic for r in keys if r.topic is not None})
+        ids = sorted({r.id for r in keys if r.id is not None})
+        arts = arts.filter(F.col("topic").isin(topics) & F.col("id").isin(ids))
+    return arts.join(F.broadcast(h), ["topic", "id"])
 
 
 def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
@@ -153,7 +169,8 @@ def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str)
     (range-partitioned and sorted by term)."""
     from topicspark.operators.chunks import summary_lines
     lines = summary_lines(chunk_index)
-    (lines.select(*LINE_KEY, "row_id", "row_text").repartition("topic")
+    from topicspark.sources.store import cluster_for_write
+    (cluster_for_write(lines.select(*LINE_KEY, "row_id", "row_text"), LINE_KEY)
           .write.mode("overwrite").partitionBy("topic").parquet(lines_path))
     n_parts = int(chunk_index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (line_term_table(spark_lines(chunk_index.sparkSession, lines_path))

@@ -68,7 +68,7 @@ def _batch_writer(table: str, as_of: str):
                                   base=base)
         (rows.select("topic", "id", "question", "answer", "keywords", "updatedAt")
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .repartition("topic").write.mode("overwrite")
+             .transform(lambda d: store.cluster_for_write(d, ["topic", "id"])).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id", "topic").parquet(table))
         written = (spark.read.parquet(table).filter(F.col("batch_id") == F.lit(batch_id))
