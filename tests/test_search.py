@@ -81,3 +81,26 @@ def test_stored_index_equals_direct_search(spark):
     b = sorted(tuple(r) for r in search_index(q, base + "/terms", base + "/lines", art)
                .select(*cols).withColumn("score", F.round("score", 9)).collect())
     assert a == b and len(a) >= 5
+
+
+def test_exact_copies_tie_at_one(spark):
+    from conftest import SF_MID
+    art = fx.articles(spark, SF_MID).cache()
+    ci = build_chunk_index(art, summarize(art, ["topic", "id"]), 10).cache()
+    lines = summary_lines(ci).withColumn("body", F.regexp_replace("row_text", r"^\d+\.\s*", ""))
+    dup = (lines.groupBy("body").agg(F.count(F.lit(1)).alias("n"))
+                .filter((F.col("n") >= 3) & (F.length("body") > 40)).orderBy("body").first())
+    assert dup is not None
+    q = spark.createDataFrame([(1, dup.body)], "qid long, query string")
+    res = smart_query(q, ci, art, k=50).orderBy("rank").collect()
+    # Every copy is found. The row id is part of a line's text: one-digit ids
+    # are no token (a copy scores 1.0), longer ids add one token each, so
+    # copies tie in groups; within a tie, order is topic, chunk, line.
+    copies = {r.row_text for r in lines.filter(F.col("body") == dup.body).collect()}
+    assert copies <= {r.row_text for r in res} and len(copies) >= 3
+    groups = {}
+    for r in res:
+        groups.setdefault(round(r.score, 9), []).append((r.topic, r.chunk_start, r.rank))
+    assert any(len(g) >= 2 for g in groups.values())
+    for g in groups.values():
+        assert [x[:2] for x in g] == sorted(x[:2] for x in g)
