@@ -22,8 +22,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from topicspark.operators import audit as A  # noqa: E402
 from topicspark.operators.keywords import keyphrases, keyword_index  # noqa: E402
 from topicspark.operators.search import search_index, write_search_index  # noqa: E402

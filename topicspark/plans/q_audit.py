@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from topicspark import oracle as O
 from topicspark.operators import audit as A
-from topicspark.operators.chunks import assign_chunks, chunk_bounds, fold_chunks, index_ids, summary_lines
-from topicspark.operators.search import fetch_articles, relevant_lines, score_pairs, term_counts, top_hits
+from topicspark.operators.chunks import assign_chunks, chunk_bounds, fold_chunks, summary_lines
+from topicspark.operators.search import fetch_articles, relevant_lines, term_counts, top_hits
 from topicspark.operators.summarize import summarize
-from topicspark.plans.q_ingest import _input, _wiki_input
+from topicspark.plans.q_ingest import _input
 from topicspark.plans.q_search import CHUNK, _index
 from topicspark.operators.sizing import bounded_broadcast
 from topicspark.registry import register

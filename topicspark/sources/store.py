@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from topicspark.operators.numbering import number_rows
 from topicspark.operators.sizing import bounded_broadcast
