@@ -100,3 +100,21 @@ def test_topics_by_ranges_matches_python_sort(spark):
     want = [t for t, _ in sorted(sorted(seqs.items()), key=lambda x: x[1], reverse=True)]
     # Python's reverse sort keeps ties in input order (a before e): the same as our topic tie-break.
     assert got == want
+
+
+def test_ingest_csv_in_file_order(spark):
+    from topicspark.plans.ingest import ingest_csv
+    base = tempfile.mkdtemp(prefix="ts-csv-")
+    inp = _input(spark, SF_MID)
+    # Three files, each holding a contiguous run of the input order.
+    ordered = inp.select("question", "answer", "topic", "conv_id", "turn").repartitionByRange(3, "conv_id", "turn") \
+        .sortWithinPartitions("conv_id", "turn")
+    ordered.select("question", "answer", "topic").write.option("header", False) \
+        .option("quote", '"').option("escape", '"').csv(base + "/in")
+    res = ingest_csv(spark, base + "/in", base + "/table", fx.AS_OF)
+    got = store.read_articles(spark, base + "/table")
+    want = prepare_load(inp, None, fx.AS_OF, ["conv_id", "turn"]).rows
+    cols = ["topic", "id", "question", "answer"]
+    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
+    assert res.rejects.count() == 0

@@ -54,3 +54,25 @@ def ingest(inp: DataFrame, path: str, as_of: str, order: list[str]) -> LoadResul
     res = prepare_load(inp, existing, as_of, order)
     store.append_articles(res.rows, path)
     return res
+
+
+def with_input_order(df: DataFrame) -> DataFrame:
+    """Add the input order of CSV rows: (``_file_rank``, ``_pos``) = rank of
+    the file name, then the row's position in reading order. Splits of one
+    file are read in offset order, so positions follow the file. The file
+    list is metadata-sized (one row per file)."""
+    from pyspark.sql import Window
+    files = df.select("_file").distinct().withColumn(
+        "_file_rank", F.row_number().over(Window.orderBy("_file")).cast("long"))
+    from topicspark.operators.sizing import bounded_broadcast
+    return (df.withColumn("_pos", F.monotonically_increasing_id())
+              .join(bounded_broadcast(files), "_file"))
+
+
+def ingest_csv(spark, csv_path: str, table: str, as_of: str) -> LoadResult:
+    """The original's load: headerless (question, answer, topic) CSV files,
+    every row routed to its topic's partition with ids continuing the
+    topic's max id in file order; bad rows are returned as rejects."""
+    from topicspark.sources import csv_io
+    inp = csv_io.read_input_csv(spark, csv_path, with_file=True)
+    return ingest(with_input_order(inp), table, as_of, ["_file_rank", "_pos"])

@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from topicspark.schemas import INPUT
 
 
-def read_input_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_input_csv(spark: SparkSession, path: str, multi_line: bool = True,
+                   with_file: bool = False) -> DataFrame:
     """Headerless (question, answer, topic) CSV, RFC 4180 quoting.
 
     Empty question / answer fields read as '' (the reader gives null);
-    topic stays null so that validation rejects it."""
+    topic stays null so that validation rejects it. ``with_file`` adds the
+    file name as ``_file``."""
     df = (spark.read.schema(INPUT)
           .option("header", False).option("quote", '"').option("escape", '"')
           .option("multiLine", multi_line).csv(path))
+    extra = [F.col("_metadata.file_name").alias("_file")] if with_file else []
     return df.select(F.coalesce("question", F.lit("")).alias("question"),
-                     F.coalesce("answer", F.lit("")).alias("answer"), "topic")
+                     F.coalesce("answer", F.lit("")).alias("answer"), "topic", *extra)
 
 
 def read_headed_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
