@@ -47,3 +47,30 @@ def test_hot_group_is_split_and_exact(spark):
     assert hot_buckets >= 15  # the hot group runs as many window partitions
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("topic").orderBy("k")))
     assert got.join(ref, ["topic", "k"]).filter(F.col("rn") != F.col("ref")).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                               st.one_of(st.none(), st.integers(-10**9, 10**9))),
+                     min_size=1, max_size=60),
+       target=st.integers(1, 20), desc=st.booleans())
+def test_number_rows_property(spark, rows, target, desc):
+    data = [(g, v, i) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, v long, u long")
+    got = {r.u: r.rn for r in number_rows(df, ["g"], ["v", "u"], "rn", descending=[desc, False],
+                                          target_rows=target).collect()}
+    # Brute force: nulls first ascending, nulls last descending; ties by u.
+    want = {}
+    for g in {r[0] for r in data}:
+        members = [r for r in data if r[0] == g]
+        if desc:
+            members.sort(key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
+        else:
+            members.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for pos, r in enumerate(members, 1):
+            want[r[2]] = pos
+    assert got == want
