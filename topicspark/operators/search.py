@@ -147,8 +147,9 @@ def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
 # --- stored search index ----------------------------------------------------
 # The chunk index is built offline; the per-line term counts can be built
 # with it. A query then reads only the posting rows of its own terms: the
-# term table is range-partitioned and sorted by term, so the query's term
-# list, pushed into the parquet scan, skips row groups by their min/max.
+# term table is hash-partitioned by term and sorted by term within each
+# file, so the query's term list, pushed into the parquet scan, skips row
+# groups by their min/max (footers are read, most row groups are not).
 
 MAX_PUSHDOWN_TERMS = 100_000
 LINE_KEY = ["topic", "chunk_start", "chunk_end", "line_no"]
@@ -166,7 +167,7 @@ def line_term_table(lines: DataFrame) -> DataFrame:
 
 def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str) -> None:
     """Store the line texts (partitioned by topic) and the term table
-    (range-partitioned and sorted by term)."""
+    (hash-partitioned by term, sorted by term within files)."""
     from topicspark.operators.chunks import summary_lines
     lines = summary_lines(chunk_index)
     from topicspark.sources.store import cluster_for_write
@@ -174,7 +175,7 @@ def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str)
           .write.mode("overwrite").partitionBy("topic").parquet(lines_path))
     n_parts = int(chunk_index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (line_term_table(spark_lines(chunk_index.sparkSession, lines_path))
-        .repartitionByRange(n_parts, "term").sortWithinPartitions("term")
+        .repartition(n_parts, "term").sortWithinPartitions("term")
         .write.mode("overwrite").parquet(terms_path))
 
 
