@@ -17,7 +17,7 @@ TextRank (Mihalcea & Tarau 2004):
    in position order joined by one space; a row without text gives ''.
 
 Work is keyed by row: the input is hash-partitioned by the row key once,
-after which every aggregate and join below is keyed by (row key, ...) and
+after which every window and aggregate below is keyed by (row key, ...) and
 needs no further exchange.
 """
 
@@ -31,88 +31,26 @@ from topicspark.functions.text import qa_text, tokens
 SENTENCE_BREAK = r"([.!?])\s+"
 
 
-def sentences(df: DataFrame, key: list[str], text_col: str = "text") -> DataFrame:
-    """(key, pos, sentence) for every non-blank sentence of ``text_col``."""
-    split = F.split(F.regexp_replace(F.col(text_col), SENTENCE_BREAK, "$1\n"), "\n")
-    return (df.select(*key, F.posexplode(split).alias("pos", "sentence"))
-              .withColumn("sentence", F.trim("sentence"))
-              .filter(F.col("sentence") != ""))
-
-
-def sentence_vectors(sents: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, term, w): L2-normalised TF-IDF weights within each row."""
-    terms = (sents.select(*key, "pos", F.explode(tokens("sentence")).alias("term"))
-                  .groupBy(*key, "pos", "term").agg(F.count(F.lit(1)).alias("tf")))
-    n = sents.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    df_ = terms.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("df"))
-    w = (terms.join(df_, [*key, "term"]).join(n, key)
-              .withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)))
-    norm = w.groupBy(*key, "pos").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return (w.join(norm, [*key, "pos"])
-             .select(*key, "pos", "term", (F.col("w") / F.col("norm")).alias("w")))
-
-
-def degree_scores(vec: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, score) with score = s_pos . sum_j s_j."""
-    total = vec.groupBy(*key, "term").agg(F.sum("w").alias("tw"))
-    return (vec.join(total, [*key, "term"])
-               .groupBy(*key, "pos").agg(F.sum(F.col("w") * F.col("tw")).alias("score")))
-
-
-def textrank_scores(vec: DataFrame, sents: DataFrame, key: list[str],
-                    rounds: int = 10, damping: float = 0.85,
-                    cut_every: int = 3) -> DataFrame:
-    """(key, pos, score) by power iteration on the cosine graph.
-
-    S (sentences x terms) is applied as S (S^T x): no sentence pairs. The
-    plan is cut every ``cut_every`` rounds with a reliable checkpoint.
-    """
-    sv = vec.cache()
-    total = sv.groupBy(*key, "term").agg(F.sum("w").alias("tw"))
-    deg = (sv.join(total, [*key, "term"])
-             .groupBy(*key, "pos").agg(F.sum(F.col("w") * F.col("tw")).alias("deg")))
-    n = sents.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    r = (sents.select(*key, "pos").join(n, key)
-              .select(*key, "pos", (1.0 / F.col("n")).alias("r"), "n")
-              .join(deg, [*key, "pos"], "left")
-              .fillna(0.0, ["deg"]))
-    for i in range(rounds):
-        x = r.select(*key, "pos", F.when(F.col("deg") > 0, F.col("r") / F.col("deg"))
-                     .otherwise(F.lit(0.0)).alias("x"))
-        y = (sv.join(x, [*key, "pos"]).groupBy(*key, "term")
-               .agg(F.sum(F.col("w") * F.col("x")).alias("y")))
-        z = (sv.join(y, [*key, "term"]).groupBy(*key, "pos")
-               .agg(F.sum(F.col("w") * F.col("y")).alias("z")))
-        r = (r.join(z, [*key, "pos"], "left")
-              .select(*key, "pos", "n", "deg",
-                      ((1 - damping) / F.col("n") + damping * F.coalesce(F.col("z"), F.lit(0.0)))
-                      .alias("r")))
-        if (i + 1) % cut_every == 0:
-            r = r.checkpoint(eager=True)
-    return r.select(*key, "pos", F.col("r").alias("score"))
+def _sentence_weights(base: DataFrame, key: list[str]) -> DataFrame:
+    """Rows (key, pos, term, n, blank, stext, sv): the L2-normalised weight
+    ``sv`` of every term of every sentence piece.
 
-
-def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, sentence, blank, score) for every sentence piece, degree
-    centrality.
-
-    Written with window functions, aggregates and a union only: all of them
-    keep the (row key) hash partitioning of ``base``, so after the one
-    repartition no further exchange is planned (joins would re-shuffle on
-    all their keys). Token rows carry no sentence text; the text is put
-    back by the final per-sentence aggregate."""
+    Written with window functions and aggregates only: all of them keep the
+    (row key) hash partitioning of ``base``, so after the one repartition no
+    further exchange is planned (joins would re-shuffle on all their keys).
+    Blank pieces stay as rows (``blank``) so that a row without any sentence
+    still reaches the final aggregate and gets ''. The sentence text rides
+    on the row of its first token only (``stext``, null elsewhere), so sorts
+    do not copy it per token."""
     split = F.split(F.regexp_replace(F.col("text"), SENTENCE_BREAK, "$1\n"), "\n")
     pieces = base.select(*key, split.alias("parts"))
     # n = non-blank sentences of the row, counted inside the row.
     pieces = pieces.withColumn("n", F.size(F.filter("parts", lambda x: F.trim(x) != "")))
-    # Blank pieces stay as rows (flag ``blank``) so that a row without any
-    # sentence still reaches the final aggregate and gets ''.
     sents = (pieces.select(*key, "n", F.posexplode("parts").alias("pos", "sentence"))
                    .withColumn("sentence", F.trim("sentence"))
                    .withColumn("blank", F.col("sentence") == ""))
     # One row per (sentence, term); a sentence without tokens keeps one row
-    # with a null term (weight 0). The sentence text rides on the row of its
-    # first token only (null elsewhere), so sorts do not copy it per token.
+    # with a null term (weight 0).
     toks = sents.select(*key, "pos", "n", "blank", "sentence",
                         F.posexplode_outer(tokens("sentence")).alias("tp", "term"))
     tf = (toks.groupBy(*key, "pos", "term")
@@ -121,22 +59,56 @@ def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
                    F.first("blank").alias("blank")))
     by_term = Window.partitionBy(*key, "term")
     by_sent = Window.partitionBy(*key, "pos")
-    w = (tf.withColumn("df", F.count(F.lit(1)).over(by_term))
-           .withColumn("w", F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(
-               F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)))
-           .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_sent)))
-           .withColumn("sv", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(F.lit(0.0)))
-           .withColumn("tw", F.sum("sv").over(by_term)))
+    return (tf.withColumn("df", F.count(F.lit(1)).over(by_term))
+              .withColumn("w", F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(
+                  F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)))
+              .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_sent)))
+              .withColumn("sv", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(F.lit(0.0)))
+              .select(*key, "pos", "term", "n", "blank", "stext", "sv"))
+
+
+def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
+    """(key, pos, sentence, blank, score) for every sentence piece, degree
+    centrality: score_i = s_i . (sum_j s_j)."""
+    w = _sentence_weights(base, key).withColumn(
+        "tw", F.sum("sv").over(Window.partitionBy(*key, "term")))
     return w.groupBy(*key, "pos").agg(
         F.max("stext").alias("sentence"), F.first("blank").alias("blank"),
         F.sum(F.col("sv") * F.col("tw")).alias("score"))
 
 
+def _textrank_ranked(base: DataFrame, key: list[str], rounds: int = 10,
+                     damping: float = 0.85) -> DataFrame:
+    """(key, pos, sentence, blank, score) by power iteration on the cosine
+    graph: r <- (1 - d)/n + d * S (S^T (r / deg)), deg = S (S^T 1).
+
+    Every product is a window sum over the (row, sentence, term) rows: by
+    (key, term) for S^T x, by (key, pos) for S y. No sentence pairs, no
+    joins and no exchange after the first, so all rounds run in the one
+    stage after the repartition: a lost task is recomputed from that
+    shuffle's output alone, and no lineage cut is needed."""
+    by_term = Window.partitionBy(*key, "term")
+    by_sent = Window.partitionBy(*key, "pos")
+    w = (_sentence_weights(base, key)
+         .withColumn("tw", F.sum("sv").over(by_term))
+         .withColumn("deg", F.sum(F.col("sv") * F.col("tw")).over(by_sent))
+         .drop("tw")
+         .withColumn("r", F.when(F.col("n") > 0, 1.0 / F.col("n")).otherwise(F.lit(0.0))))
+    for _ in range(rounds):
+        x = F.when(F.col("deg") > 0, F.col("r") / F.col("deg")).otherwise(F.lit(0.0))
+        w = (w.withColumn("y", F.sum(F.col("sv") * x).over(by_term))
+              .withColumn("r", F.when(F.col("n") > 0, (1 - damping) / F.col("n")).otherwise(F.lit(0.0))
+                          + damping * F.sum(F.col("sv") * F.col("y")).over(by_sent))
+              .drop("y"))
+    return w.groupBy(*key, "pos").agg(
+        F.max("stext").alias("sentence"), F.first("blank").alias("blank"),
+        F.first("r").alias("score"))
+
+
 def summarize(df: DataFrame, key: list[str], question: str = "question",
               answer: str = "answer", top: int = 3, method: str = "degree",
               out: str = "summary") -> DataFrame:
     """One row per input row: (key, summary)."""
-    from topicspark.session import checkpoint_dir
     # An explicit partition count: the text is small in bytes next to the
     # per-token rows made from it, so the exchange must not be coalesced
     # down to a few tasks by input size.
@@ -146,14 +118,7 @@ def summarize(df: DataFrame, key: list[str], question: str = "question",
     if method == "degree":
         scored = _degree_ranked(base, key)
     elif method == "textrank":
-        checkpoint_dir(df.sparkSession)
-        split = F.split(F.regexp_replace(F.col("text"), SENTENCE_BREAK, "$1\n"), "\n")
-        pieces = (base.select(*key, F.posexplode(split).alias("pos", "sentence"))
-                      .withColumn("sentence", F.trim("sentence"))
-                      .withColumn("blank", F.col("sentence") == ""))
-        sents = pieces.filter(~F.col("blank")).drop("blank")
-        scores = textrank_scores(sentence_vectors(sents, key), sents, key)
-        scored = pieces.join(scores, [*key, "pos"], "left").fillna(0.0, ["score"])
+        scored = _textrank_ranked(base, key)
     else:
         raise ValueError(f"unknown method {method!r}")
     # Blank pieces sort last and are never picked.
