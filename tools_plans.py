@@ -13,7 +13,8 @@ from topicspark.operators import audit as A  # noqa: E402
 from topicspark.operators.chunks import build_chunk_index  # noqa: E402
 from topicspark.operators.keywords import keyphrases  # noqa: E402
 from topicspark.operators.numbering import number_rows  # noqa: E402
-from topicspark.operators.search import search_index, smart_query, write_search_index  # noqa: E402
+from topicspark.operators.chunks import summary_lines  # noqa: E402
+from topicspark.operators.search import index_hits, relevant_lines, search_index, top_hits, write_search_index  # noqa: E402
 from topicspark.operators.summarize import summarize  # noqa: E402
 from topicspark.plans.ingest import prepare_load  # noqa: E402
 from topicspark.plans.q_ingest import _input  # noqa: E402
@@ -58,9 +59,13 @@ def main():
     cases = {
         "T6 summaries (degree)": summarize(arts, ["topic", "id"]),
         "W1/W2 number_rows per topic": number_rows(arts.select("topic", "id"), ["topic"], ["id"], "pos"),
-        "T5 search, stored index, one query": search_index(q.orderBy("qid").limit(1), base + "/terms",
-                                                            base + "/lines", arts),
-        "T5 search from a chunk index (all queries)": smart_query(q, ci, arts),
+        "T5 scoring + top-k, stored search index, one query": index_hits(
+            q.orderBy("qid").limit(1), base + "/terms", base + "/lines"),
+        "T5 article lookup of the hits (after the hits are checkpointed)": search_index(
+            spark.read.parquet(base + "/lines").orderBy("topic", "chunk_start", "line_no").limit(1)
+                 .selectExpr("1L AS qid", "row_text AS query"), base + "/terms", base + "/lines", arts),
+        "T3 + L2 scoring + top-k from a chunk index (all queries)": top_hits(
+            relevant_lines(q, summary_lines(ci)), 5),
         "S9 topic scan": store.scan_topic(spark, base + "/articles", "src3").select("id", "answer"),
         "T7 keyphrases": keyphrases(arts, ["topic", "id"], "answer"),
         "W3 gap check": A.chunk_gaps(ci),

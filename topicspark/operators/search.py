@@ -187,9 +187,21 @@ def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles:
                  k: int = DEFAULT_K, threshold: float = DEFAULT_THRESHOLD,
                  qkey: str = "qid", qtext: str = "query") -> DataFrame:
     """T5 against the stored search index; same output as ``smart_query``."""
+    n_q = queries.count()
+    texts = index_hits(queries, terms_path, lines_path, k, threshold, qkey, qtext, n_q)
+    out = fetch_articles(texts, articles, bound=k * n_q)
+    return out.select(qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
+
+
+def index_hits(queries: DataFrame, terms_path: str, lines_path: str,
+               k: int = DEFAULT_K, threshold: float = DEFAULT_THRESHOLD,
+               qkey: str = "qid", qtext: str = "query", n_q: int | None = None) -> DataFrame:
+    """Top-k lines per query from the stored search index:
+    (qid, rank, score, row_text, row_id, line key...)."""
     spark = queries.sparkSession
+    if n_q is None:
+        n_q = queries.count()
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
-    n_q = queries.count()
     qtc = term_counts(queries, [qkey], qtext)
     qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
              .select(qkey, "term", F.col("cnt").alias("q"), "Q2")).cache()
@@ -218,7 +230,5 @@ def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles:
     h = F.broadcast(hits) if bound <= MAX_BROADCAST_TERMS else hits
     # Line texts of the hits only: the topic filter of the broadcast hits
     # prunes the partitions of the line table at run time.
-    texts = spark.read.parquet(lines_path).drop("row_id").join(h, LINE_KEY).select(
+    return spark.read.parquet(lines_path).drop("row_id").join(h, LINE_KEY).select(
         qkey, "rank", "score", "row_text", "row_id", *LINE_KEY)
-    out = fetch_articles(texts, articles, bound=bound)
-    return out.select(qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
