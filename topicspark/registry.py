@@ -28,6 +28,7 @@ def register(name: str, oracle_sql: str | None = None):
             return normalize(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__module__ = fn.__module__
         _QUERIES[name] = run
         if oracle_sql is not None:
             _ORACLE[name] = oracle_sql
