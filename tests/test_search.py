@@ -104,3 +104,16 @@ def test_exact_copies_tie_at_one(spark):
     assert any(len(g) >= 2 for g in groups.values())
     for g in groups.values():
         assert [x[:2] for x in g] == sorted(x[:2] for x in g)
+
+
+def test_threshold_is_strict(spark):
+    from topicspark.operators.search import relevant_lines
+    lines = spark.createDataFrame(
+        [("t", 1, 2, 0, "12. alpha beta gamma", 12), ("t", 1, 2, 1, "13. alpha delta", 13)],
+        "topic string, chunk_start long, chunk_end long, line_no int, row_text string, row_id int")
+    q = spark.createDataFrame([(1, "alpha beta")], "qid long, query string")
+    scores = {r.line_no: r.score for r in score_pairs(q, lines).collect()}
+    t = scores[0]
+    kept = {r.line_no for r in relevant_lines(q, lines, threshold=t).collect()}
+    assert 0 not in kept  # a score equal to the threshold is not above it
+    assert kept == {n for n, s in scores.items() if s > t}

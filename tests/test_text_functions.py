@@ -45,3 +45,22 @@ def test_tokens_and_keyword_render(spark):
     assert got[1] == '{"a":[1],"b":[2,3]}'
     assert _one(spark, X.thousands, 1234567, "long") == "1,234,567"
     assert _one(spark, lambda c: X.reported_chunks(c, 10), 20, "long") == 2
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+def getline_model(s, sep=","):
+    if s == "":
+        return []
+    parts = s.split(sep)
+    return parts[:-1] if parts[-1] == "" else parts
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="ab,", max_size=8), min_size=1, max_size=15))
+def test_split_getline_property(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, s string")
+    got = {r.i: r.p for r in df.select("i", X.split_getline("s").alias("p")).collect()}
+    assert got == {i: getline_model(v) for i, v in enumerate(values)}
