@@ -118,3 +118,18 @@ def test_ingest_csv_in_file_order(spark):
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert want.select(*cols).exceptAll(got.select(*cols)).count() == 0
     assert res.rejects.count() == 0
+
+
+def test_repeated_loads_use_the_max_id_table(spark):
+    from topicspark.plans.ingest import ingest
+    base = tempfile.mkdtemp(prefix="ts-loads-")
+    inp = _input(spark, SF_SMALL).select("question", "answer", "topic", "conv_id", "turn")
+    for _ in range(3):
+        ingest(inp, base + "/t", fx.AS_OF, ["conv_id", "turn"])
+    t = store.read_articles(spark, base + "/t")
+    per = t.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("m"),
+                                 F.countDistinct("id").alias("d"))
+    assert per.filter((F.col("n") != F.col("m")) | (F.col("n") != F.col("d"))).count() == 0
+    reserved = {r.topic: r.max_id for r in store.read_max_ids(spark, base + "/t").collect()}
+    assert reserved == {r.topic: r.m for r in per.collect()}
+    assert t.count() == 3 * inp.count()

@@ -23,17 +23,18 @@ class LoadResult:
 
 
 def prepare_load(inp: DataFrame, existing: DataFrame | None, as_of: str,
-                 order: list[str]) -> LoadResult:
+                 order: list[str], base: DataFrame | None = None) -> LoadResult:
     """Plan a load of ``inp`` (question, answer, topic, + order columns).
 
     ``order`` names the input-order columns (e.g. file name and position).
-    ``existing`` is the current article table (for the id base) or None.
+    The id base is ``base`` (topic, max_id) when given, else the max ids of
+    ``existing`` (the current article table), else 0.
     """
     v = validate(inp)
     good = v.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejects = v.filter(F.col("reject_reason").isNotNull())
     nodes = to_node_rows(good, as_of)
-    with_ids = store.allocate_ids(nodes, existing, order)
+    with_ids = store.allocate_ids(nodes, existing, order, base=base)
     rows = with_ids.select("topic", "id", "question", "answer", "keywords", "updatedAt")
     report = load_report(v)
     return LoadResult(rows, rejects, report)
@@ -49,9 +50,24 @@ def load_report(validated: DataFrame) -> DataFrame:
 
 
 def ingest(inp: DataFrame, path: str, as_of: str, order: list[str]) -> LoadResult:
-    """Load ``inp`` into the article table at ``path`` (append)."""
-    existing = store.read_articles(inp.sparkSession, path)
-    res = prepare_load(inp, existing, as_of, order)
+    """Load ``inp`` into the article table at ``path`` (append).
+
+    The id base comes from the table's max-id table (one row per topic), so
+    a load costs its own rows plus one row per topic; only when that table
+    does not exist yet are the max ids read from the article table. The new
+    max ids are reserved before the rows are appended."""
+    spark = inp.sparkSession
+    from topicspark.session import checkpoint_dir
+    checkpoint_dir(spark)
+    base = store.read_max_ids(spark, path)
+    if base is None:
+        base = store.max_ids(store.read_articles(spark, path))
+    base = base.checkpoint(eager=True)  # fixed before the max-id table is rewritten
+    v = validate(inp)
+    counts = (v.filter(F.col("reject_reason").isNull())
+               .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
+    res = prepare_load(inp, None, as_of, order, base=base)
+    store.reserve_ids(spark, path, base, counts)
     store.append_articles(res.rows, path)
     return res
 

@@ -88,3 +88,28 @@ def read_chunk_index(spark: SparkSession, path: str) -> DataFrame:
     """(chunkStart, chunkEnd, topic, summary, updatedAt, id)."""
     return spark.read.schema(CHUNK_INDEX).parquet(path).select(
         "chunkStart", "chunkEnd", "topic", "summary", "updatedAt", "id")
+
+
+def max_ids_path(table: str) -> str:
+    return table.rstrip("/") + "_maxids"
+
+
+def read_max_ids(spark: SparkSession, table: str) -> DataFrame | None:
+    """The reserved max id per topic of ``table`` (one row per topic), or
+    None when no load has written it yet."""
+    try:
+        return spark.read.parquet(max_ids_path(table)).select(
+            F.col("topic").cast("string"), F.col("max_id").cast("long"))
+    except Exception:  # noqa: BLE001 - not written yet
+        return None
+
+
+def reserve_ids(spark: SparkSession, table: str, base: DataFrame, counts: DataFrame) -> None:
+    """Write max id per topic = base + rows about to be loaded, before the
+    rows are written: a failure between the two leaves an id gap, never a
+    reused id. ``base`` must not be a lazy read of the same table."""
+    new = (base.select("topic", F.col("max_id").alias("_b"))
+               .join(counts.select("topic", F.col("n").alias("_n")), "topic", "full_outer")
+               .select("topic", (F.coalesce("_b", F.lit(0)) + F.coalesce("_n", F.lit(0)))
+                       .cast("long").alias("max_id")))
+    new.coalesce(1).write.mode("overwrite").parquet(max_ids_path(table))
