@@ -21,6 +21,19 @@ PLACEHOLDER_KEYWORDS = ["kw1", "kw2", "kw3", "kw4", "kw5"]
 NO_SUMMARIES = "No summaries available"
 # Fixed value: timestamp text format of load and update times.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Text formats of stored chunk summaries and keyword maps.
+#   chunk text   = ' + ("\n" + "{id}. {summary}" + "\n" for each row in id order) + '
+#   keyword map  = { + ("'{keyword}': [{id},{id}]" joined by ", ") + }
+#   array text   = { + (values joined by ",") + }
+CHUNK_QUOTE = "'"
+LINE_BREAK = "\n"
+ID_SEPARATOR = ". "
+MAP_OPEN, MAP_CLOSE = "{", "}"
+MAP_ITEM_SEPARATOR = ", "
+MAP_KEY_QUOTE = "'"
+MAP_KEY_END = ": ["
+LIST_END = "]"
+LIST_SEPARATOR = ","
 
 
 def col_(c: Column | str) -> Column:
@@ -65,7 +78,7 @@ def to_array_text(s: Column | str) -> Column:
 
 
 def array_text(arr: Column | str) -> Column:
-    return F.concat(F.lit("{"), F.array_join(col_(arr), ","), F.lit("}"))
+    return F.concat(F.lit(MAP_OPEN), F.array_join(col_(arr), LIST_SEPARATOR), F.lit(MAP_CLOSE))
 
 
 def safe_cast(c: Column | str, to: str, default) -> Column:
@@ -95,7 +108,7 @@ def row_id_of_line(line: Column | str) -> Column:
 
 def render_line(id_: Column | str, summary: Column | str) -> Column:
     """F11 (one line): ``{id}. {summary}`` with newlines made spaces."""
-    return F.concat(col_(id_).cast("string"), F.lit(". "),
+    return F.concat(col_(id_).cast("string"), F.lit(ID_SEPARATOR),
                     F.regexp_replace(F.coalesce(col_(summary), F.lit("")), "[\r\n]", " "))
 
 
@@ -104,9 +117,9 @@ def fold_lines(pairs: Column | str) -> Column:
     text: a single quote, then ``\\n{line}\\n`` per row in id order, then a
     single quote; an empty array gives the no-summary text."""
     arr = F.array_sort(col_(pairs))
-    body = F.array_join(F.transform(arr, lambda p: F.concat(F.lit("\n"), p["line"], F.lit("\n"))), "")
+    body = F.array_join(F.transform(arr, lambda p: F.concat(F.lit(LINE_BREAK), p["line"], F.lit(LINE_BREAK))), "")
     return F.when(F.size(arr) == 0, F.lit(NO_SUMMARIES)).otherwise(
-        F.concat(F.lit("'"), body, F.lit("'")))
+        F.concat(F.lit(CHUNK_QUOTE), body, F.lit(CHUNK_QUOTE)))
 
 
 def render_keyword_map(entries: Column | str) -> Column:
@@ -114,9 +127,9 @@ def render_keyword_map(entries: Column | str) -> Column:
     sorted; empty -> ``{}``."""
     arr = F.array_sort(col_(entries))
     items = F.transform(arr, lambda e: F.concat(
-        F.lit("'"), e["keyword"], F.lit("': ["),
-        F.array_join(F.transform(e["ids"], lambda i: i.cast("string")), ","), F.lit("]")))
-    return F.concat(F.lit("{"), F.array_join(items, ", "), F.lit("}"))
+        F.lit(MAP_KEY_QUOTE), e["keyword"], F.lit(MAP_KEY_QUOTE + MAP_KEY_END),
+        F.array_join(F.transform(e["ids"], lambda i: i.cast("string")), LIST_SEPARATOR), F.lit(LIST_END)))
+    return F.concat(F.lit(MAP_OPEN), F.array_join(items, MAP_ITEM_SEPARATOR), F.lit(MAP_CLOSE))
 
 
 def keyword_map_json(entries: Column | str) -> Column:
