@@ -133,3 +133,21 @@ def test_repeated_loads_use_the_max_id_table(spark):
     reserved = {r.topic: r.max_id for r in store.read_max_ids(spark, base + "/t").collect()}
     assert reserved == {r.topic: r.m for r in per.collect()}
     assert t.count() == 3 * inp.count()
+
+
+def test_classify_with_labels_and_topic_sql(spark):
+    import pytest
+    from topicspark.operators.prepare import classify
+    from topicspark.plans.sql import generated_table, topic_sql
+    rows = spark.createDataFrame([(1, "q1", "a1", "x"), (2, "q2", "a2", "y")],
+                                 "k long, question string, answer string, topic string")
+    labels = spark.createDataFrame([(1, "lab1")], "k long, topic string")
+    got = {r.k: r.topic for r in classify(rows, labels=labels, key="k").collect()}
+    assert got == {1: "lab1", 2: None}
+    arts = fx.articles(spark, SF_SMALL)
+    n = topic_sql(spark, arts, "src1", "SELECT count(*) AS n FROM test").first().n
+    assert n == arts.filter("topic = 'src1'").count()
+    with pytest.raises(ValueError):
+        topic_sql(spark, arts, "src1", "DROP TABLE test")
+    g = generated_table(spark, 3).collect()
+    assert [(r.id, r.name) for r in g] == [(1, "Data 1"), (2, "Data 2"), (3, "Data 3")]
