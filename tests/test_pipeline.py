@@ -151,3 +151,16 @@ def test_classify_with_labels_and_topic_sql(spark):
         topic_sql(spark, arts, "src1", "DROP TABLE test")
     g = generated_table(spark, 3).collect()
     assert [(r.id, r.name) for r in g] == [(1, "Data 1"), (2, "Data 2"), (3, "Data 3")]
+
+
+def test_chunks_dense_and_sparse_ids_agree(spark):
+    rows = [("a", i) for i in (1, 2, 3, 4, 5)] + [("b", i) for i in (3, 9, 10, 40)]
+    df = spark.createDataFrame(rows, "topic string, id long")
+    from topicspark.operators.chunks import ids_dense_from_one
+    assert not ids_dense_from_one(df)
+    assert ids_dense_from_one(df.filter("topic = 'a'"))
+    got = {(r.topic, r.id): r.chunk for r in assign_chunks(df, 2).collect()}
+    assert got == {("a", 1): 0, ("a", 2): 0, ("a", 3): 1, ("a", 4): 1, ("a", 5): 2,
+                   ("b", 3): 0, ("b", 9): 0, ("b", 10): 1, ("b", 40): 1}
+    dense_a = {(r.topic, r.id): r.chunk for r in assign_chunks(df.filter("topic = 'a'"), 2, dense=False).collect()}
+    assert dense_a == {k: v for k, v in got.items() if k[0] == "a"}

@@ -20,9 +20,29 @@ from topicspark.operators.sizing import bounded_broadcast
 DEFAULT_CHUNK_SIZE = 500
 
 
+def ids_dense_from_one(articles: DataFrame, topic: str = "topic", id_col: str = "id") -> bool:
+    """True when every topic's ids are exactly 1..n (what the loader writes):
+    then a row's position in id order is its id. One small aggregate over
+    the two key columns."""
+    per = articles.groupBy(topic).agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"),
+                                      F.count(F.lit(1)).alias("n"), F.countDistinct(id_col).alias("d"))
+    bad = per.filter((F.col("lo") != 1) | (F.col("hi") != F.col("n")) | (F.col("d") != F.col("n"))
+                     | F.col("lo").isNull())
+    return bad.limit(1).count() == 0
+
+
 def assign_chunks(articles: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
-                  topic: str = "topic", id_col: str = "id") -> DataFrame:
-    """Add ``chunk`` (0-based) = (position in id order - 1) div size."""
+                  topic: str = "topic", id_col: str = "id", dense: bool | None = None) -> DataFrame:
+    """Add ``chunk`` (0-based) = (position in id order - 1) div size.
+
+    When ids are dense from 1 per topic (``dense``, checked when None) the
+    position is the id and no numbering is needed; otherwise positions come
+    from the skew-safe ``number_rows``."""
+    if dense is None:
+        dense = ids_dense_from_one(articles, topic, id_col)
+    if dense:
+        return articles.withColumn(
+            "chunk", F.floor((F.col(id_col) - 1) / F.lit(chunk_size)).cast("long"))
     numbered = number_rows(articles, [topic], [id_col], "_pos")
     return (numbered.withColumn("chunk", F.floor((F.col("_pos") - 1) / F.lit(chunk_size)).cast("long"))
                     .drop("_pos"))
@@ -81,8 +101,15 @@ def build_chunk_index(articles: DataFrame, summaries: DataFrame,
 
     ``summaries`` is (topic, id, summary) for the rows of ``articles``.
     """
-    chunked = assign_chunks(articles.select("topic", "id"), chunk_size)
-    rows = chunked.join(summaries, ["topic", "id"], "left")
+    keys = articles.select("topic", "id")
+    dense = ids_dense_from_one(keys)
+    chunked = assign_chunks(keys, chunk_size, dense=dense)
+    if dense:
+        # Every article has one summary row: the chunk follows from the id,
+        # so the summaries need no join with the chunk assignment.
+        rows = assign_chunks(summaries, chunk_size, dense=True)
+    else:
+        rows = chunked.join(summaries, ["topic", "id"], "left")
     folded = fold_chunks(rows)
     # Chunks per topic follow from the assignment alone: the offsets table is
     # computed without running the summaries.
