@@ -23,7 +23,8 @@ class LoadResult:
 
 
 def prepare_load(inp: DataFrame, existing: DataFrame | None, as_of: str,
-                 order: list[str], base: DataFrame | None = None) -> LoadResult:
+                 order: list[str], base: DataFrame | None = None,
+                 base_checked: bool = False) -> LoadResult:
     """Plan a load of ``inp`` (question, answer, topic, + order columns).
 
     ``order`` names the input-order columns (e.g. file name and position).
@@ -34,7 +35,7 @@ def prepare_load(inp: DataFrame, existing: DataFrame | None, as_of: str,
     good = v.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejects = v.filter(F.col("reject_reason").isNotNull())
     nodes = to_node_rows(good, as_of)
-    with_ids = store.allocate_ids(nodes, existing, order, base=base)
+    with_ids = store.allocate_ids(nodes, existing, order, base=base, base_checked=base_checked)
     rows = with_ids.select("topic", "id", "question", "answer", "keywords", "updatedAt")
     report = load_report(v)
     return LoadResult(rows, rejects, report)
@@ -62,11 +63,13 @@ def ingest(inp: DataFrame, path: str, as_of: str, order: list[str]) -> LoadResul
     base = store.read_max_ids(spark, path)
     if base is None:
         base = store.max_ids(store.read_articles(spark, path))
-    base = base.checkpoint(eager=True)  # fixed before the max-id table is rewritten
+    # Materialised (and size-checked) before the max-id table is rewritten.
+    from topicspark.operators.sizing import bounded_broadcast
+    base = bounded_broadcast(base)
     v = validate(inp)
     counts = (v.filter(F.col("reject_reason").isNull())
                .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
-    res = prepare_load(inp, None, as_of, order, base=base)
+    res = prepare_load(inp, None, as_of, order, base=base, base_checked=True)
     store.reserve_ids(spark, path, base, counts)
     store.append_articles(res.rows, path)
     return res

@@ -34,18 +34,20 @@ def max_ids(existing: DataFrame) -> DataFrame:
 
 
 def allocate_ids(rows: DataFrame, existing: DataFrame | None, order: list[str],
-                 base: DataFrame | None = None) -> DataFrame:
+                 base: DataFrame | None = None, base_checked: bool = False) -> DataFrame:
     """Per topic, ids max(id)+1 upward in ``order`` (the input order).
 
     Numbering is skew-safe (see ``number_rows``); the base comes from a
     one-row-per-topic table: ``base`` (topic, max_id) when given, else the
-    max ids of ``existing``."""
+    max ids of ``existing``. ``base_checked`` says ``base`` was already
+    materialised and size-checked (``bounded_broadcast``)."""
     numbered = number_rows(rows, ["topic"], order, "_n")
     if base is None:
         if existing is None:
             return numbered.withColumn("id", F.col("_n")).drop("_n")
         base = max_ids(existing)
-    return (numbered.join(bounded_broadcast(base), "topic", "left")
+    side = base if base_checked else bounded_broadcast(base)
+    return (numbered.join(side, "topic", "left")
                     .withColumn("id", (F.coalesce(F.col("max_id"), F.lit(0)) + F.col("_n")).cast("long"))
                     .drop("_n", "max_id"))
 
