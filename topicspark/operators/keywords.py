@@ -39,7 +39,7 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
     # rows are clustered by key once so the per-row counts need no exchange.
     t = F.col("_toks")
     bigrams = F.transform(F.sequence(F.lit(2), F.greatest(F.size(t), F.lit(2))),
-                          lambda i: F.concat_ws(" ", F.element_at(t, i - 1), F.element_at(t, i)))
+                          lambda i: F.concat_ws(" ", F.try_element_at(t, i - 1), F.try_element_at(t, i)))
     grams = F.when(F.size(t) >= 2, F.concat(t, bigrams)).otherwise(t)
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     phrases = (docs.select(*key, text).repartition(n_parts, *[F.col(k) for k in key])
