@@ -2,7 +2,9 @@
 
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 and prints one JSON line. Each query is forced to completion with the
-``noop`` sink (full evaluation, nothing collected).
+``noop`` sink (full evaluation, nothing collected) or written. Before
+timing, one small ingest, index-and-search and keyphrase run on the
+smallest test tables ($BENCH_WARM_DIR, default sf0.001) warm the JVM.
 
   ingest        batch load of the cleaned Q&A input (P9, P12, W2, S8)
   stream_ingest the same input as CSV files through micro-batches (ST1)
@@ -24,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from topicspark.operators import audit as A  # noqa: E402
 from topicspark.operators.keywords import keyphrases, keyword_index  # noqa: E402
-from topicspark.operators.search import search_index, write_search_index  # noqa: E402
+from topicspark.operators.search import search_index, smart_query, write_search_index  # noqa: E402
 from topicspark.plans.index import plan_index  # noqa: E402
 from topicspark.plans.ingest import ingest  # noqa: E402
 from topicspark.plans.q_ingest import _input  # noqa: E402
@@ -41,7 +43,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", int(cpus) * 2)))
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -49,7 +51,14 @@ def main() -> None:
         fn()
         times[name] = round(time.perf_counter() - t, 3)
 
-    # Warm-up: JVM start and first file listing are not part of any query.
+    # Warm-up on the smallest test tables (not the measured data): JVM start,
+    # code generation and first file listings are not part of any query.
+    warm = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm):
+        ingest(_input(spark, warm), scratch_path(spark, "bench-warm"), fx.AS_OF, ["conv_id", "turn"])
+        warm_arts = fx.articles(spark, warm)
+        run(smart_query(fx.queries(spark, warm), plan_index(warm_arts, 10, fx.AS_OF), warm_arts))
+        run(keyphrases(warm_arts, ["topic", "id"], "answer", 5))
     spark.read.parquet(f"{sf_dir}/documents.parquet").limit(1).collect()
 
     art_path = scratch_path(spark, "bench-articles")
