@@ -164,3 +164,18 @@ def test_chunks_dense_and_sparse_ids_agree(spark):
                    ("b", 3): 0, ("b", 9): 0, ("b", 10): 1, ("b", 40): 1}
     dense_a = {(r.topic, r.id): r.chunk for r in assign_chunks(df.filter("topic = 'a'"), 2, dense=False).collect()}
     assert dense_a == {k: v for k, v in got.items() if k[0] == "a"}
+
+
+def test_empty_load_and_null_question(spark):
+    from topicspark.plans.ingest import ingest
+    base = tempfile.mkdtemp(prefix="ts-edge-")
+    schema = "question string, answer string, topic string, pos long"
+    empty = spark.createDataFrame([], schema)
+    res = ingest(empty, base + "/t", fx.AS_OF, ["pos"])
+    assert res.rejects.count() == 0
+    assert store.read_articles(spark, base + "/t").count() == 0
+    rows = spark.createDataFrame([(None, "a", "t", 1), ("q", None, "t", 2), (None, None, None, 3)], schema)
+    res = ingest(rows, base + "/t", fx.AS_OF, ["pos"])
+    got = sorted((r.id, r.question, r.answer) for r in store.read_articles(spark, base + "/t").collect())
+    assert got == [(1, "", "a"), (2, "q", "")]
+    assert [r.reject_reason for r in res.rejects.collect()] == ["empty row"]
