@@ -204,7 +204,9 @@ def index_hits(queries: DataFrame, terms_path: str, lines_path: str,
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
     qtc = term_counts(queries, [qkey], qtext)
     qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
-             .select(qkey, "term", F.col("cnt").alias("q"), "Q2")).cache()
+             .select(qkey, "term", F.col("cnt").alias("q"), "Q2"))
+    # Not cached: the table comes from the query texts and is cheap to
+    # recompute; a cache would outlive the search in a long session.
     n_terms = qt.count()
     postings = spark.read.parquet(terms_path)
     distinct_terms = qt.select("term").distinct()
