@@ -179,3 +179,15 @@ def test_empty_load_and_null_question(spark):
     got = sorted((r.id, r.question, r.answer) for r in store.read_articles(spark, base + "/t").collect())
     assert got == [(1, "", "a"), (2, "q", "")]
     assert [r.reject_reason for r in res.rejects.collect()] == ["empty row"]
+
+
+def test_partial_rebuild_keeps_index_ids(spark):
+    from topicspark.plans.index import build_index
+    base = tempfile.mkdtemp(prefix="ts-rebuild-")
+    store.append_articles(fx.articles(spark, SF_SMALL), base + "/a", mode="overwrite")
+    full = sorted(tuple(r) for r in build_index(spark, base + "/a", base + "/full", 4)
+                  .select("id", "topic", "chunkStart", "summary").collect())
+    build_index(spark, base + "/a", base + "/part", 4)
+    again = build_index(spark, base + "/a", base + "/part", 4, topics=["src3", "src7"])
+    got = sorted(tuple(r) for r in again.select("id", "topic", "chunkStart", "summary").collect())
+    assert got == full

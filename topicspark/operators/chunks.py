@@ -88,7 +88,7 @@ def index_ids(chunks: DataFrame, topic_order: DataFrame | None = None,
                                .rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
     # One row per topic; broadcast after a counted size check.
-    return (chunks.join(bounded_broadcast(offs), "topic")
+    return (chunks.join(bounded_broadcast(offs), "topic")  # inner: only the topics of ``chunks``
                   .withColumn("id", (F.col("_off") + F.col("chunk") + 1).cast("long"))
                   .drop("_off"))
 
@@ -96,10 +96,13 @@ def index_ids(chunks: DataFrame, topic_order: DataFrame | None = None,
 def build_chunk_index(articles: DataFrame, summaries: DataFrame,
                       chunk_size: int = DEFAULT_CHUNK_SIZE,
                       as_of: _dt.datetime | str = "2024-01-01 00:00:00",
-                      topic_order: DataFrame | None = None) -> DataFrame:
+                      topic_order: DataFrame | None = None,
+                      chunk_counts: DataFrame | None = None) -> DataFrame:
     """T9 core: chunk -> fold row summaries -> index rows.
 
     ``summaries`` is (topic, id, summary) for the rows of ``articles``.
+    ``chunk_counts`` (topic, _nchunks) of *all* topics makes the index ids of
+    a partial rebuild equal those of a full build.
     """
     keys = articles.select("topic", "id")
     dense = ids_dense_from_one(keys)
@@ -113,7 +116,8 @@ def build_chunk_index(articles: DataFrame, summaries: DataFrame,
     folded = fold_chunks(rows)
     # Chunks per topic follow from the assignment alone: the offsets table is
     # computed without running the summaries.
-    counts = chunked.groupBy("topic").agg((F.max("chunk") + 1).alias("_nchunks"))
+    counts = (chunk_counts if chunk_counts is not None else
+              chunked.groupBy("topic").agg((F.max("chunk") + 1).alias("_nchunks")))
     with_ids = index_ids(folded, topic_order, counts)
     return with_ids.select(
         "id", F.col("chunk_start").alias("chunkStart"), F.col("chunk_end").alias("chunkEnd"),

@@ -4,6 +4,7 @@ S9 (all topics) -> W1 -> T6 -> A10/A11 -> W4 -> S10."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from topicspark.operators.chunks import DEFAULT_CHUNK_SIZE, build_chunk_index
 from topicspark.operators.summarize import summarize
@@ -12,18 +13,26 @@ from topicspark.sources import store
 
 def plan_index(articles: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                as_of: str = "2024-01-01 00:00:00", method: str = "degree",
-               topic_order: DataFrame | None = None) -> DataFrame:
+               topic_order: DataFrame | None = None,
+               chunk_counts: DataFrame | None = None) -> DataFrame:
     summ = summarize(articles, ["topic", "id"], method=method)
-    return build_chunk_index(articles, summ, chunk_size, as_of, topic_order)
+    return build_chunk_index(articles, summ, chunk_size, as_of, topic_order, chunk_counts)
 
 
 def build_index(spark: SparkSession, articles_path: str, index_path: str,
                 chunk_size: int = DEFAULT_CHUNK_SIZE, as_of: str = "2024-01-01 00:00:00",
                 topics: list[str] | None = None, method: str = "degree") -> DataFrame:
-    """Summarise ``topics`` (all when None) and overwrite their index rows."""
-    arts = store.read_articles(spark, articles_path)
+    """Summarise ``topics`` (all when None) and overwrite their index rows.
+
+    For a partial rebuild the chunks per topic of *all* topics are counted
+    from the article table (key columns only), so the rebuilt rows get the
+    same index ids as in a full build."""
+    all_arts = store.read_articles(spark, articles_path)
+    arts, counts = all_arts, None
     if topics is not None:
-        arts = arts.filter(arts.topic.isin(topics))
-    idx = plan_index(arts, chunk_size, as_of, method)
+        arts = all_arts.filter(F.col("topic").isin(topics))
+        counts = all_arts.groupBy("topic").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(chunk_size)).cast("long").alias("_nchunks"))
+    idx = plan_index(arts, chunk_size, as_of, method, chunk_counts=counts)
     store.write_chunk_index(idx, index_path)
     return store.read_chunk_index(spark, index_path)
