@@ -74,3 +74,15 @@ def test_number_rows_property(spark, rows, target, desc):
         for pos, r in enumerate(members, 1):
             want[r[2]] = pos
     assert got == want
+
+
+def test_running_offsets(spark):
+    from topicspark.operators.numbering import running_offsets
+    rows = [(f"t{i:03d}", (i * 37) % 11 + 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    got = {r.k: r.off for r in running_offsets(df, [F.col("k")], "v", "off").collect()}
+    acc, want = 0, {}
+    for k, v in sorted(rows):
+        want[k] = acc
+        acc += v
+    assert got == want

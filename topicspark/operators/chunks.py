@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicspark.functions.text import fold_lines, normalize_line, render_line, row_id_of_line
-from topicspark.operators.numbering import number_rows
+from topicspark.operators.numbering import number_rows, running_offsets
 from topicspark.operators.sizing import bounded_broadcast
 
 DEFAULT_CHUNK_SIZE = 500
@@ -83,10 +83,9 @@ def index_ids(chunks: DataFrame, topic_order: DataFrame | None = None,
     else:
         per_topic = per_topic.join(topic_order.select("topic", F.col("topic_pos").alias("_tpos")),
                                    "topic", "left")
-    offs = per_topic.select("topic", F.coalesce(
-        F.sum("_nchunks").over(Window.orderBy(F.col("_tpos").asc_nulls_last(), "topic")
-                               .rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
+    offs = running_offsets(per_topic.select("topic", "_tpos", "_nchunks"),
+                           [F.col("_tpos").asc_nulls_last(), F.col("topic").asc()],
+                           "_nchunks", "_off").select("topic", "_off")
     # One row per topic; broadcast after a counted size check.
     return (chunks.join(bounded_broadcast(offs), "topic")  # inner: only the topics of ``chunks``
                   .withColumn("id", (F.col("_off") + F.col("chunk") + 1).cast("long"))

@@ -111,11 +111,9 @@ def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str
     local = number_rows(df, outer, order, "_ts_local")
     counts = df.groupBy(*outer).agg(F.count(F.lit(1)).alias("_ts_n"))
     okeys = [f"_ts_x{i}" for i in range(len(outer))]
-    offs = counts.select(*[F.col(c).alias(k) for c, k in zip(outer, okeys)], F.coalesce(
-        F.sum("_ts_n").over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in outer])
-                            .rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_ts_goff"))
-    n_groups = counts.count()
+    offs = running_offsets(counts, [F.col(c).asc_nulls_first() for c in outer], "_ts_n", "_ts_goff")
+    offs = offs.select(*[F.col(c).alias(k) for c, k in zip(outer, okeys)], "_ts_goff")
+    n_groups = offs.count()
     cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(outer, okeys)]
     out = local.join(_maybe_broadcast(offs, n_groups), cond, "inner")
     return out.select(*df.columns, (F.col("_ts_goff") + F.col("_ts_local")).cast("long").alias(name))
@@ -134,3 +132,27 @@ def dense_rank_values(df: DataFrame, cols: list[str], name: str = "dr") -> DataF
     rk = ranked.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)], name)
     cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(cols, keys)]
     return df.join(_maybe_broadcast(rk, n), cond, "inner").drop(*keys)
+
+
+def running_offsets(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """Add ``name`` = sum of ``value`` over the rows before each row in
+    ``order`` (a total order), without putting the table in one task.
+
+    The table is range-partitioned on ``order`` and checkpointed (so its
+    partition ids are fixed); each partition's total comes from an aggregate
+    with one row per partition, prefix sums of those totals are a
+    partition-count-sized table, and the sum within a partition is a window
+    over that partition only."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).checkpoint(eager=True)
+    tagged = ranged.withColumn("_ts_pid", F.spark_partition_id())
+    totals = tagged.groupBy("_ts_pid").agg(F.sum(value).alias("_ts_ps"))
+    part_off = totals.select("_ts_pid", F.coalesce(F.sum("_ts_ps").over(
+        Window.orderBy("_ts_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ts_poff"))
+    within = Window.partitionBy("_ts_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # part_off has one row per partition (a configuration-sized bound).
+    out = (tagged.withColumn("_ts_in", F.coalesce(F.sum(value).over(within), F.lit(0)))
+                 .join(F.broadcast(part_off), "_ts_pid"))
+    return out.select(*df.columns, (F.col("_ts_poff") + F.col("_ts_in")).cast("long").alias(name))
