@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicspark.operators.numbering import dense_rank_values, number_rows, number_rows_nested
+from topicspark.operators.numbering import dense_rank_values, number_rows, number_rows_nested, running_offsets
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -133,10 +133,9 @@ def topics_by_ranges(ci: DataFrame) -> DataFrame:
     first = cur.filter(F.col("i") == 1).select("topic", "r")
     rows = ci.groupBy("topic").agg(
         F.sum(F.abs(F.col("chunkEnd") - F.col("chunkStart")) + 1).cast("long").alias("n_rows"))
-    order = first.join(rows, "topic")
-    # One row per topic from here on.
-    return order.select("topic", F.row_number().over(
-        Window.orderBy(F.desc("r"), "topic")).cast("long").alias("position"), "n_rows")
+    order = first.join(rows, "topic").withColumn("_one", F.lit(1))
+    ranked = running_offsets(order, [F.col("r").desc(), F.col("topic").asc()], "_one", "_before")
+    return ranked.select("topic", (F.col("_before") + 1).alias("position"), "n_rows")
 
 
 def page(df: DataFrame, k: int, n: int, order: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicspark import oracle as O
@@ -13,6 +13,7 @@ from topicspark.operators.search import fetch_articles, relevant_lines, term_cou
 from topicspark.operators.summarize import summarize
 from topicspark.plans.q_ingest import _input
 from topicspark.plans.q_search import CHUNK, _index
+from topicspark.operators.numbering import running_offsets
 from topicspark.operators.sizing import bounded_broadcast
 from topicspark.registry import register
 from topicspark.sources import fixtures as fx
@@ -23,8 +24,9 @@ TS = "yyyy-MM-dd HH:mm:ss"
 def _gapped(ci: DataFrame) -> DataFrame:
     """The chunk index with gaps: the topic at position p (by name, from 1)
     loses its chunk number p (0-based), where it has one."""
-    tpos = ci.select("topic").distinct().withColumn(
-        "tpos", F.row_number().over(Window.orderBy("topic")))  # one row per topic
+    topics = ci.select("topic").distinct().withColumn("_one", F.lit(1))
+    tpos = running_offsets(topics, [F.col("topic").asc()], "_one", "_before").select(
+        "topic", (F.col("_before") + 1).alias("tpos"))
     return (ci.join(bounded_broadcast(tpos), "topic")
               .filter(F.col("chunkStart") != F.col("tpos") * CHUNK + 1)
               .drop("tpos"))
