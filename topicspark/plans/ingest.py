@@ -78,11 +78,13 @@ def ingest(inp: DataFrame, path: str, as_of: str, order: list[str]) -> LoadResul
 def with_input_order(df: DataFrame) -> DataFrame:
     """Add the input order of CSV rows: (``_file_rank``, ``_pos``) = rank of
     the file name, then the row's position in reading order. Splits of one
-    file are read in offset order, so positions follow the file. The file
-    list is metadata-sized (one row per file)."""
-    from pyspark.sql import Window
-    files = df.select("_file").distinct().withColumn(
-        "_file_rank", F.row_number().over(Window.orderBy("_file")).cast("long"))
+    file are read in offset order, so positions follow the file. File ranks
+    are running counts over the file list (one row per file), computed per
+    range partition."""
+    from topicspark.operators.numbering import running_offsets
+    files = running_offsets(df.select("_file").distinct().withColumn("_one", F.lit(1)),
+                            [F.col("_file").asc()], "_one", "_before").select(
+        "_file", (F.col("_before") + 1).alias("_file_rank"))
     from topicspark.operators.sizing import bounded_broadcast
     return (df.withColumn("_pos", F.monotonically_increasing_id())
               .join(bounded_broadcast(files), "_file"))
