@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from topicspark import oracle as O
 from topicspark.operators.chunks import build_chunk_index, summary_lines
-from topicspark.operators.search import (fetch_articles, relevant_lines, score_pairs,
-                                         smart_query, top_hits)
+from topicspark.operators.search import fetch_articles, relevant_lines, score_pairs, top_hits
 from topicspark.operators.summarize import summarize
 from topicspark.registry import register
 from topicspark.sources import fixtures as fx
