@@ -86,3 +86,18 @@ def test_running_offsets(spark):
         want[k] = acc
         acc += v
     assert got == want
+
+
+def test_string_first_key_is_split_and_exact(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("g"),
+        F.format_string("k%07d", (F.col("id") * 7919) % 100_003).alias("k"))
+    got = number_rows(df, ["g"], ["k"], "rn", target_rows=100, bucket_col="b")
+    assert got.filter("g = 'hot'").select("b").distinct().count() >= 10
+    ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy("k")))
+    assert got.join(ref, ["g", "k"]).filter(F.col("rn") != F.col("ref")).count() == 0
+    # descending string key, with nulls
+    rows = [("a", "x"), ("a", None), ("a", "y"), ("b", "z")]
+    d2 = spark.createDataFrame(rows, "g string, k string")
+    got2 = {(r.g, r.k): r.rn for r in number_rows(d2, ["g"], ["k"], "rn", descending=[True]).collect()}
+    assert got2 == {("a", "y"): 1, ("a", "x"): 2, ("a", None): 3, ("b", "z"): 1}

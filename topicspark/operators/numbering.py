@@ -52,9 +52,10 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
 
     base = df.select("*", *[F.col(c).alias(k) for c, k in zip(by, keys)],
                      *[c.alias(k) for c, k in zip(order_cols, okeys)])
+    base = _numeric_first_key(base, okeys[0])
     # The bucketing key ascends in sort order; nulls go to bucket -1 (nulls
     # first, ascending) or to a bucket past the last one (nulls last).
-    first = F.col(okeys[0]).cast("double")
+    first = F.col("_ts_o0n").cast("double")
     bkey = -first if descending[0] else first
     base = base.withColumn("_ts_bk", bkey)
 
@@ -102,6 +103,22 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
                       *extra)
 
 
+def _numeric_first_key(base: DataFrame, col: str) -> DataFrame:
+    """Add ``_ts_o0n``: the first order key itself when numeric, else its
+    dense rank (same order, nulls stay null) from a distributed running
+    count over the distinct values, joined back by value."""
+    from pyspark.sql import types as T
+    dtype = base.schema[col].dataType
+    if isinstance(dtype, T.NumericType):
+        return base.withColumn("_ts_o0n", F.col(col))
+    values = base.select(F.col(col).alias("_ts_v")).filter(F.col("_ts_v").isNotNull()).distinct() \
+        .withColumn("_ts_one", F.lit(1))
+    ranks = running_offsets(values, [F.col("_ts_v").asc()], "_ts_one", "_ts_o0n")
+    ranks = ranks.select("_ts_v", "_ts_o0n").checkpoint(eager=True)
+    n = ranks.count()
+    return base.join(_maybe_broadcast(ranks, n), base[col] == ranks["_ts_v"], "left").drop("_ts_v")
+
+
 def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str],
                        name: str = "rn") -> DataFrame:
     """Global 1-based position in the order (``outer`` keys, then ``order``),
