@@ -37,11 +37,11 @@ def _maxids_path(table: str) -> str:
 
 
 def _batch_writer(table: str, as_of: str):
-    """foreachBatch body. Besides the rows, every batch writes the running
-    max id per topic to ``<table>_maxids/batch_id=<b>`` (one row per
-    topic); batch b takes its id base from batch b - 1 only, so a batch
-    costs O(its rows + topics), not a scan of the table, and a replayed
-    batch gets the same ids."""
+    """foreachBatch body. Every batch first writes the running max id per
+    topic (base + its good rows) to ``<table>_maxids/batch_id=<b>`` (one row
+    per topic), then its rows. Batch b takes its id base from batch b - 1
+    only, so a batch costs O(its rows + topics), not a scan of the table,
+    and a replayed batch writes the same max ids and the same rows."""
     maxids = _maxids_path(table)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -64,21 +64,25 @@ def _batch_writer(table: str, as_of: str):
         ordered = (good.withColumn("_pos", F.monotonically_increasing_id())
                        .join(F.broadcast(files), "_file"))
         nodes = to_node_rows(ordered, as_of)
-        rows = store.allocate_ids(nodes, None, ["_file_rank", "_pos"],
-                                  base=base)
+        if base is None:
+            base = spark.createDataFrame([], "topic string, max_id long")
+        from topicspark.operators.sizing import bounded_broadcast
+        base = bounded_broadcast(base)  # fixed and size-checked once per batch
+        # Reserve first: running max = base + good rows per topic, written
+        # under this batch id before the rows (a replay writes the same).
+        counts = good.groupBy("topic").agg(F.count(F.lit(1)).alias("_n"))
+        running = (base.join(counts, "topic", "full_outer")
+                       .select("topic", (F.coalesce("max_id", F.lit(0)) + F.coalesce("_n", F.lit(0)))
+                               .cast("long").alias("max_id")))
+        (running.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id").parquet(maxids))
+        rows = store.allocate_ids(nodes, None, ["_file_rank", "_pos"], base=base, base_checked=True)
         (rows.select("topic", "id", "question", "answer", "keywords", "updatedAt")
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
              .transform(lambda d: store.cluster_for_write(d, ["topic", "id"])).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id", "topic").parquet(table))
-        written = (spark.read.parquet(table).filter(F.col("batch_id") == F.lit(batch_id))
-                        .groupBy(F.col("topic").cast("string").alias("topic"))
-                        .agg(F.max("id").alias("max_id")))
-        running = written if base is None else written.unionByName(base)
-        (running.groupBy("topic").agg(F.max("max_id").cast("long").alias("max_id"))
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id").parquet(maxids))
     return write
 
 
