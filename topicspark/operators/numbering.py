@@ -2,7 +2,8 @@
 
 ``row_number() OVER (PARTITION BY topic ORDER BY id)`` puts every row of a
 topic into one task; a topic holding a third of the table would be one task.
-Here each group is cut into buckets along its first (numeric) order key:
+Here each group is cut into buckets along its first order key (a
+non-numeric first key is first replaced by its dense rank):
 
 1. per group: min, max and count of the first key (one small aggregate,
    checkpointed so every later use sees the same numbers);
@@ -39,8 +40,9 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
                 target_rows: int = TARGET_ROWS, bucket_col: str | None = None) -> DataFrame:
     """Add ``name`` = 1-based position (long) of each row within its ``by``
     group in ``order``: ascending with nulls first, or descending with nulls
-    last where ``descending`` says so. The first order key must be numeric;
-    end ``order`` with a unique key so that the order is total.
+    last where ``descending`` says so. End ``order`` with a unique key so
+    that the order is total. A non-numeric first key costs one more join
+    (its dense rank, see ``_numeric_first_key``).
     ``bucket_col`` keeps the bucket of each row under that name.
     """
     spark = df.sparkSession
