@@ -11,10 +11,12 @@ from topicspark.session import checkpoint_dir
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Materialise a small table once (reliable checkpoint in the shared
     folder), count it, and mark it for broadcast only when the count is
-    within ``max_rows``; otherwise return it for a shuffle join."""
+    within ``max_rows`` (default ``MAX_BROADCAST_ROWS``); otherwise return
+    it for a shuffle join."""
     checkpoint_dir(df.sparkSession)
+    bound = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     fixed = df.checkpoint(eager=True)
-    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed
+    return F.broadcast(fixed) if fixed.count() <= bound else fixed
