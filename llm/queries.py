@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from llm import host_rules, jaccard_join
+from llm import bpe_prefix, host_rules, jaccard_join, line_dedup, rule_ensemble, soft_mixing
 from llm.tables import ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +27,39 @@ def _register(name: str, sql: str | None = None):
     return put
 
 
+@_register("op2_rule_ensemble_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_register("op3_soft_mixing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return soft_mixing.mixer(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).rates()
+
+
 @_register("op5_host_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def vocabulary() -> str:
+    """The public vocabulary file that the queries use, as text."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+@_register("op6_prefix_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_prefix.encode_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@_register("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 @_register("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
