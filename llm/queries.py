@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe_prefix, host_rules, jaccard_join, line_dedup, rule_ensemble, soft_mixing
+from llm import block_topk, bpe_prefix, host_rules, jaccard_join, line_dedup, rule_ensemble, seed_extend, soft_mixing
 from llm.tables import ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,25 @@ def _register(name: str, sql: str | None = None):
     return put
 
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.v, v.v) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@_register("op1_block_topk", TOPK_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = block_topk.integers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return block_topk.search(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
 @_register("op2_rule_ensemble_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -37,6 +56,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return soft_mixing.mixer(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).rates()
 
 
+@_register("op4_seed_extend_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seed_extend.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 @_register("op5_host_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
