@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import block_topk, bpe_prefix, host_rules, jaccard_join, line_dedup, rule_ensemble, seed_extend, soft_mixing
+from llm import (
+    balanced_shards, block_topk, bpe_prefix, host_rules, jaccard_join, line_dedup, rule_ensemble, secret_scan, seed_extend,
+    soft_mixing,
+)
 from llm.tables import ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +87,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+@_register("op8_balanced_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @_register("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
