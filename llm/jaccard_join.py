@@ -11,16 +11,24 @@ link nothing, fill those prefixes first. Small sets are put under a key for
 each subset of k = 2 members of their prefix; large sets are scanned through
 the inverted lists of the single members of theirs (k = 1). Sets just below
 the boundary stand in both indexes, so no pair of sizes is missed. The
-boundary is the one of least estimated cost, from the subsets that each size
-would make and the lengths of the lists that it would scan.
-
-Below a key, sets are not paired with each other. All are compared with the
-key's smallest document first; components of the links so found are built;
-only keys that still hold more than one component are looked at again, and
-there only sets outside the key's largest component are paired with the rest.
-Every pair that shares a key is therefore compared or already connected: no
-link that changes a component is lost, and a group of many near copies costs
-a comparison each, not one per pair.
+boundary is the one of least estimated cost: a row for each subset that a
+size would make, against a row and a quarter of the logarithm of its list's
+length for each member that it would scan (lists are not scanned pair by
+pair, see below, so their length counts for little).
+
+A key's place in a set's order bounds what the two sets can share if the key
+is the first one in common, and pairs for which that is too little are not
+compared (a pair that links has such a first key, so none is lost).
+
+Below a key, sets are not paired with each other. First every set is compared
+with one other, the first document among the heads of its keys, and the
+components of the links so found are built. In a few more turns every set
+outside the largest component of a key is compared with one inside. Only keys
+that then still hold more than one component are taken whole, and there sets
+outside the key's largest component are paired with the sets of other
+components. Every pair that shares a key is therefore compared, ruled out by
+its bound or already connected: no link that changes a component is lost, and
+a group of many near copies costs a few comparisons a set, not one per pair.
 
 Document frequencies cover every set. They are counted by packed requests: a
 chunk of documents sends each range of shingles as one block of 32-bit keys
@@ -55,6 +63,8 @@ NUM, DEN = 80, 100
 CHUNK, RANGE = 1 << 19, 1 << 21
 #: Sizes up to which a boundary between small and large sets is considered.
 MOST_SMALL = 256
+#: Turns (1 or more) in which every set outside its keys' main components is compared with one set inside.
+TURNS = 1
 
 
 def shingle_sets(texts, k: int = SHINGLE) -> list[np.ndarray]:
@@ -162,7 +172,7 @@ def _prefixes(ranges: int):
         code = np.concatenate([np.frombuffer(c, np.uint8) for _, c in blocks]) if blocks else np.zeros(0, np.uint8)
         order = np.argsort(h)
         h, code = h[order], code[order]
-        cols: dict[str, list] = {k: [] for k in ("doc_id", "n", "members", "prefix", "n_single", "scan")}
+        cols: dict[str, list] = {k: [] for k in ("doc_id", "n", "members", "prefix", "room", "n_single", "scan")}
         for d, _, s in actors:
             n = len(s)
             c = code[np.searchsorted(h, s)]
@@ -176,10 +186,12 @@ def _prefixes(ranges: int):
             cols["n"].append(n)
             cols["members"].append(s.tobytes())
             cols["prefix"].append(W.signed(p[shared]))
+            cols["room"].append((n - np.flatnonzero(shared)).astype(np.int64))
             cols["n_single"].append(int(np.count_nonzero(shared[:single])))
-            cols["scan"].append(float(np.exp2(c[:single][shared[:single]] / 8.0).sum()))
+            cols["scan"].append(float((1 + c[:single][shared[:single]] / 32.0).sum()))
         return pa.table({"doc_id": pa.array(cols["doc_id"], pa.int64()), "n": pa.array(cols["n"], pa.int64()),
                          "members": pa.array(cols["members"], pa.binary()), "prefix": pa.array(cols["prefix"], pa.list_(pa.int64())),
+                         "room": pa.array(cols["room"], pa.list_(pa.int64())),
                          "n_single": pa.array(cols["n_single"], pa.int32()), "scan": pa.array(cols["scan"], pa.float64())})
     return run
 
@@ -196,7 +208,7 @@ def prefixes(docs: DataFrame, vertices: DataFrame) -> DataFrame:
     told = allowed.select("chunk", "doc_id", "set_key", F.lit(None).cast("long").alias("range"), F.lit(None).cast("binary").alias("codes")).unionByName(
         answers.select("chunk", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("set_key"), "range", "codes"))
     return texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        _prefixes(ranges), "doc_id long, n long, members binary, prefix array<bigint>, n_single int, scan double")
+        _prefixes(ranges), "doc_id long, n long, members binary, prefix array<bigint>, room array<bigint>, n_single int, scan double")
 
 
 def boundary(found: DataFrame) -> int:
@@ -210,17 +222,25 @@ def boundary(found: DataFrame) -> int:
 
 
 def postings(found: DataFrame, x: int) -> DataFrame:
-    """(kind, key, doc_id, n): subsets of two for sets up to x, single members for sets from t x on."""
-    two = F.flatten(F.transform("prefix", lambda a, i: F.transform(
-        F.slice("prefix", i + 2, F.size("prefix")), lambda b: F.xxhash64(a, b))))
-    small = found.filter(F.col("n") <= x).select(F.lit(2).alias("kind"), F.explode(two).alias("key"), "doc_id", "n")
-    large = found.filter(DEN * F.col("n") >= NUM * x).select(
-        F.lit(1).alias("kind"), F.explode(F.slice("prefix", F.lit(1), F.col("n_single"))).alias("key"), "doc_id", "n")
-    return small.unionByName(large)
+    """(kind, key, doc_id, n, room): subsets of two for sets up to x, single members for sets from t x on.
+
+    ``room``: the most members that a set can share with another if this key
+    is the first that they share; with a key of two members, the first counts
+    on top of those from the second on.
+    """
+    spot = F.transform("prefix", lambda k, i: F.struct(k.alias("k"), F.get("room", i).alias("r")))
+    two = F.flatten(F.transform("_spots", lambda a, i: F.transform(
+        F.slice("_spots", i + 2, F.size("_spots")), lambda b: F.struct(F.xxhash64(a["k"], b["k"]).alias("k"), (b["r"] + 1).alias("r")))))
+    spots = found.withColumn("_spots", spot)
+    small = spots.filter(F.col("n") <= x).select(F.lit(2).alias("kind"), F.explode(two).alias("s"), "doc_id", "n")
+    large = spots.filter(DEN * F.col("n") >= NUM * x).select(
+        F.lit(1).alias("kind"), F.explode(F.slice("_spots", F.lit(1), F.col("n_single"))).alias("s"), "doc_id", "n")
+    return small.unionByName(large).select("kind", F.col("s.k").alias("key"), "doc_id", "n", F.col("s.r").alias("room"))
 
 
-def _fits(a: str, b: str):
-    return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
+def _may_link(a: str, b: str, room_a: str, room_b: str):
+    """Whether the overlap that the key leaves room for can reach the bound."""
+    return (DEN + NUM) * F.least(room_a, room_b) >= NUM * (F.col(a) + F.col(b))
 
 
 def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -243,29 +263,47 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def links(found: DataFrame) -> DataFrame:
-    """Enough links (a, b) between vertices to connect all that are connected."""
-    found = written(found, "jaccard-sets")
-    lists = written(postings(found, boundary(found)), "jaccard-lists")
-    heads = lists.groupBy("kind", "key").agg(F.min(F.struct("doc_id", "n")).alias("head"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    star = (lists.join(heads, ["kind", "key"]).filter((F.col("doc_id") > F.col("head.doc_id")) & _fits("n", "head.n"))
-            .select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct())
-    star = written(star, "jaccard-star")
-    first = written(verified(star, found), "jaccard-links")
-    named = components(first)
-    # Keys that still hold more than one component: their sets outside the largest one, against all.
-    marked = lists.join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    marked = written(marked, "jaccard-marked")
+def _marked(lists: DataFrame, links_so_far: DataFrame) -> DataFrame:
+    """The postings of keys that hold more than one component, with the components and the key's largest one."""
+    named = components(links_so_far).withColumnRenamed("node", "doc_id")
+    marked = lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     per = marked.groupBy("kind", "key", "component").agg(F.count(F.lit(1)).alias("m"))
     open_keys = (per.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("m", "component")).alias("main"))
                  .filter("parts > 1").select("kind", "key", "main"))
-    rest = marked.join(open_keys, ["kind", "key"])
+    return written(marked.join(open_keys, ["kind", "key"]), "jaccard-open")
+
+
+def _one_each(lists: DataFrame, turn: int) -> DataFrame:
+    """A pair (a, b) for each set at most: with the first, in this turn's order, of the heads of its keys.
+
+    A key's head is its first set in the turn's order; from the second turn on
+    only keys of several components count, and heads of the key's main one.
+    """
+    order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+    pool = lists if turn == 0 else lists.filter("component = main")
+    heads = pool.groupBy("kind", "key").agg(F.min(F.struct(order.alias("o"), F.col("doc_id").alias("head"), F.col("n").alias("hn"), F.col("room").alias("hr"))).alias("h")).select("kind", "key", "h.*")
+    seekers = lists if turn == 0 else lists.filter("component <> main")
+    met = seekers.join(heads, ["kind", "key"]).filter((F.col("doc_id") != F.col("head")) & _may_link("n", "hn", "room", "hr"))
+    return (met.groupBy("doc_id").agg(F.min_by("head", "o").alias("head"))
+            .select(F.least("doc_id", "head").alias("a"), F.greatest("doc_id", "head").alias("b")).distinct())
+
+
+def links(found: DataFrame) -> DataFrame:
+    """Enough links (a, b) between vertices to connect all that are connected."""
+    found = written(found, "jaccard-sets")
+    lists = postings(found, boundary(found))
+    lists = written(lists.join(lists.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("kind", "key"), ["kind", "key"]), "jaccard-lists")
+    sure = written(verified(_one_each(lists, 0), found), "jaccard-links")
+    rest = _marked(lists, sure)
+    for turn in range(1, TURNS + 1):
+        sure = written(sure.unionByName(verified(_one_each(rest, turn), found)), "jaccard-links")
+        rest = _marked(rest.select(*lists.columns), sure)
+    # What is left: keys of several components, their sets outside the largest one against all others.
     others = rest.filter("component <> main").select(
-        "kind", "key", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("component").alias("oc"))
-    pairs = (rest.join(others, ["kind", "key"]).filter((F.col("component") != F.col("oc")) & _fits("n", "on"))
-             .select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    return first.unionByName(verified(pairs, found))
+        "kind", "key", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("room").alias("oroom"), F.col("component").alias("oc"))
+    pairs = (rest.join(others, ["kind", "key"]).filter((F.col("component") != F.col("oc")) & _may_link("n", "on", "room", "oroom"))
+             .select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct())
+    return sure.unionByName(verified(pairs, found))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
