@@ -36,7 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEEP = 150_000
+KEEP = 100_000
+#: Pairs of tokens whose compatibility a worker remembers.
+KEEP_PAIRS = 200_000
 #: Fixed value: the only pre-tokenizer pattern that is known here.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = 0x10000  # added to the code point of a piece's last character
@@ -55,14 +57,13 @@ class PrefixBPE:
     def __init__(self, vocabulary: str):
         import ahocorasick
         import regex
-        from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary)
         model = spec["model"]
         kinds = [x.get("pattern", {}).get("Regex") for x in spec["pre_tokenizer"]["pretokenizers"]]
         if kinds[0] != PATTERN or spec["decoder"] is not None or model["end_of_word_suffix"] != "</w>":
             raise ValueError("this vocabulary file has other rules than those known here")
-        self._library = Tokenizer.from_str(vocabulary)
+        self._file, self._library = vocabulary, None
         self._piece = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}"))
         self._plain = regex.compile("[\x00-" + chr(0x24F) + "]*")
         self._special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -80,7 +81,7 @@ class PrefixBPE:
             self._rank[u, v] = rank
             if whole not in self._parts:
                 self._parts[whole], self._made[whole] = (u, v), rank
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         whole_tokens: dict[int, bool] = {}
         for t in sorted(set(vocab.values()), key=lambda t: self._made.get(t, -1)):
             parts = self._parts.get(t)
@@ -123,11 +124,12 @@ class PrefixBPE:
                 u = last[before][0]
                 if u < 0:
                     continue
-                ok = fits.get((u, t))
+                pair = u << 32 | t
+                ok = fits.get(pair)
                 if ok is None:
                     ok = self._stays(u, t, 1 << 30)
-                    if len(fits) < 1 << 20:
-                        fits[u, t] = ok
+                    if len(fits) < KEEP_PAIRS:
+                        fits[pair] = ok
                 if not ok:
                     continue
             last[end + 1] = (t, size)
@@ -153,6 +155,10 @@ class PrefixBPE:
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text)
             return self._piece.findall(text.lower())
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self._file)
         known = self._library
         normal = known.normalizer.normalize_str(text)
         back = {c: b for b, c in enumerate(self._chars)}
@@ -213,4 +219,5 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False) -
                 cols += [pa.array(all_ids, pa.list_(pa.int64())), pa.array(texts, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names)
+        pa.default_memory_pool().release_unused()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
