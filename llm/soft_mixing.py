@@ -36,7 +36,6 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from llm import text_stats
 from llm.tables import written
@@ -128,14 +127,17 @@ def descend(narrow: DataFrame, weights: list[float], reduce: list[int], budget:
     return np.array(steps).reshape(-1, k), now, target
 
 
-def _with_rate(df: DataFrame, steps: np.ndarray, k: int) -> DataFrame:
-    schema = StructType([*df.schema.fields, StructField("_rate", DoubleType())])
-
-    def run(batches):
-        for b in batches:
-            r = _rates(_matrix(b.column(b.schema.get_field_index("_p")), k), steps)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], [*b.schema.names, "_rate"])
-    return df.mapInArrow(run, schema)
+def _rate(steps: np.ndarray) -> Column:
+    """The rate that the steps lead to from 1, as a column over ``_p``."""
+    p = F.col("_p")
+    def step(r: Column, s: Column) -> Column:
+        taken = F.lit(0.0)
+        for i in range(steps.shape[1]):
+            taken = taken + p[i] * s[i]
+        return F.greatest(F.lit(0.0), r - taken)
+    if not len(steps):
+        return F.lit(1.0)
+    return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps]), F.lit(1.0), step)
 
 
 def _copies() -> Column:
@@ -161,13 +163,12 @@ class Mixer:
         """(doc_id, domain, tokens, rate, copies) per row."""
         p = F.col("_p")
         best = F.array(*[F.lit(d) for d in self.domains])[F.array_position(p, F.array_max(p)).cast("int") - 1]
-        rated = _with_rate(self.narrow, self.steps, len(self.domains))
-        return rated.select("doc_id", best.alias("domain"), F.col("_stats_words").alias("tokens"),
-                            F.round("_rate", 6).alias("rate"), _copies().alias("copies"))
+        return self.narrow.withColumn("_rate", _rate(self.steps)).select("doc_id", best.alias("domain"), F.col("_stats_words").alias("tokens"),
+                                                                         F.round("_rate", 6).alias("rate"), _copies().alias("copies"))
 
     def mixed(self, docs: DataFrame) -> DataFrame:
         """``docs`` with every row as often as its rate says."""
-        rated = _with_rate(self._told(docs, True).drop("_stats"), self.steps, len(self.domains))
+        rated = self._told(docs, True).drop("_stats").withColumn("_rate", _rate(self.steps))
         return (rated.withColumn("_copies", _copies()).filter("_copies > 0")
                 .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
                 .select(*[F.col(f"`{c}`") for c in docs.columns]))

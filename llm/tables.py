@@ -28,6 +28,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 _SHIPPED: set[str] = set()
+#: Rows of an Arrow batch: whole texts go through Python workers, so a batch holds few.
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
@@ -36,6 +38,8 @@ def ship(spark: SparkSession) -> None:
     import tempfile
     import zipfile
 
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":  # Spark's own default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
