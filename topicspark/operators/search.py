@@ -172,7 +172,8 @@ def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str)
     lines = summary_lines(chunk_index)
     from topicspark.sources.store import cluster_for_write
     (cluster_for_write(lines.select(*LINE_KEY, "row_id", "row_text"), LINE_KEY)
-          .write.mode("overwrite").partitionBy("topic").parquet(lines_path))
+          .write.mode("overwrite").option("partitionOverwriteMode", "static")  # topics that left the index go
+          .partitionBy("topic").parquet(lines_path))
     n_parts = int(chunk_index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (line_term_table(spark_lines(chunk_index.sparkSession, lines_path))
         .repartition(n_parts, "term").sortWithinPartitions("term")

@@ -33,7 +33,7 @@ def read_headed_csv(spark: SparkSession, path: str, columns: list[str] | None =
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
     """Topic list, one per line, stripped; blank lines skipped."""
-    return (spark.read.text(path).select(F.trim(F.col("value")).alias("topic"))
+    return (spark.read.text(path).select(F.btrim(F.col("value"), F.lit(" \t\n\x0b\x0c\r")).alias("topic"))
             .filter(F.col("topic") != ""))
 
 
@@ -66,7 +66,12 @@ def export_topics_csv(df: DataFrame, path: str, topic: str | None = None,
     writer.csv(path)
 
 
+def append_rows(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Append string rows to a topic-partitioned table."""
+    df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("topic").parquet(path)
+
+
 def manual_insert(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """Rows of a headed CSV, all strings, tagged with one named topic
-    (append them with ``store.append_rows``)."""
+    (append them with ``append_rows``)."""
     return read_headed_csv(spark, path).withColumn("topic", F.lit(topic))

@@ -7,6 +7,7 @@ database per topic: a topic scan is a partition-pruned read.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +16,19 @@ from topicspark.operators.sizing import bounded_broadcast
 from topicspark.schemas import ARTICLE, CHUNK_INDEX
 
 
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a read failed because nothing was written there yet; any other
+    failure (storage, permissions) must reach the caller."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """All topic tables (empty frame of the article schema when absent)."""
     try:
         return spark.read.schema(ARTICLE).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing table reads as empty
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         return spark.createDataFrame([], ARTICLE)
 
 
@@ -73,9 +82,11 @@ def cluster_for_write(df: DataFrame, keys: list[str], block: int = WRITE_BLOCK)
 
 
 def append_articles(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Routed append: each row lands in its topic's partition."""
+    """Routed append: each row lands in its topic's partition. With
+    ``mode="overwrite"`` the whole table is replaced, whatever the session's
+    partition overwrite mode."""
     (cluster_for_write(df.select(*[f.name for f in ARTICLE.fields]), ["topic", "id"])
-       .write.mode(mode).partitionBy("topic").parquet(path))
+       .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("topic").parquet(path))
 
 
 def write_chunk_index(df: DataFrame, path: str) -> None:
@@ -102,7 +113,9 @@ def read_max_ids(spark: SparkSession, table: str) -> DataFrame | None:
     try:
         return spark.read.parquet(max_ids_path(table)).select(
             F.col("topic").cast("string"), F.col("max_id").cast("long"))
-    except Exception:  # noqa: BLE001 - not written yet
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         return None
 
 

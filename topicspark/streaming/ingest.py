@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,17 @@ def _maxids_path(table: str) -> str:
     return table.rstrip("/") + "_maxids"
 
 
+def rejects_path(table: str) -> str:
+    """Rejected rows of every batch, with their reason, by ``batch_id``."""
+    return table.rstrip("/") + "_rejects"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _batch_writer(table: str, as_of: str):
     """foreachBatch body. Every batch first writes the running max id per
     topic (base + its good rows) to ``<table>_maxids/batch_id=<b>`` (one row
@@ -51,9 +63,13 @@ def _batch_writer(table: str, as_of: str):
             try:
                 base = (spark.read.parquet(maxids).filter(F.col("batch_id") == F.lit(batch_id - 1))
                              .select(F.col("topic").cast("string"), "max_id"))
-            except Exception:  # noqa: BLE001 - no earlier batch wrote ids
-                base = None
+            except AnalysisException as e:
+                if not store.is_absent(e):
+                    raise
         v = validate(batch)
+        (v.filter(F.col("reject_reason").isNotNull()).select("question", "answer", "topic", "reject_reason")
+          .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_path(table)))
         good = v.filter(F.col("reject_reason").isNull()).drop("reject_reason")
         # Input order inside a batch: file name, then position in the file
         # (a file is read by one task, so the position is its row order).
@@ -88,7 +104,13 @@ def _batch_writer(table: str, as_of: str):
 
 def run_ingest_stream(spark: SparkSession, folder: str, table: str, checkpoint: str,
                       as_of: str, files_per_batch: int = 1) -> None:
-    """Ingest every file now in ``folder`` (availableNow) and stop."""
+    """Ingest every file now in ``folder`` (availableNow) and stop.
+
+    Batch ids start again with a new checkpoint, and a batch replaces its own
+    partitions: a new checkpoint over a table that is already there would
+    overwrite it, or reuse its ids, and is refused."""
+    if not _exists(spark, checkpoint) and (_exists(spark, table) or _exists(spark, _maxids_path(table))):
+        raise ValueError(f"{table} was written by another stream or a batch load; go on with its checkpoint or take a new table")
     q = (input_stream(spark, folder, files_per_batch).writeStream
          .foreachBatch(_batch_writer(table, as_of))
          .option("checkpointLocation", checkpoint)
