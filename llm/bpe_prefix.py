@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.tables import releasing
+
 KEEP = 100_000
 #: Pairs of tokens whose compatibility a worker remembers.
 KEEP_PAIRS = 200_000
@@ -219,5 +221,4 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False) -
                 cols += [pa.array(all_ids, pa.list_(pa.int64())), pa.array(texts, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names)
-        pa.default_memory_pool().release_unused()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(run), schema)

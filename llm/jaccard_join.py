@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 
 from llm import words as W
 from llm.components import components
-from llm.tables import partitions, written
+from llm.tables import partitions, releasing, releasing_group, releasing_pair, written
 
 SHINGLE = 5
 #: Similarity bound as a fraction of whole numbers: 80 / 100.
@@ -104,7 +104,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                  pa.array([_set_key(s) if len(s) else None for s in sets], pa.binary())],
                 ["doc_id", "n_shingles", "set_key"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary")
+        releasing(run), "doc_id long, n_shingles long, set_key binary")
 
 
 def _chunked(docs: DataFrame, chunks: int) -> DataFrame:
@@ -203,12 +203,12 @@ def prefixes(docs: DataFrame, vertices: DataFrame) -> DataFrame:
     texts = _chunked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null"), chunks)
     allowed = _chunked(vertices.select("doc_id", "set_key"), chunks)
     asked = texts.groupBy("chunk").cogroup(allowed.groupBy("chunk")).applyInArrow(
-        _requests(ranges), "chunk long, range long, keys binary, counts binary")
-    answers = asked.groupBy("range").applyInArrow(_answers, "chunk long, range long, codes binary")
+        releasing_pair(_requests(ranges)), "chunk long, range long, keys binary, counts binary")
+    answers = asked.groupBy("range").applyInArrow(releasing_group(_answers), "chunk long, range long, codes binary")
     told = allowed.select("chunk", "doc_id", "set_key", F.lit(None).cast("long").alias("range"), F.lit(None).cast("binary").alias("codes")).unionByName(
         answers.select("chunk", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("set_key"), "range", "codes"))
     return texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        _prefixes(ranges), "doc_id long, n long, members binary, prefix array<bigint>, room array<bigint>, n_single int, scan double")
+        releasing_pair(_prefixes(ranges)), "doc_id long, n long, members binary, prefix array<bigint>, room array<bigint>, n_single int, scan double")
 
 
 def boundary(found: DataFrame) -> int:
@@ -260,7 +260,7 @@ def verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
                 shared = int(np.count_nonzero(q[at] == p))
                 keep.append(DEN * shared >= NUM * (len(p) + len(q) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(releasing(run), "a long, b long").distinct()
 
 
 def _marked(lists: DataFrame, links_so_far: DataFrame) -> DataFrame:

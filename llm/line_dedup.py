@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.tables import written
+from llm.tables import releasing, written
 
 MIN_CHARS = 24
 
@@ -127,7 +127,7 @@ def deletions(sequences: DataFrame) -> DataFrame:
                         at += range(i, i + n)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(versions, pa.int64()), pa.array(at, pa.int32())],
                                              ["doc_id", "version", "at"])
-    return both.mapInArrow(run, "doc_id long, version long, at int").distinct()
+    return both.mapInArrow(releasing(run), "doc_id long, version long, at int").distinct()
 
 
 def _with_deletions(docs: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def _with_deletions(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in rest), pa.array(n_lines, pa.int64()),
                  pa.array(n_deleted, pa.int64()), pa.array(clean, pa.string())], [*rest, "_n_lines", "_n_deleted", "_clean"])
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(releasing(run), schema)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

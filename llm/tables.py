@@ -27,9 +27,47 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _release() -> None:
+    """Give the memory that Arrow and numpy keep for later use back to the system, where the C library can."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run):
+    """``run`` over a task's batches, then what it took is given back: a Python worker lives on into later stages."""
+    def batches(*args):
+        yield from run(*args)
+        _release()
+    return batches
+
+
+def releasing_group(run):
+    """The same for a function of one group."""
+    def group(rows):
+        out = run(rows)
+        _release()
+        return out
+    return group
+
+
+def releasing_pair(run):
+    """The same for a function of a pair of groups."""
+    def pair(left, right):
+        out = run(left, right)
+        _release()
+        return out
+    return pair
+
+
 _SHIPPED: set[str] = set()
-#: Rows of an Arrow batch: whole texts go through Python workers, so a batch holds few.
-BATCH_ROWS = 2000
+#: Bounds of an Arrow batch: whole texts go through Python workers, so a batch holds few.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -40,6 +78,7 @@ def ship(spark: SparkSession) -> None:
 
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":  # Spark's own default
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

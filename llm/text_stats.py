@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType
 
 from llm import words as W
+from llm.tables import releasing
 
 #: Characters whose share of a text's bytes is a statistic, by name.
 SHARES = {
@@ -61,4 +62,4 @@ def with_statistics(df: DataFrame, column: str = "_stats", keep_text: bool = Fal
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(words), lists],
                 [*kept, f"{column}_words", column])
-    return df.mapInArrow(run, out)
+    return df.mapInArrow(releasing(run), out)
