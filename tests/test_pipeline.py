@@ -191,3 +191,29 @@ def test_partial_rebuild_keeps_index_ids(spark):
     again = build_index(spark, base + "/a", base + "/part", 4, topics=["src3", "src7"])
     got = sorted(tuple(r) for r in again.select("id", "topic", "chunkStart", "summary").collect())
     assert got == full
+
+
+def test_index_ids_stay_unique_when_a_topic_grows(spark):
+    from topicspark.plans.index import build_index
+    base = tempfile.mkdtemp(prefix="ts-grow-")
+
+    def rows(topic, lo, hi):
+        return spark.range(lo, hi + 1).select(
+            F.lit(topic).alias("topic"), "id", F.lit("").alias("question"), F.lit("one two. three four.").alias("answer"),
+            F.array(F.lit("k"), F.concat(F.lit("k"), (F.col("id") % 2).cast("string"))).alias("keywords"),
+            F.to_timestamp(F.lit("2024-01-01")).alias("updatedAt"))
+    store.append_articles(rows("a", 1, 4).unionByName(rows("b", 1, 4)).unionByName(rows("c", 1, 4)), base + "/a")
+    build_index(spark, base + "/a", base + "/i", 2)
+    store.append_articles(rows("a", 5, 8), base + "/a")
+
+    def ids(df):
+        return {t: sorted(r.id for r in df.collect() if r.topic == t) for t in "abc"}
+    assert ids(build_index(spark, base + "/a", base + "/i", 2, topics=["a", "absent"])) == {
+        "a": [7, 8, 9, 10], "b": [3, 4], "c": [5, 6]}
+    # b would stand at 5 and 6 in a full build, where c still is.
+    assert ids(build_index(spark, base + "/a", base + "/i", 2, topics=["b"], method="keywords")) == {
+        "a": [7, 8, 9, 10], "b": [11, 12], "c": [5, 6]}
+    got = {r.chunkStart: r.summary for r in store.read_chunk_index(spark, base + "/i").filter("topic = 'b'").collect()}
+    assert got == {1: '{"k":[1,2],"k0":[2],"k1":[1]}', 3: '{"k":[3,4],"k0":[4],"k1":[3]}'}
+    first = ids(build_index(spark, base + "/a", base + "/new", 2, topics=["c", "a"]))
+    assert first == {"a": [3, 4, 5, 6], "b": [], "c": [1, 2]}

@@ -3,36 +3,94 @@ S9 (all topics) -> W1 -> T6 -> A10/A11 -> W4 -> S10."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicspark.operators.chunks import DEFAULT_CHUNK_SIZE, build_chunk_index
+from topicspark.operators.chunks import (
+    DEFAULT_CHUNK_SIZE, assign_chunks, build_chunk_index, chunk_bounds, index_ids,
+)
+from topicspark.operators.keywords import keyword_index, keyword_maps
+from topicspark.operators.numbering import running_offsets
 from topicspark.operators.summarize import summarize
 from topicspark.sources import store
 
 
+def plan_keyword_index(rows: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
+                       as_of: str = "2024-01-01 00:00:00",
+                       topic_order: DataFrame | None = None,
+                       chunk_counts: DataFrame | None = None) -> DataFrame:
+    """Index rows whose summary is the chunk's keyword map as JSON, of
+    ``rows`` (topic, id, keywords); a chunk without keywords has ``{}``."""
+    bounds = chunk_bounds(assign_chunks(rows.select("topic", "id"), chunk_size))
+    maps = keyword_maps(keyword_index(rows, chunk_size)).select("topic", "chunk", "keyword_json")
+    chunks = bounds.join(maps, ["topic", "chunk"], "left")
+    return index_ids(chunks, topic_order, chunk_counts).select(
+        "id", F.col("chunk_start").alias("chunkStart"), F.col("chunk_end").alias("chunkEnd"), "topic",
+        F.coalesce("keyword_json", F.lit("{}")).alias("summary"),
+        F.to_timestamp(F.lit(str(as_of))).alias("updatedAt"))
+
+
 def plan_index(articles: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                as_of: str = "2024-01-01 00:00:00", method: str = "degree",
                topic_order: DataFrame | None = None,
                chunk_counts: DataFrame | None = None) -> DataFrame:
+    """``method``: ``degree`` or ``textrank`` summaries, or ``keywords``."""
+    if method == "keywords":
+        return plan_keyword_index(articles, chunk_size, as_of, topic_order, chunk_counts)
     summ = summarize(articles, ["topic", "id"], method=method)
     return build_chunk_index(articles, summ, chunk_size, as_of, topic_order, chunk_counts)
 
 
+def _stored_index(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return store.read_chunk_index(spark, path)
+    except AnalysisException as e:
+        if not store.is_absent(e):
+            raise
+        return None
+
+
+def _at_full_places(index: DataFrame, counts: DataFrame) -> bool:
+    """Whether every topic of ``index`` holds the ids that a build of all
+    topics would give it; ``counts`` (topic, _nchunks) are all topics."""
+    places = running_offsets(counts.withColumn("_tpos", F.col("topic")),
+                             [F.col("_tpos").asc_nulls_last(), F.col("topic").asc()], "_nchunks", "_off")
+    held = index.groupBy("topic").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
+                                      F.count(F.lit(1)).alias("n"))
+    off = held.join(places.select("topic", "_nchunks", "_off"), "topic", "left").filter(
+        F.col("_off").isNull() | (F.col("n") != F.col("_nchunks"))
+        | (F.col("lo") != F.col("_off") + 1) | (F.col("hi") != F.col("_off") + F.col("n")))
+    return off.limit(1).count() == 0
+
+
 def build_index(spark: SparkSession, articles_path: str, index_path: str,
                 chunk_size: int = DEFAULT_CHUNK_SIZE, as_of: str = "2024-01-01 00:00:00",
                 topics: list[str] | None = None, method: str = "degree") -> DataFrame:
-    """Summarise ``topics`` (all when None) and overwrite their index rows.
-
-    For a partial rebuild the chunks per topic of *all* topics are counted
-    from the article table (key columns only), so the rebuilt rows get the
-    same index ids as in a full build."""
-    all_arts = store.read_articles(spark, articles_path)
-    arts, counts = all_arts, None
-    if topics is not None:
-        arts = all_arts.filter(F.col("topic").isin(topics))
-        counts = all_arts.groupBy("topic").agg(
+    """Summarise ``topics`` (all when None) and overwrite their index rows;
+    listed topics without articles are skipped.
+
+    A build of listed topics gives them the ids of a full build as long as
+    the other topics of the stored index hold theirs (chunks of *all* topics
+    are counted, key columns only). Otherwise (a topic has grown, or there is
+    no index yet) they take ids above the stored maximum, in list order, so
+    that ids stay unique."""
+    arts = store.read_articles(spark, articles_path)
+    if topics is None:
+        idx = plan_index(arts, chunk_size, as_of, method)
+    else:
+        listed = arts.filter(F.col("topic").isin(topics))
+        counts = arts.groupBy("topic").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(chunk_size)).cast("long").alias("_nchunks"))
-    idx = plan_index(arts, chunk_size, as_of, method, chunk_counts=counts)
+        stored = _stored_index(spark, index_path)
+        if stored is not None and _at_full_places(stored.filter(~F.col("topic").isin(topics)), counts):
+            idx = plan_index(listed, chunk_size, as_of, method, chunk_counts=counts)
+        else:
+            top = 0 if stored is None else stored.agg(F.max("id")).first()[0] or 0
+            order = spark.createDataFrame([(t, i) for i, t in enumerate(dict.fromkeys(topics))],
+                                          "topic string, topic_pos long")
+            idx = plan_index(listed, chunk_size, as_of, method, order,
+                             counts.filter(F.col("topic").isin(topics)))
+            idx = idx.withColumn("id", F.col("id") + F.lit(top))
     store.write_chunk_index(idx, index_path)
     return store.read_chunk_index(spark, index_path)

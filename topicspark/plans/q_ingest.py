@@ -9,6 +9,7 @@ from topicspark import oracle as O
 from topicspark.operators import prepare as P
 from topicspark.operators.audit import append_batches
 from topicspark.plans.ingest import load_report, prepare_load
+from topicspark.plans.preprocess import preprocess_qna
 from topicspark.plans.sql import generated_table, topic_sql
 from topicspark.registry import register
 from topicspark.session import scratch_path
@@ -86,6 +87,23 @@ def s6_write_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return csv_io.read_input_csv(spark, path)
 
 
+@register("preprocess", O.sql("""
+  SELECT 'row' AS kind, coalesce(Question, '') AS question, coalesce(Answer, '') AS answer,
+         replace(Category, ' ', '-') AS topic FROM raw_qna WHERE Category IS NOT NULL
+  UNION ALL
+  SELECT DISTINCT 'topic', '', '', replace(Category, ' ', '-') FROM raw_qna WHERE Category IS NOT NULL""", "raw_qna"))
+def preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """A raw headed CSV preprocessed: its cleaned rows and its topic list, read back."""
+    raw, rows, topics = (scratch_path(spark, f"preprocess-{k}") for k in ("raw", "rows", "topics"))
+    (fx.raw_qna(spark, sf).select("Question", "Answer", "Category").write
+       .option("header", True).option("quote", '"').option("escape", '"').csv(raw))
+    preprocess_qna(spark, raw, rows, topics)
+    empty = F.lit("")
+    return (csv_io.read_input_csv(spark, rows).select(F.lit("row").alias("kind"), "question", "answer", "topic")
+            .unionByName(csv_io.read_topics(spark, topics).select(
+                F.lit("topic").alias("kind"), empty.alias("question"), empty.alias("answer"), "topic")))
+
+
 @register("S7", O.sql("SELECT question, answer, topic FROM input", "input"))
 def s7_export_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Every topic exported to its own headed CSV folder, read back."""

@@ -10,6 +10,7 @@ from topicspark.functions import text as X
 from topicspark.operators.chunks import summary_lines
 from topicspark.operators.keywords import PROMPT_HEAD, PROMPT_TAIL, chunk_prompts, keyphrases, keyword_index, keyword_maps
 from topicspark.operators.summarize import summarize
+from topicspark.plans.index import plan_keyword_index
 from topicspark.plans.q_ingest import _input
 from topicspark.plans.q_search import CHUNK, _index
 from topicspark.registry import register
@@ -133,6 +134,19 @@ def f13_keyword_json(spark: SparkSession, sf: str) -> DataFrame:
     return keyword_maps(keyword_index(fx.keyword_rows(spark, sf), CHUNK)).select("topic", "chunk", "keyword_json")
 
 
+@register("T9_keywords", O.sql("""
+  SELECT row_number() OVER (ORDER BY b.topic, b.chunk) AS id, b.lo AS chunkStart, b.hi AS chunkEnd, b.topic AS topic,
+         coalesce(j.keyword_json, '{}') AS summary
+  FROM (SELECT topic, chunk, CAST(min(id) AS BIGINT) AS lo, CAST(max(id) AS BIGINT) AS hi
+        FROM kw_chunked GROUP BY topic, chunk) b
+  LEFT JOIN (SELECT topic, chunk, to_json(map_from_entries(list(struct_pack(k := keyword, v := ids) ORDER BY keyword)))
+                    AS keyword_json FROM kw_index GROUP BY ALL) j
+  ON j.topic = b.topic AND j.chunk = b.chunk""", "kw_chunked", "kw_index"))
+def t9_keyword_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The chunk index with keyword maps for summaries."""
+    return plan_keyword_index(fx.keyword_rows(spark, sf), CHUNK, fx.AS_OF).drop("updatedAt")
+
+
 @register("F14", O.sql("""
   SELECT topic, chunkStart, array_to_string(list_slice(
            list_filter(string_split(summary, chr(10)), lambda x: length(trim(x)) > 10), 1, 5), chr(10))
