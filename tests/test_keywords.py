@@ -40,3 +40,30 @@ def test_keyword_index_and_prompts(spark):
         .withColumn("keywords", F.array(F.lit("k1"))).withColumn("updatedAt", F.to_timestamp(F.lit(fx.AS_OF)))
     p = chunk_prompts(arts, 500).first().prompt
     assert p.endswith("1 a q k1  1704067200\n") and "Below are 500 data" in p
+
+
+def test_hot_phrase_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from topicspark.operators.keywords import keyphrases
+    words = F.concat(F.when(F.col("id") % 10 > 0, F.lit("hot ")).otherwise(F.lit("")),
+                     F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(i)), F.lit(5000)).cast("string"))
+                                        for i in range(3)]))
+    docs = spark.range(20000).select("id", words.alias("text"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = keyphrases(docs, ["id"], "text", top=1)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan

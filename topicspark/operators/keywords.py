@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicspark.functions.text import keyword_map_json, render_keyword_map, tokens
 from topicspark.operators.chunks import assign_chunks
+from topicspark.session import scratch_path
 
 
 def keyword_index(rows: DataFrame, chunk_size: int) -> DataFrame:
@@ -33,8 +34,10 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
     the phrase; ties by phrase. A stand-in for the embedding-model extractor
     of the original: the scores are not comparable to its scores.
 
-    The phrase-frequency join is keyed by phrase; a phrase present in most
-    rows is a hot key, which the adaptive skew-join split handles."""
+    The phrase-frequency join is keyed by phrase, and a phrase present in
+    most rows is a hot key. The frequencies are written first: both sides of
+    the join then end in a shuffle of its own, which is what the adaptive
+    skew-join split needs (an aggregate on one side rules it out)."""
     # Unigrams and bigrams are built inside each row (no token join); the
     # rows are clustered by key once so the per-row counts need no exchange.
     t = F.col("_toks")
@@ -47,7 +50,9 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
                    .select(*key, F.explode(grams).alias("phrase")))
     tf = phrases.groupBy(*key, "phrase").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = docs.agg(F.count(F.lit(1)).alias("N"))
-    dfreq = tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df"))
+    path = scratch_path(docs.sparkSession, "phrase-df")
+    tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).write.parquet(path)
+    dfreq = docs.sparkSession.read.schema("phrase string, df long").parquet(path)
     scored = (tf.join(dfreq, "phrase").crossJoin(F.broadcast(n_docs))  # one-row frame
                 .withColumn("score", F.col("tf") * (F.log((1 + F.col("N")) / (1 + F.col("df"))) + 1)))
     w = Window.partitionBy(*key).orderBy(F.round("score", 9).desc(), "phrase")
