@@ -1,5 +1,6 @@
 import math
 import re
+import tempfile
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -117,3 +118,22 @@ def test_threshold_is_strict(spark):
     kept = {r.line_no for r in relevant_lines(q, lines, threshold=t).collect()}
     assert 0 not in kept  # a score equal to the threshold is not above it
     assert kept == {n for n, s in scores.items() if s > t}
+
+
+def test_stored_index_prunes_buckets_and_may_be_empty(spark):
+    from topicspark.operators.search import search_index, write_search_index
+    base = tempfile.mkdtemp(prefix="ts-buckets-")
+    ci = spark.createDataFrame(
+        [(1, 1, 2, "2024", "'\n1. hot alpha beta\n\n2. hot gamma delta\n'")],
+        "id long, chunkStart long, chunkEnd long, topic string, summary string")
+    arts = spark.createDataFrame([("2024", 1, "one"), ("2024", 2, "two")], "topic string, id long, answer string")
+    terms = " ".join(f"word{i}" for i in range(3))
+    q = spark.createDataFrame([(1, "hot alpha beta"), (2, terms)], "qid long, query string")
+    write_search_index(ci, base + "/terms", base + "/lines")
+    out = search_index(q, base + "/terms", base + "/lines", arts)
+    assert [(r.qid, r.answer, r.topic) for r in out.collect()] == [(1, "one", "2024")]
+    from topicspark.operators.search import index_hits
+    plan = index_hits(q, base + "/terms", base + "/lines")._jdf.queryExecution().toString()
+    assert any("PartitionFilters" in line and "bucket" in line for line in plan.splitlines())
+    write_search_index(ci.limit(0), base + "/terms0", base + "/lines0")
+    assert search_index(q, base + "/terms0", base + "/lines0", arts).count() == 0

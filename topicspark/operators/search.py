@@ -16,7 +16,7 @@ the query texts); they are broadcast when their checked size allows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicspark.functions.text import IDF_ONE_OF_TWO, tokens
@@ -147,12 +147,17 @@ def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
 # --- stored search index ----------------------------------------------------
 # The chunk index is built offline; the per-line term counts can be built
 # with it. A query then reads only the posting rows of its own terms: the
-# term table is hash-partitioned by term and sorted by term within each
-# file, so the query's term list, pushed into the parquet scan, skips row
-# groups by their min/max (footers are read, most row groups are not).
+# term table is stored in hash buckets of the term, and the query's buckets
+# are a literal partition filter, however many terms it has. ``of`` names the
+# number of buckets of the stored table.
 
 MAX_PUSHDOWN_TERMS = 100_000
+BUCKETS_PER_TASK = 4
 LINE_KEY = ["topic", "chunk_start", "chunk_end", "line_no"]
+# Stated, as an empty index has no file to tell them and a topic may look like a number.
+TERMS = ("chunk_start long, chunk_end long, line_no int, term string, row_id int, cnt long, D2 long, "
+         "topic string, of int, bucket int")
+LINES = "chunk_start long, chunk_end long, line_no int, row_id int, row_text string, topic string"
 
 
 def line_term_table(lines: DataFrame) -> DataFrame:
@@ -166,8 +171,11 @@ def line_term_table(lines: DataFrame) -> DataFrame:
 
 
 def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str) -> None:
-    """Store the line texts (partitioned by topic) and the term table
-    (hash-partitioned by term, sorted by term within files)."""
+    """Store the line texts (partitioned by topic) and the term table (in
+    ``BUCKETS_PER_TASK`` buckets of the term for each shuffle partition).
+
+    Writers take ranges of (bucket, term, line): a term that is in most lines
+    is spread over many tasks and files, and rare ones share a task."""
     from topicspark.operators.chunks import summary_lines
     lines = summary_lines(chunk_index)
     from topicspark.sources.store import cluster_for_write
@@ -175,13 +183,21 @@ def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str)
           .write.mode("overwrite").option("partitionOverwriteMode", "static")  # topics that left the index go
           .partitionBy("topic").parquet(lines_path))
     n_parts = int(chunk_index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = n_parts * BUCKETS_PER_TASK
     (line_term_table(spark_lines(chunk_index.sparkSession, lines_path))
-        .repartition(n_parts, "term").sortWithinPartitions("term")
-        .write.mode("overwrite").parquet(terms_path))
+        .withColumn("of", F.lit(n_buckets)).withColumn("bucket", term_bucket(n_buckets))
+        .repartitionByRange(n_parts, "bucket", "term", F.xxhash64(*LINE_KEY))
+        .sortWithinPartitions("bucket", "term")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("of", "bucket").parquet(terms_path))
+
+
+def term_bucket(n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64("term"), F.lit(n_buckets)).cast("int")
 
 
 def spark_lines(spark, lines_path: str) -> DataFrame:
-    return spark.read.parquet(lines_path)
+    return spark.read.schema(LINES).parquet(lines_path)
 
 
 def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles: DataFrame,
@@ -209,12 +225,15 @@ def index_hits(queries: DataFrame, terms_path: str, lines_path: str,
     # Not cached: the table comes from the query texts and is cheap to
     # recompute; a cache would outlive the search in a long session.
     n_terms = qt.count()
-    postings = spark.read.parquet(terms_path)
-    distinct_terms = qt.select("term").distinct()
-    if distinct_terms.count() <= MAX_PUSHDOWN_TERMS:
-        # The query terms are bounded by the query texts: a literal list for
-        # the scan filter (PushedFilters: In(term, ...)).
-        postings = postings.filter(F.col("term").isin([r.term for r in distinct_terms.collect()]))
+    postings = spark.read.schema(TERMS).parquet(terms_path)
+    stored = postings.select("of").first()  # no postings: nothing to prune
+    asked = (qt.select("term").distinct().withColumn("bucket", term_bucket(stored["of"] if stored else 1))
+             .limit(MAX_PUSHDOWN_TERMS + 1).collect())
+    if len(asked) <= MAX_PUSHDOWN_TERMS:
+        # The query terms are bounded by the query texts: literal lists for
+        # the scan (PartitionFilters on the buckets, PushedFilters on the terms).
+        postings = postings.filter(F.col("bucket").isin(sorted({r.bucket for r in asked}))
+                                   & F.col("term").isin([r.term for r in asked]))
     qside = F.broadcast(qt) if n_terms <= MAX_BROADCAST_TERMS else qt
     scored = (postings.join(qside, "term")
                       .groupBy(qkey, *LINE_KEY)
@@ -233,5 +252,5 @@ def index_hits(queries: DataFrame, terms_path: str, lines_path: str,
     h = F.broadcast(hits) if bound <= MAX_BROADCAST_TERMS else hits
     # Line texts of the hits only: the topic filter of the broadcast hits
     # prunes the partitions of the line table at run time.
-    return spark.read.parquet(lines_path).drop("row_id").join(h, LINE_KEY).select(
+    return spark_lines(spark, lines_path).drop("row_id").join(h, LINE_KEY).select(
         qkey, "rank", "score", "row_text", "row_id", *LINE_KEY)
