@@ -26,8 +26,11 @@ components of the links so found are built. In a few more turns every set
 outside the largest component of a key is compared with one inside. Only keys
 that then still hold more than one component are taken whole, and there sets
 outside the key's largest component are paired with the sets of other
-components. Every pair that shares a key is therefore compared, ruled out by
-its bound or already connected: no link that changes a component is lost, and
+components, under the first key that the two share (sets with a prefix over
+``CARRIED`` members: under each), and only if bitmaps of their members (a bit
+set in one alone is a member that the other lacks) leave room for the bound.
+Every pair that shares a key is therefore compared, ruled out by an exact
+bound or already connected: no link that changes a component is lost, and
 a group of many near copies costs a few comparisons a set, not one per pair.
 
 Document frequencies cover every set. They are counted by packed requests: a
@@ -65,6 +68,8 @@ CHUNK, RANGE = 1 << 19, 1 << 21
 MOST_SMALL = 256
 #: Turns (1 or more) in which every set outside its keys' main components is compared with one set inside.
 TURNS = 1
+#: Members of a prefix up to which it goes along with a set's last pairs, and bits of the bitmap of a set's members.
+CARRIED, BITS = 256, 1024
 
 
 def shingle_sets(texts, k: int = SHINGLE) -> list[np.ndarray]:
@@ -136,6 +141,13 @@ def _ranged(sets: list[np.ndarray], ranges: int):
     return h[order], r[order], n[order]
 
 
+def _bitmap(s: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as 64-bit integers; each member sets one."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(s % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _requests(ranges: int):
     def run(texts: pa.Table, allowed: pa.Table) -> pa.Table:
         chunk = (texts if texts.num_rows else allowed)["chunk"][0].as_py()
@@ -172,7 +184,7 @@ def _prefixes(ranges: int):
         code = np.concatenate([np.frombuffer(c, np.uint8) for _, c in blocks]) if blocks else np.zeros(0, np.uint8)
         order = np.argsort(h)
         h, code = h[order], code[order]
-        cols: dict[str, list] = {k: [] for k in ("doc_id", "n", "members", "prefix", "room", "n_single", "scan")}
+        cols: dict[str, list] = {k: [] for k in ("doc_id", "n", "members", "bits", "prefix", "room", "n_single", "scan")}
         for d, _, s in actors:
             n = len(s)
             c = code[np.searchsorted(h, s)]
@@ -185,12 +197,13 @@ def _prefixes(ranges: int):
             cols["doc_id"].append(d)
             cols["n"].append(n)
             cols["members"].append(s.tobytes())
+            cols["bits"].append(_bitmap(s))
             cols["prefix"].append(W.signed(p[shared]))
             cols["room"].append((n - np.flatnonzero(shared)).astype(np.int64))
             cols["n_single"].append(int(np.count_nonzero(shared[:single])))
             cols["scan"].append(float((1 + c[:single][shared[:single]] / 32.0).sum()))
         return pa.table({"doc_id": pa.array(cols["doc_id"], pa.int64()), "n": pa.array(cols["n"], pa.int64()),
-                         "members": pa.array(cols["members"], pa.binary()), "prefix": pa.array(cols["prefix"], pa.list_(pa.int64())),
+                         "members": pa.array(cols["members"], pa.binary()), "bits": pa.array(cols["bits"], pa.list_(pa.int64())), "prefix": pa.array(cols["prefix"], pa.list_(pa.int64())),
                          "room": pa.array(cols["room"], pa.list_(pa.int64())),
                          "n_single": pa.array(cols["n_single"], pa.int32()), "scan": pa.array(cols["scan"], pa.float64())})
     return run
@@ -208,7 +221,7 @@ def prefixes(docs: DataFrame, vertices: DataFrame) -> DataFrame:
     told = allowed.select("chunk", "doc_id", "set_key", F.lit(None).cast("long").alias("range"), F.lit(None).cast("binary").alias("codes")).unionByName(
         answers.select("chunk", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("set_key"), "range", "codes"))
     return texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
-        releasing_pair(_prefixes(ranges)), "doc_id long, n long, members binary, prefix array<bigint>, room array<bigint>, n_single int, scan double")
+        releasing_pair(_prefixes(ranges)), "doc_id long, n long, members binary, bits array<bigint>, prefix array<bigint>, room array<bigint>, n_single int, scan double")
 
 
 def boundary(found: DataFrame) -> int:
@@ -288,6 +301,27 @@ def _one_each(lists: DataFrame, turn: int) -> DataFrame:
             .select(F.least("doc_id", "head").alias("a"), F.greatest("doc_id", "head").alias("b")).distinct())
 
 
+def _last_pairs(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) under keys of several components: their sets outside the largest one against those of other components.
+
+    A pair comes once, under the first key that both sets have, if both
+    prefixes are carried; the orders of the two agree, so that key is known.
+    """
+    rest = rest.join(found.select("doc_id", "n", "bits", F.when(F.size("prefix") <= CARRIED, F.col("prefix")).alias("prefix")), ["doc_id", "n"])
+    others = rest.filter("component <> main").select(
+        "kind", "key", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("room").alias("oroom"), F.col("component").alias("oc"),
+        F.col("bits").alias("obits"), F.col("prefix").alias("oprefix"))
+    apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("obits")[i])) for i in range(BITS // 64)), F.lit(0))
+    both = F.array_intersect("prefix", "oprefix")
+    first = F.when(F.col("kind") == 1, F.get(both, F.lit(0))).otherwise(F.xxhash64(F.get(both, F.lit(0)), F.get(both, F.lit(1))))
+    once = F.col("prefix").isNull() | F.col("oprefix").isNull() | (first == F.col("key"))
+    return (rest.join(others, ["kind", "key"])
+            .filter((F.col("component") != F.col("oc")) & ((F.col("component") == F.col("main")) | (F.col("doc_id") < F.col("o")))
+                    & _may_link("n", "on", "room", "oroom")
+                    & ((DEN + NUM) * (F.col("n") + F.col("on") - apart) >= 2 * NUM * (F.col("n") + F.col("on"))) & once)
+            .select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct())
+
+
 def links(found: DataFrame) -> DataFrame:
     """Enough links (a, b) between vertices to connect all that are connected."""
     found = written(found, "jaccard-sets")
@@ -298,12 +332,7 @@ def links(found: DataFrame) -> DataFrame:
     for turn in range(1, TURNS + 1):
         sure = written(sure.unionByName(verified(_one_each(rest, turn), found)), "jaccard-links")
         rest = _marked(rest.select(*lists.columns), sure)
-    # What is left: keys of several components, their sets outside the largest one against all others.
-    others = rest.filter("component <> main").select(
-        "kind", "key", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("room").alias("oroom"), F.col("component").alias("oc"))
-    pairs = (rest.join(others, ["kind", "key"]).filter((F.col("component") != F.col("oc")) & _may_link("n", "on", "room", "oroom"))
-             .select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct())
-    return sure.unionByName(verified(pairs, found))
+    return sure.unionByName(verified(_last_pairs(rest, found), found))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
