@@ -62,3 +62,14 @@ def test_overwrite_replaces_every_topic(spark, tmp_path):
 def test_topic_list_is_stripped(spark, tmp_path):
     (tmp_path / "topics.txt").write_text("\tone \r\n\n two\n")
     assert sorted(r[0] for r in csv_io.read_topics(spark, str(tmp_path / "topics.txt")).collect()) == ["one", "two"]
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from topicspark.session import checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf={}, sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
