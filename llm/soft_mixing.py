@@ -3,16 +3,21 @@
 A multinomial classifier, fitted on a bounded sample of a labelled table,
 gives every document the posterior of each domain. A document's expected
 tokens of a domain are its tokens times that posterior. Rates r >= 0 (how
-often a document is taken) start at 1 and go down the gradient of
-
-    sum over domains k of (sum_i tokens_i p_ik r_i - T_k)^2 / T_k
-
-projected on r >= 0, until every domain's expected total is within
-``TOLERANCE`` of its target T_k. In units of 1 / tokens_i a step takes
-``p_i . s`` from r_i with one vector s of domains for all documents, so the
-state of the whole descent is the short list of these vectors; each round is
-one pass over a narrow table that returns a sum per domain and task. The
-step length is one over the largest eigenvalue of the domains' Gram matrix.
+often a document is taken) are those nearest to 1, weighted by tokens, at
+which every domain's expected total
+
+    sum over documents i of tokens_i p_ik r_i
+
+is within ``TOLERANCE`` of its target T_k. They are r_i = max(0, 1 - p_i . s)
+with one vector s of domains for all documents, which minimises a convex
+function (the dual). Newton steps find it: their matrix is the Gram matrix of
+the rows whose rate is above 0, so scarce domains take no more rounds than
+others; each round is one pass over a narrow table that returns the sums for
+a few lengths of the step, of which the best is taken. Rounds end when the
+gradient is as good as 0. A small ridge (``RIDGE``) lets them end also where
+no rates meet the targets: then the sum over domains of (total - T_k)^2 / T_k
+is the least possible, a warning names the domains that miss their targets,
+and ``Mixer.missed`` holds by how much.
 
 A rate is realised as floor(r + u) copies, u being a hash of the row: the
 expected number of copies is the rate, and a run repeats exactly.
@@ -30,6 +35,8 @@ each for themselves. Extra columns are kept by ``mixed``.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -42,7 +49,9 @@ from llm.tables import written
 
 #: Bound of the training sample, in labelled rows.
 MAX_TRAIN = 8_000
-TOLERANCE, ROUNDS = 1e-4, 80
+TOLERANCE, RIDGE = 1e-4, 1e-8
+#: Lengths of a Newton step that are tried in one pass.
+LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
 
 
 def sample_of(docs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -90,26 +99,30 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def _totals(narrow: DataFrame, steps: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens of each domain at the rates that the steps lead to, and the Gram matrix."""
+def _totals(narrow: DataFrame, tried: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For each vector tried: expected tokens of each domain, the Gram matrix of the rows above 0, half the sum of tokens r^2."""
     def run(batches):
-        total, gram = np.zeros(k), np.zeros((k, k))
+        sums = np.zeros((len(tried), k + k * k + 1))
         for b in batches:
             p, tokens = _matrix(b.column(0), k), b.column(1).to_numpy(zero_copy_only=False).astype(float)
-            total += (tokens * _rates(p, steps)) @ p
-            gram += p.T @ (p * tokens[:, None])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64())), pa.array([gram.ravel().tolist()], pa.list_(pa.float64()))], ["total", "gram"])
-    sums = narrow.select("_p", "_stats_words").mapInArrow(run, "total array<double>, gram array<double>")
+            for at, s in enumerate(tried):
+                r = _rates(p, s[None])
+                above = p * (tokens * (r > 0))[:, None]
+                sums[at] += np.concatenate([(tokens * r) @ p, (p.T @ above).ravel(), [(tokens * r * r).sum() / 2]])
+        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))], ["sums"])
     # One short row a task: added up on the executors.
-    row = sums.agg(*[F.sum(F.col("total")[i]) for i in range(k)], *[F.sum(F.col("gram")[i]) for i in range(k * k)]).first()
-    values = np.array([x or 0.0 for x in row])
-    return values[:k], values[k:].reshape(k, k)
+    parts = narrow.select("_p", "_stats_words").mapInArrow(run, "sums array<double>").select(F.posexplode("sums").alias("at", "x"))
+    values = np.zeros(len(tried) * (k + k * k + 1))
+    for row in parts.groupBy("at").agg(F.sum("x").alias("x")).collect():
+        values[row["at"]] = row["x"]
+    return [(v[:k], v[k:-1].reshape(k, k), float(v[-1])) for v in values.reshape(len(tried), -1)]
 
 
 def descend(narrow: DataFrame, weights: list[float], reduce: list[int], budget: float | None = None):
-    """(steps, expected totals, targets) of the projected gradient descent."""
+    """(the vector s as one row, expected totals, targets)."""
     k = len(weights)
-    now, gram = _totals(narrow, np.zeros((0, k)), k)
+    at = np.zeros(k)
+    now, gram, half = _totals(narrow, at[None], k)[0]
     w = np.where(now > 0, np.array(weights, float), 0)
     if not w.sum():
         return np.zeros((0, k)), now, now
@@ -119,12 +132,28 @@ def descend(narrow: DataFrame, weights: list[float], reduce: list[int], budget:
         budget = max(now[i] / w[i] for i in keep) if keep else now.sum()
     target = budget * w
     unit = np.maximum(target, now.sum() * 1e-6)
-    length = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(unit, unit))).max()
-    steps: list[np.ndarray] = []
-    while len(steps) < ROUNDS and np.abs((now - target) / unit).max() > TOLERANCE:
-        steps.append(length * (now - target) / unit)
-        now, _ = _totals(narrow, np.array(steps), k)
-    return np.array(steps).reshape(-1, k), now, target
+    ridge = RIDGE * unit
+    root = np.sqrt(unit)
+    value = half
+    while np.abs(slope := (now - target - ridge * at) / unit).max() > TOLERANCE / 10:
+        step = np.linalg.solve((gram + np.diag(ridge)) / np.outer(root, root), slope * root) / root
+        tried = at + np.array(LENGTHS)[:, None] * step
+        sums = _totals(narrow, tried, k)
+        values = [half + target @ x + (ridge * x) @ x / 2 for x, (_, _, half) in zip(tried, sums)]
+        best = int(np.argmin(values))
+        if not values[best] < value:
+            break  # as near as doubles get
+        at, value, (now, gram, _) = tried[best], values[best], sums[best]
+    return at[None], now, target
+
+
+def missed(domains: list[str], reached: np.ndarray, targets: np.ndarray) -> dict[str, float]:
+    """Relative misses beyond TOLERANCE by domain; a warning names them."""
+    unit = np.maximum(targets, max(targets.sum(), 1.0) * 1e-6)
+    out = {d: float(x) for d, x in zip(domains, (reached - targets) / unit) if abs(x) > TOLERANCE}
+    if out:
+        warnings.warn("mixing misses its targets: " + ", ".join(f"{d} {x:+.2%}" for d, x in out.items()), stacklevel=3)
+    return out
 
 
 def _rate(steps: np.ndarray) -> Column:
@@ -154,6 +183,8 @@ class Mixer:
         self.narrow = written(self._told(docs.select("doc_id", "text"), False).drop("_stats"), "mixing-posteriors")
         self.steps, self.reached, self.targets = descend(
             self.narrow, [targets[d] for d in self.domains], [self.domains.index(d) for d in reduce], budget)
+        #: Relative miss of each domain whose target isn't reached.
+        self.missed = missed(self.domains, self.reached, self.targets)
 
     def _told(self, docs: DataFrame, keep_text: bool) -> DataFrame:
         row = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
