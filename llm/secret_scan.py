@@ -1,9 +1,10 @@
 """Secret scan by a battery of randomness tests.
 
 Base spans come from three fixed patterns. The method adds spans: maximal
-runs of token characters of ``LEAST`` or more that use more than one kind of
-character. The encoding of a run is inferred (the smallest known alphabet
-that holds it), and three tests are made on its symbols: chi-squared
+runs of token characters of ``LEAST`` or more. The encoding of a run is
+inferred (the smallest known alphabet that holds it; a run that none holds is
+split into its longest part that one holds and what lies before and after,
+split in turn, and each part of ``LEAST`` or more is a run), and three tests are made on its symbols: chi-squared
 uniformity over the alphabet, the runs test about the alphabet's middle, and
 the lag-one serial correlation. Their p values are combined by Fisher's
 method into one number, high for runs that look random.
@@ -108,11 +109,32 @@ def length_class(n: int) -> int:
     return max(i for i, least in enumerate(LENGTHS) if n >= least)
 
 
+def parts_of(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the parts of a run that are scored: all of it, if an alphabet holds it within its edges."""
+    core = run.strip("-_/+")
+    if not core or any(all(c in place for c in core) for place in _PLACES):
+        return [(0, len(run))]
+    at = run.index(core)
+    out, todo = [], [(at, at + len(core))]
+    while todo:
+        i, j = todo.pop()
+        if j - i < LEAST:
+            continue
+        # The longest part in any alphabet: the two widest hold all others.
+        best = (0, i, i)
+        for place in _PLACES[-2:]:
+            cuts = [i - 1, *(k for k in range(i, j) if run[k] not in place), j]
+            best = max(best, max((b - a - 1, a + 1, b) for a, b in zip(cuts, cuts[1:])))
+        if best[0] >= LEAST:
+            out.append(best[1:])
+            todo += [(i, best[1]), (best[2], j)]
+    return sorted(out)
+
+
 def score_run(run: str) -> tuple[int, int] | None:
-    """(length class, bin) of a run with more than one kind of character."""
+    """(length class, bin) of a run that an alphabet holds."""
     core = run.strip("-_/+")
-    kinds = (any("a" <= c <= "z" for c in core), any("A" <= c <= "Z" for c in core), any("0" <= c <= "9" for c in core))
-    if len(core) < LEAST or sum(kinds) < 2 or (core[1:].islower() and core.isalpha()):
+    if len(core) < LEAST:
         return None
     for alphabet, place in zip(ALPHABETS, _PLACES):
         symbols = [place.get(c, -1) for c in core]
@@ -176,7 +198,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 for k, kind in enumerate(KINDS[:3]):
                     counts[k].append(sum(f[1] == kind for f in found))
                 rows = [{"start": s, "kind": KINDS.index(kind), "stop": e, "class": -1, "bin": -1} for s, kind, e in found]
-                for s, e, token in tokens[row]:
+                for s, e, token in ((s + i, s + j, token[i:j]) for s, _, token in tokens[row] for i, j in parts_of(token)):
                     if not any(s < fe and fs < e for fs, _, fe in found) and (score := score_run(token)):
                         rows.append({"start": s, "kind": 3, "stop": e, "class": score[0], "bin": score[1]})
                 out.append(sorted(rows, key=lambda r: (r["start"], r["kind"])))
