@@ -10,7 +10,7 @@ the lag-one serial correlation. Their p values are combined by Fisher's
 method into one number, high for runs that look random.
 
 What ordinary text reaches on the same battery is measured on the corpus
-itself: the letters of every text, cut into strings of a few lengths. A run's
+itself: the letters of every text, cut into strings of each of a few lengths. A run's
 p value is the share of ordinary strings of its length class that look at
 least as random. Over all runs a weighted Benjamini-Hochberg rule, in which
 longer runs, for which the tests see more, weigh more, keeps the share of
@@ -143,14 +143,17 @@ def score_run(run: str) -> tuple[int, int] | None:
     return None
 
 
-def _ordinary(raw: np.ndarray) -> np.ndarray:
-    """Histogram (length class x bin) of the letters of a piece of text, cut into strings."""
+def _ordinary(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Histogram (length class x bin) of the letters of each text, cut into strings of each length."""
     hist = np.zeros((len(LENGTHS), BINS), np.int64)
-    letters = np.where((raw >= 65) & (raw <= 90), raw + 32, raw)
-    letters = letters[(letters >= 97) & (letters <= 122)].astype(np.int64) - 97
-    for k, part in enumerate(np.array_split(letters, len(LENGTHS))):
-        n = LENGTHS[k]
-        rows = part[:len(part) // n * n].reshape(-1, n)
+    lower = np.where((raw >= 65) & (raw <= 90), raw + 32, raw)
+    where = np.flatnonzero((lower >= 97) & (lower <= 122))
+    letters = lower[where].astype(np.int64) - 97
+    first = np.searchsorted(where, off)  # of each text, among the letters
+    many = np.diff(first)
+    place = np.arange(len(letters)) - np.repeat(first[:-1], many)
+    for k, n in enumerate(LENGTHS):
+        rows = letters[place < np.repeat(many // n * n, many)].reshape(-1, n)
         for at in range(0, len(rows), 1 << 15):
             hist[k] += np.bincount(_bin(battery(rows[at:at + (1 << 15)], 26)), minlength=BINS)
     return hist
@@ -202,7 +205,7 @@ def scan(docs: DataFrame) -> DataFrame:
                     if not any(s < fe and fs < e for fs, _, fe in found) and (score := score_run(token)):
                         rows.append({"start": s, "kind": 3, "stop": e, "class": score[0], "bin": score[1]})
                 out.append(sorted(rows, key=lambda r: (r["start"], r["kind"])))
-            hist = [_ordinary(raw).ravel().tolist()] + [None] * (n - 1) if n else []
+            hist = [_ordinary(raw, off).ravel().tolist()] + [None] * (n - 1) if n else []
             span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("stop", pa.int64()), ("class", pa.int32()), ("bin", pa.int32())])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(out, pa.list_(span)), pa.array(hist, pa.list_(pa.int64()))],
