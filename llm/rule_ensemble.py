@@ -34,7 +34,7 @@ from llm.tables import written
 FOLDS = 5
 #: Bound of the training sample, in labelled rows.
 MAX_TRAIN = 12_000
-TREES, DEPTH, MAX_RULES, PENALTY = 24, 3, 160, 0.002
+TREES, DEPTH, PENALTY = 24, 3, 0.002
 THRESHOLD = 0.3
 INPUTS = [k for k in text_stats.QUALITY]
 
@@ -65,6 +65,11 @@ def _tightest(rule: Rule) -> Rule:
     return tuple(sorted((i, op, x) for (i, op), x in best.items()))
 
 
+def distinct_rules(trees: list[str]) -> list[Rule]:
+    """Every rule of the printed trees once, at most 2^(DEPTH + 1) - 2 a tree."""
+    return list(dict.fromkeys(_tightest(r) for tree in trees for r in rules_of(tree)))
+
+
 def rule_column(rule: Rule, stats: Column) -> Column:
     out = F.lit(True)
     for i, op, x in rule:
@@ -82,7 +87,7 @@ def fit(train: DataFrame) -> tuple[float, list[tuple[float, Rule]]]:
     vectors = train.select(array_to_vector("x").alias("features"), "x", "label")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, featureSubsetStrategy="sqrt",
                                     minInstancesPerNode=max(2, total // 500)).fit(vectors)
-    rules = list(dict.fromkeys(_tightest(r) for tree in forest.trees for r in rules_of(tree.toDebugString)))[:MAX_RULES]
+    rules = distinct_rules([tree.toDebugString for tree in forest.trees])
     matrix = train.select(array_to_vector(F.array(*[rule_column(r, F.col("x")) for r in rules])).alias("features"), "label")
     model = LogisticRegression(regParam=PENALTY, elasticNetParam=1.0, maxIter=60, standardization=True).fit(matrix)
     weights = model.coefficients.toArray()
