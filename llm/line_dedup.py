@@ -219,7 +219,7 @@ def _aligned(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
             for d, v, a, size, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ours, chars, theirs):
                 a, size = a.values.to_pylist(), size.values.to_pylist()
                 for i, _, n in patience(a, b.values.to_pylist()):
-                    if max(size[i:i + n]) >= MIN_CHARS:
+                    if sum(size[i:i + n]) >= MIN_CHARS:
                         ids += [d] * n
                         versions += [v] * n
                         at += range(i, i + n)

@@ -81,3 +81,12 @@ def test_lcs():
     finally:
         line_dedup.TABLE_BITS = bound
     assert line_dedup.patience(list("aXbXc"), list("dXeXf")) == [(1, 1, 1), (3, 3, 1)]
+
+
+def test_short_lines_count_together(llm):
+    verse = [f"verse {k} x" for k in range(8)]
+    known = [(1, "\n".join(verse)), (2, "\n".join(["a b", *verse, "c d"])), (3, "\n".join(["e", *verse[:2], "f", *verse[4:7]])),
+             (4, "\n".join([verse[0], "", "", verse[1], verse[2]]))]
+    got = _got(llm, known)
+    assert got == _brute(known, lambda lengths: sum(lengths) >= line_dedup.MIN_CHARS)
+    assert got[1][2] == 8 and got[2][2] == 3
