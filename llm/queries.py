@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import (
-    balanced_shards, block_topk, bpe_prefix, host_rules, jaccard_join, line_dedup, rule_ensemble, secret_scan, seed_extend,
-    soft_mixing,
+    balanced_shards, block_topk, bpe_prefix, filter_audit, host_rules, jaccard_join, line_dedup, rule_ensemble, secret_scan,
+    seed_extend, soft_mixing,
 )
 from llm.tables import ship, table
 
@@ -100,3 +100,48 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_secret_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+FILTER_SQL = """
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+m AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+      || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+      || CASE WHEN min(w.doc_id) OVER (PARTITION BY text) < w.doc_id THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN m USING (doc_id)),
+g AS (SELECT part, fails, good, toxic, count(*) AS n FROM d GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS earlier
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails, contains(fails, x) AS failed,
+         translate(fails, earlier, '') <> fails AS gone FROM g, s),
+t AS (
+  SELECT part, filter_order, step, x,
+         sum(CASE WHEN NOT failed AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN failed AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN failed AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN fails = x THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN failed AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN failed AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM r GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM t
+"""
+
+
+@_register("op13_filter_audit", FILTER_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
