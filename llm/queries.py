@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import (
-    balanced_shards, block_topk, bpe_prefix, filter_audit, host_rules, jaccard_join, line_dedup, rule_ensemble, secret_scan,
-    seed_extend, soft_mixing,
+    balanced_shards, block_topk, bpe_prefix, filter_audit, host_rules, jaccard_join, line_dedup, prefix_trie, rule_ensemble,
+    secret_scan, seed_extend, soft_mixing,
 )
 from llm.tables import ship, table
 
@@ -32,9 +32,9 @@ def _register(name: str, sql: str | None = None):
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.v, v.v) AS BIGINT) AS score
   FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
@@ -102,6 +102,48 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+TRIE_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT conv_id, conv_id::VARCHAR AS digits, 0 AS bit, 4294967295::BIGINT AS v
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL
+  SELECT conv_id, digits, bit + 1, xor(w >> 1, CASE WHEN w % 2 = 1 THEN 3988292384 ELSE 0 END)
+  FROM (SELECT *, CASE WHEN bit % 8 = 0 THEN xor(v, ascii(substr(digits, bit // 8 + 1, 1))::BIGINT) ELSE v END AS w FROM crc)
+  WHERE bit < 8 * length(digits)),
+h AS (SELECT conv_id, xor(v, 4294967295) % 6 AS h FROM crc WHERE bit = 8 * length(digits)),
+t AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+         length(coalesce(text, '')) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+r AS (
+  SELECT h.conv_id, 0 AS own, pos, id, chars FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 100 WHERE pos <= h
+  UNION ALL SELECT conv_id, 1, pos, id, chars FROM h JOIN t USING (conv_id) WHERE pos > h),
+p AS (SELECT conv_id, list(id ORDER BY own, pos) AS path, list(chars ORDER BY own, pos) AS lens FROM r GROUP BY conv_id),
+c AS (SELECT conv_id, coalesce(path, []) AS path, coalesce(lens, []) AS lens FROM h LEFT JOIN p USING (conv_id)),
+m AS (
+  SELECT conv_id, path, lens, unnest(range(0, len(path) + 1)) AS depth FROM c),
+n AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * coalesce(max(lens[depth]), 0) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM m GROUP BY ALL),
+k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+nk AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+s AS (
+  SELECT node[1:d] AS node, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM nk) GROUP BY 1)
+SELECT nk.conv_id, nk.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, nk.n_convs, nk.n_children, n_leaves, saved_tokens,
+       nk.ends_sha256
+FROM nk JOIN s USING (node) LEFT JOIN n AS up ON nk.depth > 0 AND up.node = nk.node[1:nk.depth - 1]
+"""
+
+
+@_register("op12_prefix_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
 FILTER_SQL = """
 WITH w AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
