@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import (
-    balanced_shards, block_topk, bpe_prefix, filter_audit, host_rules, jaccard_join, line_dedup, prefix_trie, rule_ensemble,
-    secret_scan, seed_extend, soft_mixing,
+    balanced_shards, block_topk, bpe_prefix, chat_format, filter_audit, host_rules, jaccard_join, line_dedup, prefix_trie,
+    rule_ensemble, secret_scan, seed_extend, soft_mixing,
 )
 from llm.tables import ship, table
 
@@ -102,6 +102,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+#: The template's lengths are those of llm/chat_format.py: marks of a turn, and a backslash for each control string in it.
+CHAT_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '</?s>|\\[/?(?:INST|SYS|ROLE)\\]|\\[TEXT\\]'))
+       + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 WHEN 'system' THEN 13
+         ELSE 23 + length(role) + len(regexp_extract_all(role, '</?s>|\\[/?(?:INST|SYS|ROLE)\\]|\\[TEXT\\]')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(chars))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@_register("op11_chat_format", CHAT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_format.conflict(spark, table(spark, sf_dir, "conversations"))
+    return chat_format.digests(chat_format.read_back(chat_format.format_conversations(rows)))
+
+
 TRIE_SQL = """
 WITH RECURSIVE crc AS (
   SELECT conv_id, conv_id::VARCHAR AS digits, 0 AS bit, 4294967295::BIGINT AS v
