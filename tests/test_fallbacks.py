@@ -37,9 +37,15 @@ def test_search_without_pushdown_broadcast_or_lookup(spark, monkeypatch):
 
     small = run()
     assert len(small) >= 3
+    monkeypatch.setattr(search, "MAX_LITERALS", 0)
+    assert run() == small
     monkeypatch.setattr(search, "MAX_PUSHDOWN_TERMS", 0)
     monkeypatch.setattr(search, "MAX_BROADCAST_TERMS", 0)
-    monkeypatch.setattr(search, "MAX_LOOKUP_KEYS", 0)
+    monkeypatch.setattr(search, "MAX_CANDIDATES", 0)
+    assert run() == small
+    monkeypatch.setattr(search, "MAX_BROADCAST_BYTES", 0)
+    assert run() == small
+    monkeypatch.setattr(search, "MAX_BROADCAST_KEYS", 0)
     monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 0)
     assert run() == small
 

@@ -137,3 +137,62 @@ def test_stored_index_prunes_buckets_and_may_be_empty(spark):
     assert any("PartitionFilters" in line and "bucket" in line for line in plan.splitlines())
     write_search_index(ci.limit(0), base + "/terms0", base + "/lines0")
     assert search_index(q, base + "/terms0", base + "/lines0", arts).count() == 0
+
+
+def _stored(spark, rows):
+    """A stored index of (line_no, text) rows of one chunk."""
+    from topicspark.operators.search import store_lines
+    base = tempfile.mkdtemp(prefix="ts-cand-")
+    lines = spark.createDataFrame([("t", 1, 2, i, x, i) for i, x in rows],
+                                  "topic string, chunk_start long, chunk_end long, line_no int, row_text string, row_id int")
+    store_lines(lines, base + "/terms", base + "/lines")
+    return base, lines
+
+
+def test_candidates_lose_no_hit(spark):
+    """Hits of several thresholds, against scores of all pairs on texts of common and rare terms."""
+    import random
+
+    from topicspark.operators.search import index_candidates, score_candidates
+    draw = random.Random(3)
+    vocabulary = [f"w{i:02d}" for i in range(40)]
+    text = lambda: " ".join(draw.choices(vocabulary, [1 / (i + 1) for i in range(40)], k=draw.randrange(1, 14)))
+    base, lines = _stored(spark, [(i, text()) for i in range(250)] + [(250, "w00 " * 30), (251, "..."), (252, "w00 w00 w00 w39")])
+    q = spark.createDataFrame([(i, text()) for i in range(40)] + [(40, "w00 w01"), (41, "w00 w00 w00 w39"), (42, "?"), (43, "zz w00")],
+                              "qid long, query string").cache()
+    every = {(r.qid, r.line_no): r.score for r in score_pairs(q, lines).collect()}
+    scored = 0
+    for t in (0.0, 0.2, 0.35, 0.5, 0.7, 0.9, 0.999, 1.0):
+        found = index_candidates(q, base + "/terms", t)
+        got = {(r.qid, r.line_no): r.score for r in score_candidates(found, base + "/lines", t).collect()}
+        assert got.keys() == {p for p, s in every.items() if s > t}, t
+        assert all(abs(s - every[p]) < 1e-12 for p, s in got.items())
+        scored += found.rows.count() if t == 0.5 else 0
+    assert scored < len(every) / 2  # of 40 words; most pairs of few words share a common one
+
+
+def test_postings_of_common_terms_are_not_read(spark):
+    from topicspark.operators.search import index_candidates
+    base, _ = _stored(spark, [(i, f"the of and with rare{i}x other{i}y") for i in range(60)])
+    q = spark.createDataFrame([(1, "the of rare7x other7y rare8x"), (2, "the of and with")], "qid long, query string")
+    found = index_candidates(q.filter("qid = 1"), base + "/terms")
+    assert {r["line_no"] for r in found.keys} <= {7, 8} and 7 in {r["line_no"] for r in found.keys}
+    from topicspark.operators import search
+    seen = []
+    real = search._of_terms
+    search._of_terms = lambda t, b: seen.append(sorted(b)) or real(t, b)
+    try:
+        index_candidates(q, base + "/terms")
+    finally:
+        search._of_terms = real
+    assert seen[0] == ["and", "of", "other7y", "rare7x", "rare8x", "the", "with"]
+    # The first query drops "of", the second, of common terms only, one of them too: "and" stays unread.
+    assert seen[1] == ["of", "other7y", "rare7x", "rare8x", "the", "with"]
+
+
+def test_token_counts(spark):
+    from topicspark.operators.search import token_counts
+    rows = [(1, "b a B cc cc CC dd"), (2, ""), (3, None), (4, "x y"), (5, "word " * 30000)]
+    got = {r.i: r.c for r in spark.createDataFrame(rows, "i int, t string").select("i", token_counts("t").alias("c")).collect()}
+    assert [tuple(x) for x in got[1]] == [("cc", 3), ("dd", 1)] and [tuple(x) for x in got[5]] == [("word", 30000)]
+    assert not got[2] and not got[3] and not got[4]

@@ -12,14 +12,20 @@ and D2:
 No shared term gives 0, so an inner join of line terms and query terms
 loses nothing for thresholds >= 0. Query terms are a small table (bounded by
 the query texts); they are broadcast when their checked size allows.
+
+Above a threshold only candidate lines are scored: see ``candidate_share``
+and ``index_candidates``. ``score_pairs`` (T1) gives the scores of all pairs.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicspark.functions.text import IDF_ONE_OF_TWO, tokens
+from topicspark.session import checkpoint_dir, scratch_path
 
 MAX_BROADCAST_TERMS = 5_000_000
 DEFAULT_K = 5
@@ -81,12 +87,31 @@ def score_pairs(queries: DataFrame, lines: DataFrame, qkey: str = "qid",
                         .alias("score"))
 
 
+def candidate_share(threshold: float) -> float:
+    """The share of a query's squared weight Q2 that the terms shared with a
+    line must exceed for a score above ``threshold``.
+
+    By Cauchy, dot^2 <= sq * sd, and the line's norm is at least sqrt(sd), so
+    score^2 <= sq / (sq + c^2 (Q2 - sq)); that is above t^2 only where
+    sq / Q2 > t^2 c^2 / (1 - t^2 + t^2 c^2). (A hair less than the threshold is
+    taken, so that rounding of a score never costs a hit.)"""
+    t2 = max(threshold - 1e-9, 0.0) ** 2
+    c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
+    return t2 * c2 / (1 - t2 + t2 * c2)
+
+
 def relevant_lines(queries: DataFrame, lines: DataFrame, threshold: float = DEFAULT_THRESHOLD,
                    qkey: str = "qid", qtext: str = "query", n_queries: int | None = None) -> DataFrame:
     """Lines scoring strictly above ``threshold``:
-    (qid, topic, chunk_start, chunk_end, line_no, row_text, row_id, score)."""
-    scored = score_pairs(queries, lines, qkey, qtext, n_queries=n_queries)
-    return scored.filter(F.col("score") > F.lit(threshold))
+    (qid, topic, chunk_start, chunk_end, line_no, row_text, row_id, score).
+
+    The lines are stored as a search index in the scratch folder first, so
+    that only candidate lines are scored (see ``index_candidates``)."""
+    base = scratch_path(lines.sparkSession, "lines")
+    store_lines(lines, base + "/terms", base + "/lines")
+    found = index_candidates(queries, base + "/terms", threshold, qkey, qtext)
+    return score_candidates(found, base + "/lines", threshold, qkey).select(
+        qkey, *LINE_KEY, "row_text", "row_id", "score")
 
 
 def top_hits(relevant: DataFrame, k: int = DEFAULT_K, qkey: str = "qid") -> DataFrame:
@@ -101,31 +126,41 @@ def top_hits(relevant: DataFrame, k: int = DEFAULT_K, qkey: str = "qid") -> Data
                     .filter(F.col("rank") <= k))
 
 
-MAX_LOOKUP_KEYS = 10_000
+#: Literal lists of more values cost more in planning than they save in reading.
+MAX_LITERALS = 200
+MAX_BROADCAST_KEYS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fetch_articles(hits: DataFrame, articles: DataFrame, bound: int | None = None) -> DataFrame:
+def fetch_articles(hits: DataFrame, articles: DataFrame, bound: int | None = None,
+                   keys: list[tuple[str, int]] | None = None) -> DataFrame:
     """Answer text of every hit by (topic, row id). Hits without an
     article drop out. ``bound`` is an upper bound on the hit count (k x
-    queries).
-
-    Small hit sets are point lookups: the hits are checkpointed once, their
-    topics and ids go into the article scan as literal filters (partition
-    pruning on topic, row-group min/max on the id-sorted files), and the
-    exact match is a broadcast join. Larger hit sets join by shuffle."""
+    queries); ``keys`` are a few (topic, id) pairs that hold those of all hits.
+
+    Few hits are point lookups: their topics and ids go into the article scan
+    as literal filters (partition pruning on topic, row-group min/max on the
+    id-sorted files). More hits are fixed first, and broadcast with their
+    texts if these have no more than ``MAX_BROADCAST_BYTES`` in all; else a
+    broadcast of their keys cuts the articles down before a shuffle join, and
+    beyond ``MAX_BROADCAST_KEYS`` there is the shuffle join alone."""
     h = hits.withColumn("id", F.col("row_id").cast("long")).drop("row_id")
     arts = articles.select("topic", "id", "answer")
-    if bound is None or bound > MAX_BROADCAST_TERMS:
-        return arts.join(h, ["topic", "id"])
-    if bound <= MAX_LOOKUP_KEYS:
-        from topicspark.session import checkpoint_dir
+    if keys is None:
+        if bound is None or bound > MAX_BROADCAST_KEYS:
+            return arts.join(h, ["topic", "id"])
         checkpoint_dir(h.sparkSession)
         h = h.checkpoint(eager=True)
-        keys = h.select("topic", "id").distinct().collect()  # at most ``bound`` rows
-        topics = sorted({r.topic for r in keys if r.topic is not None})
-        ids = sorted({r.id for r in keys if r.id is not None})
-        arts = arts.filter(F.col("topic").isin(topics) & F.col("id").isin(ids))
-    return arts.join(F.broadcast(h), ["topic", "id"])
+        if bound > MAX_LITERALS:
+            size = h.agg(F.coalesce(F.sum(F.octet_length("row_text") + 100), F.lit(0))).first()[0]
+            if size <= MAX_BROADCAST_BYTES:
+                return arts.join(F.broadcast(h), ["topic", "id"])
+            wanted = h.select("topic", "id").distinct()
+            return arts.join(F.broadcast(wanted), ["topic", "id"], "left_semi").join(h, ["topic", "id"])
+        keys = [(r.topic, r.id) for r in h.select("topic", "id").distinct().collect()]  # at most ``bound`` rows
+    topics = sorted({t for t, _ in keys if t is not None})
+    ids = sorted({i for _, i in keys if i is not None})
+    return arts.filter(F.col("topic").isin(topics) & F.col("id").isin(ids)).join(h, ["topic", "id"])
 
 
 def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
@@ -146,50 +181,86 @@ def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
 
 # --- stored search index ----------------------------------------------------
 # The chunk index is built offline; the per-line term counts can be built
-# with it. A query then reads only the posting rows of its own terms: the
-# term table is stored in hash buckets of the term, and the query's buckets
-# are a literal partition filter, however many terms it has. ``of`` names the
+# with it. A query then reads only the posting rows of the terms that can
+# lead it to a hit: the term table is stored in hash buckets of the term, and
+# the buckets of these terms are a literal partition filter. Beside it lies a
+# dictionary of the terms' line counts, in the same buckets. ``of`` names the
 # number of buckets of the stored table.
 
 MAX_PUSHDOWN_TERMS = 100_000
+MAX_CANDIDATES = 1_000_000
+#: Of the share that commoner terms may have, so much is dropped: the less, the sharper is the candidates' bound.
+DROPPED = 0.75
 BUCKETS_PER_TASK = 4
 LINE_KEY = ["topic", "chunk_start", "chunk_end", "line_no"]
 # Stated, as an empty index has no file to tell them and a topic may look like a number.
 TERMS = ("chunk_start long, chunk_end long, line_no int, term string, row_id int, cnt long, D2 long, "
          "topic string, of int, bucket int")
+COUNTS = "term string, df long, of int, bucket int"
 LINES = "chunk_start long, chunk_end long, line_no int, row_id int, row_text string, topic string"
 
 
+def counts_path(terms_path: str) -> str:
+    return terms_path.rstrip("/") + "_counts"
+
+
+def token_counts(text: Column | str) -> Column:
+    """array<struct<term, cnt>>: the distinct tokens of a text, in order."""
+    sorted_ = F.array_sort(tokens(text))
+    runs = lambda s: F.filter(  # noqa: E731  the first place of every token
+        F.transform(s, lambda x, i: F.struct(x.alias("term"), i.alias("at"))),
+        lambda x: (x["at"] == 0) | (F.get(s, x["at"] - 1) != x["term"]))
+    counted = lambda s, r: F.transform(r, lambda x, i: F.struct(
+        x["term"].alias("term"), (F.coalesce(F.get(r, i + 1)["at"], F.size(s)) - x["at"]).cast("long").alias("cnt")))
+    return F.transform(F.array(sorted_), lambda s: F.transform(F.array(runs(s)), lambda r: counted(s, r))[0])[0]
+
+
+def _sum(items: Column, value) -> Column:
+    return F.aggregate(items, F.lit(0).cast("long"), lambda a, x: a + value(x))
+
+
 def line_term_table(lines: DataFrame) -> DataFrame:
-    """(term, line key..., row_id, cnt, D2) for every summary line."""
-    n_parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (lines.repartition(n_parts, *[F.col(k) for k in LINE_KEY])
-                 .select(*LINE_KEY, "row_id", F.explode(tokens("row_text")).alias("term"))
-                 .groupBy(*LINE_KEY, "term").agg(F.first("row_id").alias("row_id"),
-                                                 F.count(F.lit(1)).alias("cnt"))
-                 .withColumn("D2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(*LINE_KEY))))
+    """(line key..., row_id, D2, term, cnt) for every summary line, counted
+    inside the row: no token is shuffled to be counted."""
+    counted = lines.select(*LINE_KEY, "row_id", token_counts("row_text").alias("_counts"))
+    return (counted.select(*LINE_KEY, "row_id", "_counts", _sum(F.col("_counts"), lambda x: x["cnt"] * x["cnt"]).alias("D2"))
+                   .select(*LINE_KEY, "row_id", "D2", F.inline("_counts")))
 
 
 def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str) -> None:
-    """Store the line texts (partitioned by topic) and the term table (in
-    ``BUCKETS_PER_TASK`` buckets of the term for each shuffle partition).
-
-    Writers take ranges of (bucket, term, line): a term that is in most lines
-    is spread over many tasks and files, and rare ones share a task."""
+    """Store the search index of a chunk index's summary lines."""
     from topicspark.operators.chunks import summary_lines
-    lines = summary_lines(chunk_index)
+    store_lines(summary_lines(chunk_index), terms_path, lines_path)
+
+
+def store_lines(lines: DataFrame, terms_path: str, lines_path: str) -> None:
+    """Store the line texts (partitioned by topic), the term table (in
+    ``BUCKETS_PER_TASK`` buckets of the term for each shuffle partition) and
+    the number of lines of each term.
+
+    Writers take (a run of buckets, salt of the line): a term that most lines
+    hold is spread over the writers of its buckets, and a sampling pass over
+    the tokenised lines isn't needed."""
     from topicspark.sources.store import cluster_for_write
+    spark = lines.sparkSession
     (cluster_for_write(lines.select(*LINE_KEY, "row_id", "row_text"), LINE_KEY)
           .write.mode("overwrite").option("partitionOverwriteMode", "static")  # topics that left the index go
           .partitionBy("topic").parquet(lines_path))
-    n_parts = int(chunk_index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = n_parts * BUCKETS_PER_TASK
-    (line_term_table(spark_lines(chunk_index.sparkSession, lines_path))
+    salts = max(1, round(n_parts ** 0.5))
+    runs = -(-n_parts // salts)
+    (line_term_table(spark_lines(spark, lines_path))
         .withColumn("of", F.lit(n_buckets)).withColumn("bucket", term_bucket(n_buckets))
-        .repartitionByRange(n_parts, "bucket", "term", F.xxhash64(*LINE_KEY))
+        .repartition(n_parts, F.floor(F.col("bucket") * F.lit(runs) / F.lit(n_buckets)),
+                     F.pmod(F.xxhash64(*LINE_KEY), F.lit(salts)))
         .sortWithinPartitions("bucket", "term")
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("of", "bucket").parquet(terms_path))
+    (spark.read.schema(TERMS).parquet(terms_path).groupBy("of", "bucket", "term").agg(F.count(F.lit(1)).alias("df"))
+        .repartition(n_parts, "bucket").sortWithinPartitions("bucket", "term")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("of", "bucket").parquet(counts_path(terms_path)))
 
 
 def term_bucket(n_buckets: int) -> Column:
@@ -200,57 +271,165 @@ def spark_lines(spark, lines_path: str) -> DataFrame:
     return spark.read.schema(LINES).parquet(lines_path)
 
 
+@dataclass
+class Candidates:
+    rows: DataFrame    # (qid, line key..., row_id, and the sums over kept terms): lines that may score above the threshold
+    left: DataFrame    # (qid, left): the dropped terms of each query, array<struct<term, q>>
+    keys: list | None  # the candidates themselves where they are at most ``MAX_LITERALS``
+
+
+def _split_terms(terms: list, lines_of: dict[str, int], share: float) -> tuple[list[tuple], dict]:
+    """Rows (qid, term, q, Q2, dropped) of the rarest terms of each query,
+    without the commonest ones up to ``share`` of its Q2 (``dropped`` of it),
+    and these as lists by query."""
+    per: dict = {}
+    for r in terms:
+        per.setdefault(r[0], []).append(r)
+    out, left = [], {}
+    for qid, rows in per.items():
+        total, dropped, kept = sum(r[2] ** 2 for r in rows), 0, []
+        left[qid] = []
+        for r in sorted(rows, key=lambda r: (-lines_of.get(r[1], 0), r[1])):
+            if kept or dropped + r[2] ** 2 > share * total:
+                kept.append(r)
+            else:
+                dropped += r[2] ** 2
+                left[qid].append((r[1], r[2]))
+        out += [(qid, r[1], r[2], total, dropped) for r in kept]
+    return out, left
+
+
+def _split_frames(terms: DataFrame, counts: DataFrame, qkey: str, share: float) -> tuple[DataFrame, DataFrame]:
+    """``_split_terms`` of any number of queries, by joins and windows."""
+    whole = Window.partitionBy(qkey)
+    order = whole.orderBy(F.col("df").desc(), "term").rowsBetween(Window.unboundedPreceding, 0)
+    square = F.col("q") * F.col("q")
+    marked = (terms.drop("bucket").join(counts.select("term", "df"), "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+                   .withColumn("Q2", F.sum(square).over(whole))
+                   .withColumn("keep", F.sum(square).over(order) > F.lit(share) * F.col("Q2")))
+    kept = (marked.withColumn("dropped", F.coalesce(F.sum(F.when(~F.col("keep"), square)).over(whole), F.lit(0)))
+                  .filter("keep").select(qkey, "term", "q", "Q2", "dropped"))
+    left = marked.groupBy(qkey).agg(F.collect_list(F.when(~F.col("keep"), F.struct("term", "q"))).alias("left"))
+    return kept, left  # a list holds terms of one query
+
+
+def index_candidates(queries: DataFrame, terms_path: str, threshold: float = DEFAULT_THRESHOLD,
+                     qkey: str = "qid", qtext: str = "query") -> Candidates:
+    """Every (query, line) that can score above ``threshold``, from the
+    postings of the queries' rarer terms alone.
+
+    A hit shares terms of more than ``candidate_share`` of the query's squared
+    weight. The commonest terms of a query that make up no more than
+    ``DROPPED`` of this share are dropped: a line that shares none of the others is no hit. Of the
+    lines found, the shared weight of the kept terms bounds the score, with
+    all that the dropped ones could add (Cauchy again); only lines whose bound
+    is above the threshold are candidates. Queries of up to
+    ``MAX_PUSHDOWN_TERMS`` terms pass through the driver (two small jobs: the
+    terms, and their line counts); more are joined."""
+    spark = queries.sparkSession
+    share = candidate_share(threshold) * DROPPED
+    stored = _partition_value(spark, terms_path, "of")  # no folder: no postings
+    terms = term_counts(queries, [qkey], qtext).select(
+        qkey, "term", F.col("cnt").alias("q"), term_bucket(int(stored or 1)).alias("bucket"))
+    kinds = f"{qkey} {queries.schema[qkey].dataType.simpleString()}"
+    postings, counts = (spark.read.schema(s).parquet(p) for s, p in ((TERMS, terms_path), (COUNTS, counts_path(terms_path))))
+    asked = terms.limit(MAX_PUSHDOWN_TERMS + 1).collect()
+    if len(asked) <= MAX_PUSHDOWN_TERMS:
+        buckets = {r.term: r.bucket for r in asked}
+        lines_of = {}
+        if buckets and stored:
+            asked_for = F.broadcast(spark.createDataFrame([(t,) for t in buckets], "term string"))
+            lines_of = dict(_of_terms(counts, buckets).join(asked_for, "term").select("term", "df").collect())
+        rows, left = _split_terms(asked, lines_of, share)
+        postings = _of_terms(postings, {r[1]: buckets[r[1]] for r in rows if r[1] in lines_of})
+        kept = F.broadcast(spark.createDataFrame(rows, f"{kinds}, term string, q long, Q2 long, dropped long"))
+        rest = F.broadcast(spark.createDataFrame(list(left.items()), f"{kinds}, left array<struct<term: string, q: bigint>>"))
+    else:
+        kept, rest = _split_frames(terms, counts, qkey, share)
+    c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
+    found = (postings.join(kept, "term").groupBy(qkey, *LINE_KEY)
+                     .agg(*[F.first(c).alias(c) for c in ("row_id", "Q2", "D2", "dropped")],
+                          F.sum(F.col("q") * F.col("cnt")).alias("dot"), F.sum(F.col("q") * F.col("q")).alias("sq"),
+                          F.sum(F.col("cnt") * F.col("cnt")).alias("sd")))
+    # The dropped terms may add ``dropped`` to sq and, where there are any, what is left of D2 to sd.
+    more = F.when(F.col("dropped") > 0, F.col("D2") - F.col("sd")).otherwise(0)
+    sq, sd = F.col("sq") + F.col("dropped"), F.col("sd") + more
+    bound = ((F.col("dot") + F.sqrt(F.col("dropped") * more))
+             / (F.sqrt(sq + c2 * (F.col("Q2") - sq)) * F.sqrt(sd + c2 * (F.col("D2") - sd))))
+    found = found.filter(bound > F.lit(threshold - 1e-9)).drop("dropped")
+    path = scratch_path(spark, "candidates")
+    found.write.parquet(path)
+    rows = spark.read.schema(found.schema).parquet(path)
+    n = rows.count()
+    if n > MAX_CANDIDATES:
+        return Candidates(rows, rest, None)
+    return Candidates(F.broadcast(rows), rest, rows.collect() if n <= MAX_LITERALS else None)  # keys only
+
+
+def _of_terms(table: DataFrame, buckets: dict[str, int]) -> DataFrame:
+    """The rows of these terms' buckets, and of few terms only theirs: literal
+    lists for the scan (PartitionFilters, PushedFilters)."""
+    table = table.filter(f"bucket IN ({', '.join(map(str, sorted(set(buckets.values())))) or 'NULL'})")
+    return table.filter(F.col("term").isin(sorted(buckets))) if len(buckets) <= MAX_LITERALS else table
+
+
+def _partition_value(spark, path: str, column: str) -> str | None:
+    """The value of a table's first partition column, from its folder's name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for x in files.listStatus(folder):
+        name = x.getPath().getName()
+        if name.startswith(column + "="):
+            return name.split("=", 1)[1]
+    return None
+
+
+def score_candidates(found: Candidates, lines_path: str, threshold: float = DEFAULT_THRESHOLD,
+                     qkey: str = "qid") -> DataFrame:
+    """The candidates' exact scores on all terms, where above ``threshold``:
+    (qid, line key..., row_id, row_text, score). Only the lines of the
+    candidates' topics and chunks are read where the candidates are few, and
+    only the dropped terms are looked up in a line."""
+    lines = spark_lines(found.rows.sparkSession, lines_path).drop("row_id")
+    if found.keys is not None:
+        lines = lines.filter(F.col("topic").isin(sorted({r["topic"] for r in found.keys if r["topic"] is not None}))
+                             & F.col("chunk_start").isin(sorted({r["chunk_start"] for r in found.keys})))
+    c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
+    shared = F.filter(F.transform("left", lambda x: F.struct(
+        x["q"].alias("q"), F.try_element_at(F.col("_counts"), x["term"]).alias("cnt"))), lambda x: x["cnt"].isNotNull())
+    add = lambda name, value: F.col(name) + _sum(F.col("_shared"), value)
+    # Counted once per line, before a line meets its queries.
+    sums = (lines.withColumn("_counts", F.map_from_entries(token_counts("row_text")))
+                 .join(found.rows, LINE_KEY).join(found.left, qkey).withColumn("_shared", shared)
+                 .withColumns({"dot": add("dot", lambda x: x["q"] * x["cnt"]), "sq": add("sq", lambda x: x["q"] * x["q"]),
+                               "sd": add("sd", lambda x: x["cnt"] * x["cnt"])}))
+    score = (F.col("dot") / (F.sqrt(F.col("sq") + c2 * (F.col("Q2") - F.col("sq")))
+                             * F.sqrt(F.col("sd") + c2 * (F.col("D2") - F.col("sd")))))
+    return (sums.select(qkey, *LINE_KEY, "row_id", "row_text", score.alias("score"))
+                .filter(F.col("score") > F.lit(threshold)))
+
+
 def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles: DataFrame,
                  k: int = DEFAULT_K, threshold: float = DEFAULT_THRESHOLD,
                  qkey: str = "qid", qtext: str = "query") -> DataFrame:
-    """T5 against the stored search index; same output as ``smart_query``."""
-    n_q = queries.count()
-    texts = index_hits(queries, terms_path, lines_path, k, threshold, qkey, qtext, n_q)
-    out = fetch_articles(texts, articles, bound=k * n_q)
-    return out.select(qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
+    """T5 against the stored search index; same output as ``smart_query``.
+
+    Besides the job of the result, a search runs a few small ones: the
+    queries' terms, their line counts, and the candidates (and, of more than
+    a few queries, the hits)."""
+    found = index_candidates(queries, terms_path, threshold, qkey, qtext)
+    hits = top_hits(score_candidates(found, lines_path, threshold, qkey), k, qkey)
+    keys = None if found.keys is None else [(r["topic"], r["row_id"]) for r in found.keys]
+    bound = None if keys is not None else k * queries.count()
+    return fetch_articles(hits, articles, bound, keys).select(
+        qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
 
 
 def index_hits(queries: DataFrame, terms_path: str, lines_path: str,
                k: int = DEFAULT_K, threshold: float = DEFAULT_THRESHOLD,
-               qkey: str = "qid", qtext: str = "query", n_q: int | None = None) -> DataFrame:
+               qkey: str = "qid", qtext: str = "query") -> DataFrame:
     """Top-k lines per query from the stored search index:
     (qid, rank, score, row_text, row_id, line key...)."""
-    spark = queries.sparkSession
-    if n_q is None:
-        n_q = queries.count()
-    c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
-    qtc = term_counts(queries, [qkey], qtext)
-    qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
-             .select(qkey, "term", F.col("cnt").alias("q"), "Q2"))
-    # Not cached: the table comes from the query texts and is cheap to
-    # recompute; a cache would outlive the search in a long session.
-    n_terms = qt.count()
-    postings = spark.read.schema(TERMS).parquet(terms_path)
-    stored = postings.select("of").first()  # no postings: nothing to prune
-    asked = (qt.select("term").distinct().withColumn("bucket", term_bucket(stored["of"] if stored else 1))
-             .limit(MAX_PUSHDOWN_TERMS + 1).collect())
-    if len(asked) <= MAX_PUSHDOWN_TERMS:
-        # The query terms are bounded by the query texts: literal lists for
-        # the scan (PartitionFilters on the buckets, PushedFilters on the terms).
-        postings = postings.filter(F.col("bucket").isin(sorted({r.bucket for r in asked}))
-                                   & F.col("term").isin([r.term for r in asked]))
-    qside = F.broadcast(qt) if n_terms <= MAX_BROADCAST_TERMS else qt
-    scored = (postings.join(qside, "term")
-                      .groupBy(qkey, *LINE_KEY)
-                      .agg(F.first("row_id").alias("row_id"), F.first("Q2").alias("Q2"),
-                           F.first("D2").alias("D2"),
-                           F.sum(F.col("q") * F.col("cnt")).alias("dot"),
-                           F.sum(F.col("q") * F.col("q")).alias("sq"),
-                           F.sum(F.col("cnt") * F.col("cnt")).alias("sd"))
-                      .select(qkey, *LINE_KEY, "row_id",
-                              (F.col("dot") / (F.sqrt(F.col("sq") + c2 * (F.col("Q2") - F.col("sq")))
-                                               * F.sqrt(F.col("sd") + c2 * (F.col("D2") - F.col("sd")))))
-                              .alias("score"))
-                      .filter(F.col("score") > F.lit(threshold)))
-    hits = top_hits(scored, k, qkey)
-    bound = k * n_q
-    h = F.broadcast(hits) if bound <= MAX_BROADCAST_TERMS else hits
-    # Line texts of the hits only: the topic filter of the broadcast hits
-    # prunes the partitions of the line table at run time.
-    return spark_lines(spark, lines_path).drop("row_id").join(h, LINE_KEY).select(
+    found = index_candidates(queries, terms_path, threshold, qkey, qtext)
+    return top_hits(score_candidates(found, lines_path, threshold, qkey), k, qkey).select(
         qkey, "rank", "score", "row_text", "row_id", *LINE_KEY)
