@@ -45,6 +45,18 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(col_(text)), F.lit(TOKEN_PATTERN), 0)
 
 
+def value_counts(values: Column, value: str = "term", count: str = "cnt") -> Column:
+    """array<struct<value, count>>: the distinct values of an array, in order,
+    with the number of places that each has in it (sorted inside the row)."""
+    first = lambda s: F.filter(  # noqa: E731  the first place of every value
+        F.transform(s, lambda x, i: F.struct(x.alias("x"), i.alias("at"))),
+        lambda x: (x["at"] == 0) | (F.get(s, x["at"] - 1) != x["x"]))
+    counted = lambda s, f: F.transform(f, lambda x, i: F.struct(
+        x["x"].alias(value), (F.coalesce(F.get(f, i + 1)["at"], F.size(s)) - x["at"]).cast("long").alias(count)))
+    # Each inner array is named once, as the element of an array of one.
+    return F.transform(F.array(F.array_sort(values)), lambda s: F.transform(F.array(first(s)), lambda f: counted(s, f))[0])[0]
+
+
 def strip_ws(text: Column | str) -> Column:
     """Remove leading / trailing whitespace (spaces, tabs, CR, LF, FF)."""
     return F.regexp_replace(col_(text), r"^\s+|\s+$", "")

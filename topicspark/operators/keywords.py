@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicspark.functions.text import keyword_map_json, render_keyword_map, tokens
+from topicspark.functions.text import keyword_map_json, render_keyword_map, tokens, value_counts
 from topicspark.operators.chunks import assign_chunks
 from topicspark.session import scratch_path
 
@@ -34,30 +36,49 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
     the phrase; ties by phrase. A stand-in for the embedding-model extractor
     of the original: the scores are not comparable to its scores.
 
-    The phrase-frequency join is keyed by phrase, and a phrase present in
-    most rows is a hot key. The frequencies are written first: both sides of
-    the join then end in a shuffle of its own, which is what the adaptive
-    skew-join split needs (an aggregate on one side rules it out)."""
-    # Unigrams and bigrams are built inside each row (no token join); the
-    # rows are clustered by key once so the per-row counts need no exchange.
+    Texts are tokenised once: a row's phrases are counted inside the row and
+    the counts are written, then read for the phrase frequencies and for the
+    candidates. Phrases that a row has more than once are scored first. One
+    that it has once scores ln((1 + N) / 2) + 1 at most, so the single ones of
+    a row whose ``top`` best so far are all above this are left out, and only
+    the others join the frequencies.
+
+    The joins with the frequencies are keyed by phrase, and a phrase present
+    in most rows is a hot key: both sides come from files and end in a shuffle
+    of their own, which is what the adaptive skew-join split needs."""
+    spark = docs.sparkSession
     t = F.col("_toks")
     bigrams = F.transform(F.sequence(F.lit(2), F.greatest(F.size(t), F.lit(2))),
                           lambda i: F.concat_ws(" ", F.try_element_at(t, i - 1), F.try_element_at(t, i)))
     grams = F.when(F.size(t) >= 2, F.concat(t, bigrams)).otherwise(t)
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    phrases = (docs.select(*key, text).repartition(n_parts, *[F.col(k) for k in key])
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = (docs.select(*key, text).repartition(n_parts, *[F.col(k) for k in key])
                    .select(*key, tokens(text).alias("_toks"))
-                   .select(*key, F.explode(grams).alias("phrase")))
-    tf = phrases.groupBy(*key, "phrase").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = docs.agg(F.count(F.lit(1)).alias("N"))
-    path = scratch_path(docs.sparkSession, "phrase-df")
-    tf.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).write.parquet(path)
-    dfreq = docs.sparkSession.read.schema("phrase string, df long").parquet(path)
-    scored = (tf.join(dfreq, "phrase").crossJoin(F.broadcast(n_docs))  # one-row frame
-                .withColumn("score", F.col("tf") * (F.log((1 + F.col("N")) / (1 + F.col("df"))) + 1)))
-    w = Window.partitionBy(*key).orderBy(F.round("score", 9).desc(), "phrase")
-    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
-                  .select(*key, "rank", "phrase", "score"))
+                   .select(*key, value_counts(grams, "phrase", "tf").alias("counts")))
+    path = scratch_path(spark, "phrases")
+    counted.write.parquet(path + "/tf")
+    tf = spark.read.schema(counted.schema).parquet(path + "/tf")
+    (tf.select(F.explode("counts.phrase").alias("phrase")).groupBy("phrase")
+       .agg(F.count(F.lit(1)).alias("df")).write.parquet(path + "/df"))
+    dfreq = spark.read.schema("phrase string, df long").parquet(path + "/df")
+    n = tf.count()
+    once = math.log((1 + n) / 2) + 1 + 1e-6  # a hair more, as scores are compared rounded
+    best = Window.partitionBy(*key).orderBy(F.round("score", 9).desc(), "phrase")
+
+    def scored(rows: DataFrame, wanted) -> DataFrame:
+        return (rows.select(*key, F.inline(F.filter("counts", wanted))).join(dfreq, "phrase")
+                    .withColumn("score", F.col("tf") * (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1))
+                    .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+                    .select(*key, "phrase", "score"))
+
+    scored(tf, lambda x: x["tf"] > 1).write.parquet(path + "/repeated")
+    repeated = spark.read.schema(scored(tf, lambda x: x["tf"] > 1).schema).parquet(path + "/repeated")
+    full = (repeated.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+                    .filter((F.col("n") == top) & (F.col("least") > once)).select(*key))
+    others = tf.join(full, key, "left_anti")
+    return (repeated.unionByName(scored(others, lambda x: x["tf"] == 1))
+                    .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+                    .select(*key, "rank", "phrase", "score"))
 
 
 # The prompt header of the chunk summary request.

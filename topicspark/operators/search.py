@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicspark.functions.text import IDF_ONE_OF_TWO, tokens
+from topicspark.functions.text import IDF_ONE_OF_TWO, tokens, value_counts
 from topicspark.session import checkpoint_dir, scratch_path
 
 MAX_BROADCAST_TERMS = 5_000_000
@@ -206,13 +206,7 @@ def counts_path(terms_path: str) -> str:
 
 def token_counts(text: Column | str) -> Column:
     """array<struct<term, cnt>>: the distinct tokens of a text, in order."""
-    sorted_ = F.array_sort(tokens(text))
-    runs = lambda s: F.filter(  # noqa: E731  the first place of every token
-        F.transform(s, lambda x, i: F.struct(x.alias("term"), i.alias("at"))),
-        lambda x: (x["at"] == 0) | (F.get(s, x["at"] - 1) != x["term"]))
-    counted = lambda s, r: F.transform(r, lambda x, i: F.struct(
-        x["term"].alias("term"), (F.coalesce(F.get(r, i + 1)["at"], F.size(s)) - x["at"]).cast("long").alias("cnt")))
-    return F.transform(F.array(sorted_), lambda s: F.transform(F.array(runs(s)), lambda r: counted(s, r))[0])[0]
+    return value_counts(tokens(text))
 
 
 def _sum(items: Column, value) -> Column:
