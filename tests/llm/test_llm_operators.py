@@ -249,21 +249,16 @@ def test_patience_blocks():
 
 
 def test_line_dedup(docs, nothing, rows):
-    long = lambda x: len(x.strip(" \t\r")) >= line_dedup.MIN_CHARS
+    length = lambda x: len(x.strip(" \t\r"))
     known = sorted({(d, t) for d, t in rows if d is not None and t})
-    first, texts = {}, defaultdict(list)
-    for d, t in known:
-        texts[d].append(t.split("\n"))
-        for x in t.split("\n"):
-            if long(x):
-                first.setdefault(x, d)
     want = {}
     for d, t in known:
         a, gone = t.split("\n"), set()
-        for e in {first[x] for x in a if x in first and first[x] < d}:
-            for b in texts[e]:
+        for e, u in known:
+            b = u.split("\n")
+            if e < d and not set(a).isdisjoint(b):
                 for i, _, n in line_dedup.patience(a, b):
-                    if any(map(long, a[i:i + n])):
+                    if sum(map(length, a[i:i + n])) >= line_dedup.MIN_CHARS:
                         gone |= set(range(i, i + n))
         want[d, t] = (d, len(a), len(gone), hashlib.sha256("\n".join(x for i, x in enumerate(a) if i not in gone).encode()).hexdigest())
     empty = hashlib.sha256(b"").hexdigest()
