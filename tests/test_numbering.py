@@ -101,3 +101,25 @@ def test_string_first_key_is_split_and_exact(spark):
     d2 = spark.createDataFrame(rows, "g string, k string")
     got2 = {(r.g, r.k): r.rn for r in number_rows(d2, ["g"], ["k"], "rn", descending=[True]).collect()}
     assert got2 == {("a", "y"): 1, ("a", "x"): 2, ("a", None): 3, ("b", "z"): 1}
+
+
+def test_buckets_are_balanced_whatever_the_keys(spark, monkeypatch):
+    """One file of one topic, fractions, clustered keys, text, and rows that agree in all keys."""
+    n = 6000
+    ids = spark.range(n).withColumn("t", F.lit("only"))
+    tables = {
+        "one file": ids.select("t", F.lit(1).alias("k"), "id"),
+        "fractions": ids.select("t", (F.col("id") / F.lit(7e6)).alias("k"), "id"),
+        "clusters": ids.select("t", F.when(F.col("id") < n - 2, F.col("id") % 50).otherwise(F.lit(10**15) + F.col("id")).alias("k"), "id"),
+        "text": ids.select("t", F.concat(F.lit("prefix/that/is/long/"), F.col("id").cast("string")).alias("k"), "id"),
+    }
+    for name, df in tables.items():
+        got = number_rows(df, ["t"], ["k", "id"], "rn", target_rows=500, bucket_col="b")
+        sizes = [r["count"] for r in got.groupBy("b").count().collect()]
+        assert len(sizes) >= 10 and max(sizes) <= 1000, (name, sizes)
+        ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("t").orderBy("k", "id")))
+        assert got.join(ref, "id").filter(F.col("rn") != F.col("ref")).count() == 0, name
+    alike = ids.select("t", (F.col("id") % 3).alias("k"), "id")
+    got = number_rows(alike, ["t"], ["k"], "rn", target_rows=500)
+    assert [tuple(r) for r in got.groupBy("k").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).orderBy("k").collect()] == [
+        (0, 1, 2000, 2000), (1, 2001, 4000, 2000), (2, 4001, 6000, 2000)]

@@ -2,22 +2,21 @@
 
 ``row_number() OVER (PARTITION BY topic ORDER BY id)`` puts every row of a
 topic into one task; a topic holding a third of the table would be one task.
-Here each group is cut into buckets along its first order key (a
-non-numeric first key is first replaced by its dense rank):
-
-1. per group: min, max and count of the first key (one small aggregate,
-   checkpointed so every later use sees the same numbers);
-2. bucket = floor((key - min) / width), width chosen so that a bucket holds
-   about ``target_rows`` rows when keys are dense. The bucket is a monotone
-   function of the key, so buckets follow each other in sort order;
-3. ``row_number`` over (group, bucket) -- many tasks for a hot group;
-4. offset of a bucket = rows of the earlier buckets of its group, from a
-   small (group, bucket) count table.
-
-Every step is a pure function of the data, so re-computation after a lost
-executor gives the same numbers. The two small tables are broadcast only
-when their checked row counts are under ``MAX_BROADCAST_ROWS``; beyond it
-they are joined by a shuffle (AQE splits a skewed group there).
+A larger table is numbered on its keys alone instead:
+
+1. the distinct (group, order key) tuples with their counts; a range
+   partitioning over *all* of them, whose borders are quantiles that Spark
+   samples from the tuples, gives buckets of about ``target_rows``, whatever
+   the keys are: one file or topic, fractions, clusters, text;
+2. the ranged tuples are checkpointed, so that borders and bucket numbers
+   stay the same for every later use, also after a lost executor;
+3. first position of a tuple in its group = rows of the group in earlier
+   buckets (prefix sums over a table of a row per group and bucket) + rows
+   of the group before it in its bucket (a window over that);
+4. the wide rows meet their positions last, in one join on the keys.
+
+The table of groups and buckets is broadcast only when its counted rows are
+under ``MAX_BROADCAST_ROWS``; beyond it it is joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -29,6 +28,8 @@ from topicspark.session import checkpoint_dir
 
 MAX_BROADCAST_ROWS = 2_000_000
 TARGET_ROWS = 2_000_000
+#: A table of so many rows is numbered by one window.
+DIRECT_ROWS = 200_000
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -41,84 +42,47 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
     """Add ``name`` = 1-based position (long) of each row within its ``by``
     group in ``order``: ascending with nulls first, or descending with nulls
     last where ``descending`` says so. End ``order`` with a unique key so
-    that the order is total. A non-numeric first key costs one more join
-    (its dense rank, see ``_numeric_first_key``).
-    ``bucket_col`` keeps the bucket of each row under that name.
+    that the order is total; rows that agree in all of it get consecutive
+    positions in any order. ``bucket_col`` keeps the bucket of each row under
+    that name.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    descending = descending or [False] * len(order_cols)
+    down = descending or [False] * len(order_cols)
     keys = [f"_ts_g{i}" for i in range(len(by))]
     okeys = [f"_ts_o{i}" for i in range(len(order_cols))]
-
     base = df.select("*", *[F.col(c).alias(k) for c, k in zip(by, keys)],
                      *[c.alias(k) for c, k in zip(order_cols, okeys)])
-    base = _numeric_first_key(base, okeys[0])
-    # The bucketing key ascends in sort order; nulls go to bucket -1 (nulls
-    # first, ascending) or to a bucket past the last one (nulls last).
-    first = F.col("_ts_o0n").cast("double")
-    bkey = -first if descending[0] else first
-    base = base.withColumn("_ts_bk", bkey)
-
-    group_cols = [F.col(k) for k in keys] if keys else [F.lit(0).alias("_ts_one")]
-    gkeys = keys if keys else ["_ts_one"]
-    if not keys:
-        base = base.withColumn("_ts_one", F.lit(0))
-    stats = (base.groupBy(*gkeys)
-             .agg(F.min("_ts_bk").alias("_ts_lo"), F.max("_ts_bk").alias("_ts_hi"),
-                  F.count(F.lit(1)).alias("_ts_n"))
-             .withColumn("_ts_nb", F.greatest(F.lit(1), F.ceil(F.col("_ts_n") / F.lit(target_rows))))
-             .withColumn("_ts_w", F.greatest(
-                 F.lit(1.0), (F.col("_ts_hi") - F.col("_ts_lo") + 1) / F.col("_ts_nb")))
-             .select(*gkeys, "_ts_lo", "_ts_w", "_ts_nb")
-             .checkpoint(eager=True))
-    size = stats.agg(F.count(F.lit(1)).alias("g"),
-                     F.coalesce(F.sum("_ts_nb"), F.lit(0)).alias("b")).first()
-    n_groups, n_buckets = int(size["g"]), int(size["b"])
-
-    srenamed = stats.select(*[F.col(k).alias(k + "s") for k in gkeys],
-                            "_ts_lo", "_ts_w", "_ts_nb")
-    cond = [F.col(k).eqNullSafe(F.col(k + "s")) for k in gkeys]
-    null_bucket = F.lit(-1) if not descending[0] else F.col("_ts_nb")
-    bucketed = (base.join(_maybe_broadcast(srenamed, n_groups), cond, "inner")
-                .withColumn("_ts_b", F.when(F.col("_ts_bk").isNull(), null_bucket)
-                            .otherwise(F.floor((F.col("_ts_bk") - F.col("_ts_lo")) / F.col("_ts_w")))
-                            .cast("long")))
-
-    counts = bucketed.groupBy(*gkeys, "_ts_b").agg(F.count(F.lit(1)).alias("_ts_c"))
-    before = (Window.partitionBy(*gkeys).orderBy("_ts_b")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*[F.col(k).alias(k + "c") for k in gkeys],
-                            F.col("_ts_b").alias("_ts_bc"),
-                            F.coalesce(F.sum("_ts_c").over(before), F.lit(0)).alias("_ts_off"))
-
-    sort_exprs = [F.col(k).desc_nulls_last() if d else F.col(k).asc_nulls_first()
-                  for k, d in zip(okeys, descending)]
-    local = bucketed.withColumn("_ts_local", F.row_number().over(
-        Window.partitionBy(*gkeys, "_ts_b").orderBy(*sort_exprs)))
-    ocond = [F.col(k).eqNullSafe(F.col(k + "c")) for k in gkeys] + [
-        F.col("_ts_b") == F.col("_ts_bc")]
-    out = local.join(_maybe_broadcast(offsets, n_buckets + 2 * n_groups), ocond, "inner")
-    extra = [F.col("_ts_b").alias(bucket_col)] if bucket_col else []
-    return out.select(*df.columns, (F.col("_ts_local") + F.col("_ts_off")).cast("long").alias(name),
-                      *extra)
-
-
-def _numeric_first_key(base: DataFrame, col: str) -> DataFrame:
-    """Add ``_ts_o0n``: the first order key itself when numeric, else its
-    dense rank (same order, nulls stay null) from a distributed running
-    count over the distinct values, joined back by value."""
-    from pyspark.sql import types as T
-    dtype = base.schema[col].dataType
-    if isinstance(dtype, T.NumericType):
-        return base.withColumn("_ts_o0n", F.col(col))
-    values = base.select(F.col(col).alias("_ts_v")).filter(F.col("_ts_v").isNotNull()).distinct() \
-        .withColumn("_ts_one", F.lit(1))
-    ranks = running_offsets(values, [F.col("_ts_v").asc()], "_ts_one", "_ts_o0n")
-    ranks = ranks.select("_ts_v", "_ts_o0n").checkpoint(eager=True)
-    n = ranks.count()
-    return base.join(_maybe_broadcast(ranks, n), base[col] == ranks["_ts_v"], "left").drop("_ts_v")
+    sorts = [F.col(k).desc_nulls_last() if d else F.col(k).asc_nulls_first() for k, d in zip(okeys, down)]
+    rows = base.select(*keys, *okeys).count()
+    if rows <= min(target_rows, DIRECT_ROWS):
+        at = F.row_number().over(Window.partitionBy(*keys).orderBy(*sorts)).cast("long").alias(name)
+        return base.select(*df.columns, at, *([F.lit(0).cast("long").alias(bucket_col)] if bucket_col else []))
+
+    checkpoint_dir(df.sparkSession)
+    ranged = (base.groupBy(*keys, *okeys).agg(F.count(F.lit(1)).alias("_ts_c"))
+              .repartitionByRange(-(-rows // target_rows), *[F.col(k).asc_nulls_first() for k in keys], *sorts)
+              .checkpoint(eager=True).withColumn("_ts_b", F.spark_partition_id().cast("long")))
+    sums = ranged.groupBy(*keys, "_ts_b").agg(F.sum("_ts_c").alias("_ts_n"), F.max("_ts_c").alias("_ts_same")).checkpoint(eager=True)
+    size = sums.agg(F.count(F.lit(1)).alias("n"), F.max("_ts_same").alias("same")).first()
+    earlier = Window.partitionBy(*keys).orderBy("_ts_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*[F.col(k).alias(k + "s") for k in keys], F.col("_ts_b").alias("_ts_bs"),
+                          F.coalesce(F.sum("_ts_n").over(earlier), F.lit(0)).alias("_ts_off"))
+    before = Window.partitionBy(*keys, "_ts_b").orderBy(*sorts).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (ranged.withColumn("_ts_in", F.coalesce(F.sum("_ts_c").over(before), F.lit(0)))
+              .join(_maybe_broadcast(offsets, size["n"]),
+                    _same(keys, "s") + [F.col("_ts_b") == F.col("_ts_bs")])
+              .select(*[F.col(k).alias(k + "p") for k in keys + okeys], "_ts_b",
+                      (F.col("_ts_off") + F.col("_ts_in") + 1).alias("_ts_first")))
+    out = base.join(placed, _same(keys + okeys, "p"))
+    if size["same"] > 1:
+        alike = Window.partitionBy(*keys, *okeys).orderBy(F.lit(0))
+        out = out.withColumn("_ts_first", F.col("_ts_first") + F.row_number().over(alike) - 1)
+    return out.select(*df.columns, F.col("_ts_first").cast("long").alias(name),
+                      *([F.col("_ts_b").alias(bucket_col)] if bucket_col else []))
+
+
+def _same(columns: list[str], suffix: str) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(k + suffix)) for k in columns]
 
 
 def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str],
@@ -140,7 +104,7 @@ def number_rows_nested(df: DataFrame, outer: list[str], order: list[Column | str
 
 def dense_rank_values(df: DataFrame, cols: list[str], name: str = "dr") -> DataFrame:
     """Add ``name`` = dense rank (1-based) of the value tuple ``cols`` over the
-    whole table, ascending; the first column must be numeric. Distinct values
+    whole table, ascending. Distinct values
     are numbered by ``number_rows`` and joined back (broadcast when their
     counted number allows; a hot value is then no problem)."""
     distinct = df.select(*cols).distinct()

@@ -79,14 +79,19 @@ REJECT_EMPTY_ROW = "empty row"
 def validate(df: DataFrame) -> DataFrame:
     """Add ``reject_reason`` (null for good rows).
 
-    A row whose fields are all null is empty; a null topic means the topic
-    column is missing (short row); an empty or blank topic is rejected."""
-    all_null = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in ("question", "answer", "topic")])
+    CSV records carry their number of fields (``_fields``): a blank record is
+    empty, one of fewer than three fields lacks the topic column, and a blank
+    topic is rejected. Rows of a table have no records: one whose fields are
+    all null is empty, a null topic means the column is missing."""
+    blank = F.btrim(F.coalesce("topic", F.lit("")), F.lit(" \t\n\x0b\x0c\r")) == ""
+    if "_fields" in df.columns:
+        empty, missing = F.col("_fields") == 0, F.col("_fields") < 3
+    else:
+        empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in ("question", "answer", "topic")])
+        missing = F.col("topic").isNull()
     return df.withColumn(
         "reject_reason",
-        F.when(all_null, F.lit(REJECT_EMPTY_ROW))
-         .when(F.col("topic").isNull(), F.lit(REJECT_NO_TOPIC))
-         .when(F.trim(F.col("topic")) == "", F.lit(REJECT_EMPTY_TOPIC)))
+        F.when(empty, F.lit(REJECT_EMPTY_ROW)).when(missing, F.lit(REJECT_NO_TOPIC)).when(blank, F.lit(REJECT_EMPTY_TOPIC)))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -75,25 +75,9 @@ def ingest(inp: DataFrame, path: str, as_of: str, order: list[str]) -> LoadResul
     return res
 
 
-def with_input_order(df: DataFrame) -> DataFrame:
-    """Add the input order of CSV rows: (``_file_rank``, ``_pos``) = rank of
-    the file name, then the row's position in reading order. Splits of one
-    file are read in offset order, so positions follow the file. File ranks
-    are running counts over the file list (one row per file), computed per
-    range partition."""
-    from topicspark.operators.numbering import running_offsets
-    files = running_offsets(df.select("_file").distinct().withColumn("_one", F.lit(1)),
-                            [F.col("_file").asc()], "_one", "_before").select(
-        "_file", (F.col("_before") + 1).alias("_file_rank"))
-    from topicspark.operators.sizing import bounded_broadcast
-    return (df.withColumn("_pos", F.monotonically_increasing_id())
-              .join(bounded_broadcast(files), "_file"))
-
-
 def ingest_csv(spark, csv_path: str, table: str, as_of: str) -> LoadResult:
     """The original's load: headerless (question, answer, topic) CSV files,
     every row routed to its topic's partition with ids continuing the
-    topic's max id in file order; bad rows are returned as rejects."""
-    from topicspark.sources import csv_io
-    inp = csv_io.read_input_csv(spark, csv_path, with_file=True)
-    return ingest(with_input_order(inp), table, as_of, ["_file_rank", "_pos"])
+    topic's max id in file order; bad records are returned as rejects."""
+    from topicspark.sources import csv_io, csv_records
+    return ingest(csv_io.read_input_csv(spark, csv_path, with_place=True), table, as_of, csv_records.PLACE)

@@ -19,14 +19,14 @@ def _write(cleaned: DataFrame, csv_path: str, topics_path: str) -> None:
 
 
 def preprocess_qna(spark: SparkSession, source: str, csv_path: str, topics_path: str,
-                   multi_line: bool = True) -> None:
+                   multi_line: bool = False) -> None:
     """Columns Question, Answer and Category of ``source``."""
     raw = csv_io.read_headed_csv(spark, source, ["Question", "Answer", "Category"], multi_line)
     _write(clean_qna(raw), csv_path, topics_path)
 
 
 def preprocess_paragraphs(spark: SparkSession, source: str, csv_path: str, topics_path: str,
-                          multi_line: bool = True) -> None:
+                          multi_line: bool = False) -> None:
     """Columns paragraph and topic of ``source``; the question is empty."""
     raw = csv_io.read_headed_csv(spark, source, ["paragraph", "topic"], multi_line)
     _write(clean_paragraphs(raw), csv_path, topics_path)

@@ -211,10 +211,23 @@ def p8_classify(spark: SparkSession, sf: str) -> DataFrame:
     return P.classify(_input(spark, sf).select("question", "answer", "topic"))
 
 
-@register("P9", O.sql("SELECT doc_id, reject_reason FROM wiki_validated", "wiki_validated"))
+@register("P9", O.sql("""
+  SELECT CASE WHEN topic IS NULL AND doc_id % 3 = 2 THEN NULL ELSE doc_id END AS doc_id,
+         CASE WHEN topic IS NOT NULL THEN NULL WHEN doc_id % 3 = 0 THEN 'missing topic column'
+              WHEN doc_id % 3 = 1 THEN 'empty topic' ELSE 'empty row' END AS reject_reason
+  FROM raw_wiki""", "raw_wiki"))
 def p9_validate(spark: SparkSession, sf: str) -> DataFrame:
-    """Row validation of paragraph input (unlabelled rows lack a topic)."""
-    return P.validate(_wiki_input(spark, sf)).select("doc_id", "reject_reason")
+    """Validation of the paragraphs as raw CSV records: unlabelled ones are
+    written as short rows, with a blank topic, or as blank lines."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+    two = F.concat(quoted("doc_id"), F.lit(","), quoted("paragraph"))
+    line = (F.when(F.col("topic").isNotNull(), F.concat(two, F.lit(","), quoted("topic")))
+             .when(F.col("doc_id") % 3 == 0, two).when(F.col("doc_id") % 3 == 1, F.concat(two, F.lit(',"  \t"')))
+             .otherwise(F.lit(" ")))
+    path = scratch_path(spark, "p9")
+    fx.raw_wiki(spark, sf).select(line.alias("value")).write.text(path)
+    rows = P.validate(csv_io.read_input_csv(spark, path, with_place=True))
+    return rows.select(F.col("question").try_cast("long").alias("doc_id"), "reject_reason")
 
 
 @register("P10", O.sql("SELECT topic, id, '{kw1,kw2,kw3,kw4,kw5}' AS keywords FROM articles",

@@ -6,28 +6,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicspark.schemas import INPUT
+from topicspark.sources import csv_records
 
 
-def read_input_csv(spark: SparkSession, path: str, multi_line: bool = True,
-                   with_file: bool = False) -> DataFrame:
+def read_input_csv(spark: SparkSession, path: str, multi_line: bool = False,
+                   with_place: bool = False) -> DataFrame:
     """Headerless (question, answer, topic) CSV, RFC 4180 quoting.
 
-    Empty question / answer fields read as '' (the reader gives null);
-    topic stays null so that validation rejects it. ``with_file`` adds the
-    file name as ``_file``."""
-    df = (spark.read.schema(INPUT)
-          .option("header", False).option("quote", '"').option("escape", '"')
-          .option("multiLine", multi_line).csv(path))
-    extra = [F.col("_metadata.file_name").alias("_file")] if with_file else []
-    return df.select(F.coalesce("question", F.lit("")).alias("question"),
-                     F.coalesce("answer", F.lit("")).alias("answer"), "topic", *extra)
+    Files are read in byte ranges, with quoted newlines (``csv_records``);
+    ``multi_line`` takes Spark's own reader instead, one task per file. Empty
+    question / answer fields read as '' (the reader gives null); topic stays
+    null so that validation rejects it. ``with_place`` adds each record's
+    place in file order (``csv_records.PLACE``) and its number of fields
+    (``_fields``), and keeps blank records, for validation."""
+    if multi_line:
+        df = (spark.read.schema(INPUT).option("header", False).option("quote", '"').option("escape", '"')
+                   .option("multiLine", True).csv(path))
+        return df.select(*_input_fields())
+    df = parse_input(csv_records.read_records(spark, path))
+    return df if with_place else df.filter("_fields > 0").select("question", "answer", "topic")
+
+
+def _input_fields() -> list:
+    return [F.coalesce("question", F.lit("")).alias("question"), F.coalesce("answer", F.lit("")).alias("answer"), F.col("topic")]
+
+
+def parse_input(records: DataFrame) -> DataFrame:
+    """(question, answer, topic, place, ``_fields``) of CSV records."""
+    names = [f.name for f in INPUT.fields]
+    return (records.withColumn("_fields", csv_records.field_count(F.col("record")))
+                   .withColumn("_row", csv_records.fields(F.col("record"), names))
+                   .select("_row.*", "_fields", *csv_records.PLACE)
+                   .select(*_input_fields(), "_fields", *csv_records.PLACE))
 
 
 def read_headed_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                    multi_line: bool = True) -> DataFrame:
-    """CSV with header, every column a string; ``columns`` projects."""
+                    multi_line: bool = False) -> DataFrame:
+    """CSV with header, every column a string; ``columns`` projects.
+    Read in byte ranges as ``read_input_csv``; every file has the header of
+    the first as its first record."""
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
+    if not multi_line:
+        names = df.columns
+        df = (csv_records.read_records(spark, path).filter("_block > 0 OR _line > 1")
+              .filter(csv_records.field_count(F.col("record")) > 0)
+              .select(csv_records.fields(F.col("record"), names).alias("_row")).select("_row.*"))
     return df.select(*columns) if columns else df
 
 
