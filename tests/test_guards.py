@@ -28,8 +28,8 @@ def test_queries_in_any_form_run(spark, text):
 
 
 def test_unreadable_table_raises(spark, tmp_path):
-    bad = tmp_path / "max_maxids"
-    bad.mkdir()
+    bad = tmp_path / "max_ids" / "v-0000000001"
+    bad.mkdir(parents=True)
     (bad / "part-0.parquet").write_bytes(b"not parquet at all")
     assert store.read_max_ids(spark, str(tmp_path / "absent")) is None
     with pytest.raises(Exception):
@@ -44,9 +44,12 @@ def test_stream_keeps_rejects_and_earlier_data(spark, tmp_path):
     stream.run_ingest_stream(spark, folder, table, ckpt, AS_OF)
     assert stream.read_ingested(spark, table).count() == 2
     assert spark.read.parquet(stream.rejects_path(table)).select("question").collect()[0][0] == "q2"
+    os.rename(ckpt, ckpt + "-away")
     with pytest.raises(ValueError):
-        stream.run_ingest_stream(spark, folder, table, ckpt + "-new", AS_OF)
+        stream.run_ingest_stream(spark, folder, table, ckpt, AS_OF)
     assert stream.read_ingested(spark, table).count() == 2
+    stream.run_ingest_stream(spark, folder, table, ckpt + "-new", AS_OF)  # another stream adds its own rows
+    assert sorted((r.topic, r.id) for r in stream.read_ingested(spark, table).collect()) == [("t", i) for i in (1, 2, 3, 4)]
 
 
 def test_overwrite_replaces_every_topic(spark, tmp_path):

@@ -9,7 +9,7 @@ from topicspark.operators.chunks import assign_chunks, build_chunk_index
 from topicspark.operators.summarize import summarize
 from topicspark.plans.ingest import prepare_load
 from topicspark.plans.q_ingest import _input
-from topicspark.sources import csv_io, store
+from topicspark.sources import csv_io, csv_records, store
 from topicspark.sources import fixtures as fx
 from topicspark.streaming import ingest as stream
 
@@ -80,13 +80,9 @@ def test_stream_equals_batch_and_replay(spark):
     assert last >= 1
     with open(os.path.join(ckpt, "sources", "0", str(last))) as fh:
         paths = [json.loads(l)["path"] for l in fh if l.startswith("{")]
-    batch = (spark.read.schema("question string, answer string, topic string")
-             .options(header=False, quote='"', escape='"', multiLine=True).csv(paths)
-             .select(F.coalesce("question", F.lit("")).alias("question"),
-                     F.coalesce("answer", F.lit("")).alias("answer"), "topic",
-                     F.col("_metadata.file_name").alias("_file")))
+    batch = csv_records.lines_of(spark.read, paths)
     before = sorted(tuple(r) for r in stream.read_ingested(spark, table).select("topic", "id", "question").collect())
-    stream._batch_writer(table, fx.AS_OF)(batch, last)
+    stream._batch_writer(table, fx.AS_OF, stream.stream_name(ckpt))(batch, last)
     after = sorted(tuple(r) for r in stream.read_ingested(spark, table).select("topic", "id", "question").collect())
     assert before == after
 

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicspark.operators.prepare import to_node_rows, validate
-from topicspark.sources import store
+from topicspark.operators.sizing import bounded_broadcast
+from topicspark.session import checkpoint_dir
+from topicspark.sources import csv_io, csv_records, store
 
 
 @dataclass
@@ -50,34 +52,26 @@ def load_report(validated: DataFrame) -> DataFrame:
             .orderBy(F.col("topic").asc_nulls_first()))
 
 
-def ingest(inp: DataFrame, path: str, as_of: str, order: list[str]) -> LoadResult:
+def ingest(inp: DataFrame, path: str, as_of: str, order: list[str], load: str | None = None) -> LoadResult:
     """Load ``inp`` into the article table at ``path`` (append).
 
-    The id base comes from the table's max-id table (one row per topic), so
-    a load costs its own rows plus one row per topic; only when that table
-    does not exist yet are the max ids read from the article table. The new
-    max ids are reserved before the rows are appended."""
+    The id base comes from the table's id log (one row per topic), so a load
+    costs its own rows plus one row per topic; only when there is no log yet
+    are the max ids read from the article table. Ids are reserved before the
+    rows are appended. With a ``load`` name a failed load can be repeated: it
+    gets the same ids and replaces what it had written."""
     spark = inp.sparkSession
-    from topicspark.session import checkpoint_dir
     checkpoint_dir(spark)
-    base = store.read_max_ids(spark, path)
-    if base is None:
-        base = store.max_ids(store.read_articles(spark, path))
-    # Materialised (and size-checked) before the max-id table is rewritten.
-    from topicspark.operators.sizing import bounded_broadcast
-    base = bounded_broadcast(base)
-    v = validate(inp)
-    counts = (v.filter(F.col("reject_reason").isNull())
-               .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
+    counts = (validate(inp).filter(F.col("reject_reason").isNull())
+              .groupBy("topic").agg(F.count(F.lit(1)).alias("n")))
+    base = bounded_broadcast(store.reserve_ids(spark, path, counts, load))
     res = prepare_load(inp, None, as_of, order, base=base, base_checked=True)
-    store.reserve_ids(spark, path, base, counts)
-    store.append_articles(res.rows, path)
+    store.append_articles(res.rows, path, load=load)
     return res
 
 
-def ingest_csv(spark, csv_path: str, table: str, as_of: str) -> LoadResult:
+def ingest_csv(spark, csv_path: str, table: str, as_of: str, load: str | None = None) -> LoadResult:
     """The original's load: headerless (question, answer, topic) CSV files,
     every row routed to its topic's partition with ids continuing the
     topic's max id in file order; bad records are returned as rejects."""
-    from topicspark.sources import csv_io, csv_records
-    return ingest(csv_io.read_input_csv(spark, csv_path, with_place=True), table, as_of, csv_records.PLACE)
+    return ingest(csv_io.read_input_csv(spark, csv_path, with_place=True), table, as_of, csv_records.PLACE, load)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topicspark import oracle as O
 from topicspark.operators import prepare as P
 from topicspark.operators.audit import append_batches
-from topicspark.plans.ingest import load_report, prepare_load
+from topicspark.plans.ingest import ingest, load_report
 from topicspark.plans.preprocess import preprocess_qna
 from topicspark.plans.sql import generated_table, topic_sql
 from topicspark.registry import register
@@ -115,17 +115,20 @@ def s7_export_topics(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("topic").cast("string").alias("topic"))
 
 
-_S8_SQL = O.sql("""
-  SELECT topic, id, question, answer, '{kw1,kw2,kw3,kw4,kw5}' AS keywords,
-         '2024-01-01 00:00:00' AS updatedAt FROM ingested""", "ingested")
+#: Two loads: the conversations of even numbers, then the others.
+_LOADED = """(SELECT topic, question, answer, conv_id, turn,
+         row_number() OVER (PARTITION BY topic ORDER BY conv_id % 2, conv_id, turn) AS id FROM ingested)"""
+_S8_SQL = O.sql(f"""
+  SELECT topic, id, question, answer, '{{kw1,kw2,kw3,kw4,kw5}}' AS keywords,
+         '2024-01-01 00:00:00' AS updatedAt FROM {_LOADED}""", "ingested")
 
 
 @register("S8", _S8_SQL)
 def s8_routed_append(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned input loaded (P9, P12, W2) and appended to the topic-partitioned table."""
+    """Cleaned input loaded in two loads (P9, P12, W2, id log) and appended to the topic-partitioned table."""
     path = scratch_path(spark, "s8")
-    res = prepare_load(_input(spark, sf), None, fx.AS_OF, ["conv_id", "turn"])
-    store.append_articles(res.rows, path)
+    for part in (0, 1):
+        ingest(_input(spark, sf).filter(f"conv_id % 2 = {part}"), path, fx.AS_OF, ["conv_id", "turn"])
     back = store.read_articles(spark, path)
     return back.select("topic", "id", "question", "answer",
                        F.concat(F.lit("{"), F.array_join("keywords", ","), F.lit("}")).alias("keywords"),
@@ -276,11 +279,12 @@ def p14_row_index(spark: SparkSession, sf: str) -> DataFrame:
     return P.with_row_index(_input(spark, sf).select("conv_id", "turn"), ["conv_id", "turn"])
 
 
-@register("W2", O.sql("SELECT topic, id, conv_id, turn FROM ingested", "ingested"))
+@register("W2", O.sql(f"SELECT topic, id, conv_id, turn FROM {_LOADED}", "ingested"))
 def w2_allocate_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-topic ids from max(id)+1 (empty table: 1) in input order."""
-    return store.allocate_ids(_input(spark, sf), None, ["conv_id", "turn"]).select(
-        "topic", "id", "conv_id", "turn")
+    """Per-topic ids from max(id)+1 in input order: 1 upward for the first load, and on from there for the second."""
+    first = store.allocate_ids(_input(spark, sf).filter("conv_id % 2 = 0"), None, ["conv_id", "turn"])
+    second = store.allocate_ids(_input(spark, sf).filter("conv_id % 2 = 1"), first, ["conv_id", "turn"])
+    return first.unionByName(second).select("topic", "id", "conv_id", "turn")
 
 
 @register("A12", O.sql("""
@@ -303,15 +307,28 @@ def x3_append(spark: SparkSession, sf: str) -> DataFrame:
     return append_batches(a, b)
 
 
-@register("ST1", O.sql("SELECT topic, coalesce(question, '') AS question, coalesce(answer, '') AS answer "
+@register("ST1", O.sql("SELECT topic, coalesce(question, '') AS question, coalesce(answer, '') AS answer, "
+                       "true AS dense FROM input UNION ALL SELECT 'missing topic column', coalesce(question, ''), NULL, true "
                        "FROM input", "input"))
 def st1_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned input written as several CSV files and ingested by micro-batches."""
+    """Cleaned input loaded by two ways into one table: the even conversations
+    as a batch, the others as CSV files through micro-batches, with a short
+    record for every row. Rows with whether their topic's ids are 1 to its
+    count, and the rejects with their reason as the topic."""
     base = scratch_path(spark, "st1")
     folder, table, ckpt = stream.stream_paths(base)
-    csv_io.write_input_csv(_input(spark, sf).repartition(4, "topic"), folder)
-    stream.run_ingest_stream(spark, folder, table, ckpt, fx.AS_OF, files_per_batch=2)
-    return stream.read_ingested(spark, table).select(F.col("topic").cast("string"), "question", "answer")
+    rows = _input(spark, sf)
+    ingest(rows.filter("conv_id % 2 = 0"), table, fx.AS_OF, ["conv_id", "turn"])
+    csv_io.write_input_csv(rows.filter("conv_id % 2 = 1").repartition(4, "topic"), folder)
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("question", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    rows.select(quoted.alias("value")).write.mode("append").text(folder)
+    stream.run_ingest_stream(spark, folder, table, ckpt, fx.AS_OF, files_per_batch=4)
+    got = stream.read_ingested(spark, table)
+    dense = got.groupBy("topic").agg(((F.countDistinct("id") == F.count(F.lit(1))) & (F.min("id") == 1)
+                                      & (F.max("id") == F.count(F.lit(1)))).alias("dense"))
+    rejects = spark.read.parquet(stream.rejects_path(table)).select(
+        F.col("reject_reason").alias("topic"), "question", F.lit(None).cast("string").alias("answer"), F.lit(True).alias("dense"))
+    return got.join(dense, "topic").select("topic", "question", "answer", "dense").unionByName(rejects)
 
 
 @register("Q1", O.sql("""

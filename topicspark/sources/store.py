@@ -7,6 +7,8 @@ database per topic: a topic scan is a partition-pruned read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +16,14 @@ from pyspark.sql import functions as F
 from topicspark.operators.numbering import number_rows
 from topicspark.operators.sizing import bounded_broadcast
 from topicspark.schemas import ARTICLE, CHUNK_INDEX
-
-
-def is_absent(error: AnalysisException) -> bool:
-    """Whether a read failed because nothing was written there yet; any other
-    failure (storage, permissions) must reach the caller."""
-    return error.getCondition() == "PATH_NOT_FOUND"
+from topicspark.sources import id_log
+from topicspark.sources.id_log import is_absent
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """All topic tables (empty frame of the article schema when absent)."""
     try:
-        return spark.read.schema(ARTICLE).parquet(path)
+        return spark.read.schema(ARTICLE).parquet(path).select(*ARTICLE.fieldNames())
     except AnalysisException as e:
         if not is_absent(e):
             raise
@@ -81,12 +79,16 @@ def cluster_for_write(df: DataFrame, keys: list[str], block: int = WRITE_BLOCK)
               .sortWithinPartitions(*keys))
 
 
-def append_articles(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Routed append: each row lands in its topic's partition. With
-    ``mode="overwrite"`` the whole table is replaced, whatever the session's
-    partition overwrite mode."""
-    (cluster_for_write(df.select(*[f.name for f in ARTICLE.fields]), ["topic", "id"])
-       .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("topic").parquet(path))
+def append_articles(df: DataFrame, path: str, mode: str = "append", load: str | None = None) -> None:
+    """Routed append: each row lands in its topic's partition, below it in
+    that of its load. A load that comes again under its name replaces its own
+    rows. With ``mode="overwrite"`` the whole table is replaced, whatever the
+    session's partition overwrite mode."""
+    rows = (cluster_for_write(df.select(*ARTICLE.fieldNames()), ["topic", "id"])
+            .withColumn("load", F.lit(load or f"rows-{uuid.uuid4().hex}")))
+    whole = mode == "overwrite" or load is None
+    (rows.write.mode(mode if whole else "overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
+         .partitionBy("topic", "load").parquet(path))
 
 
 def write_chunk_index(df: DataFrame, path: str) -> None:
@@ -103,28 +105,14 @@ def read_chunk_index(spark: SparkSession, path: str) -> DataFrame:
         "chunkStart", "chunkEnd", "topic", "summary", "updatedAt", "id")
 
 
-def max_ids_path(table: str) -> str:
-    return table.rstrip("/") + "_maxids"
-
-
 def read_max_ids(spark: SparkSession, table: str) -> DataFrame | None:
     """The reserved max id per topic of ``table`` (one row per topic), or
-    None when no load has written it yet."""
-    try:
-        return spark.read.parquet(max_ids_path(table)).select(
-            F.col("topic").cast("string"), F.col("max_id").cast("long"))
-    except AnalysisException as e:
-        if not is_absent(e):
-            raise
-        return None
-
-
-def reserve_ids(spark: SparkSession, table: str, base: DataFrame, counts: DataFrame) -> None:
-    """Write max id per topic = base + rows about to be loaded, before the
-    rows are written: a failure between the two leaves an id gap, never a
-    reused id. ``base`` must not be a lazy read of the same table."""
-    new = (base.select("topic", F.col("max_id").alias("_b"))
-               .join(counts.select("topic", F.col("n").alias("_n")), "topic", "full_outer")
-               .select("topic", (F.coalesce("_b", F.lit(0)) + F.coalesce("_n", F.lit(0)))
-                       .cast("long").alias("max_id")))
-    new.coalesce(1).write.mode("overwrite").parquet(max_ids_path(table))
+    None when no load has reserved ids yet."""
+    return id_log.reserved(spark, table)
+
+
+def reserve_ids(spark: SparkSession, table: str, counts: DataFrame, name: str | None = None, number: int = 0) -> DataFrame:
+    """Reserve ids for ``counts`` (topic, n) rows of a load in the table's id
+    log (see ``id_log``); (topic, max_id) as before them. The first load reads
+    the max ids of the rows that are there."""
+    return id_log.reserve(spark, table, counts, lambda: max_ids(read_articles(spark, table)), name, number)

@@ -2,103 +2,63 @@
 
 ``readStream`` over a folder of headerless input CSV files, a bounded
 number of files per micro-batch, ``foreachBatch`` running the batch ingest
-plan, progress kept in a checkpoint. A replayed batch id rewrites only its
-own ``batch_id`` partitions (dynamic partition overwrite), so the sink is
-idempotent; the id base of a batch is the running max-id table of the
-batch before it (one row per topic), so a replayed batch gets the same ids
-again and no batch scans the whole table.
+plan, progress kept in a checkpoint. A batch is a load like any other: it
+takes its ids from the table's one id log, under the stream's name and the
+batch number, and writes the partitions of that load. A replayed batch finds
+its own reservation, so it gets the same ids and replaces its own rows; no
+batch scans the table, and batch loads and other streams may write to the
+table before, between and after.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicspark.operators.prepare import to_node_rows, validate
-from topicspark.schemas import INPUT
-from topicspark.sources import store
+from topicspark.operators.sizing import bounded_broadcast
+from topicspark.sources import csv_io, csv_records, id_log, store
 
 
 def input_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(INPUT)
-            .option("header", False).option("quote", '"').option("escape", '"')
-            .option("multiLine", True)
-            .option("maxFilesPerTrigger", files_per_batch)
-            .csv(folder)
-            .select(F.coalesce("question", F.lit("")).alias("question"),
-                    F.coalesce("answer", F.lit("")).alias("answer"), "topic",
-                    F.col("_metadata.file_name").alias("_file")))
-
-
-def _maxids_path(table: str) -> str:
-    return table.rstrip("/") + "_maxids"
+    """The lines of the folder's files; a file may be cut into byte ranges."""
+    return csv_records.lines_of(spark.readStream.option("maxFilesPerTrigger", files_per_batch), folder)
 
 
 def rejects_path(table: str) -> str:
-    """Rejected rows of every batch, with their reason, by ``batch_id``."""
+    """Rejected records of every batch, with their reason, by ``load``."""
     return table.rstrip("/") + "_rejects"
 
 
+def stream_name(checkpoint: str) -> str:
+    """The name under which the stream of a checkpoint reserves ids."""
+    return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _batch_writer(table: str, as_of: str):
-    """foreachBatch body. Every batch first writes the running max id per
-    topic (base + its good rows) to ``<table>_maxids/batch_id=<b>`` (one row
-    per topic), then its rows. Batch b takes its id base from batch b - 1
-    only, so a batch costs O(its rows + topics), not a scan of the table,
-    and a replayed batch writes the same max ids and the same rows."""
-    maxids = _maxids_path(table)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        base = None
-        if batch_id > 0:
-            try:
-                base = (spark.read.parquet(maxids).filter(F.col("batch_id") == F.lit(batch_id - 1))
-                             .select(F.col("topic").cast("string"), "max_id"))
-            except AnalysisException as e:
-                if not store.is_absent(e):
-                    raise
-        v = validate(batch)
+def _batch_writer(table: str, as_of: str, name: str):
+    """foreachBatch body: rejects, reservation, rows, all under the batch's
+    load, so that each of them is the same when the batch comes again."""
+    def write(lines: DataFrame, batch_id: int) -> None:
+        spark = lines.sparkSession
+        load = f"{name}-{batch_id}"
+        v = validate(csv_io.parse_input(csv_records.records(lines)))
         (v.filter(F.col("reject_reason").isNotNull()).select("question", "answer", "topic", "reject_reason")
-          .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_path(table)))
+          .withColumn("load", F.lit(load)).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(rejects_path(table)))
         good = v.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-        # Input order inside a batch: file name, then position in the file
-        # (a file is read by one task, so the position is its row order).
-        # Files per batch are bounded by maxFilesPerTrigger: their ranks
-        # form a small table.
-        files = good.select("_file").distinct().withColumn(
-            "_file_rank", F.row_number().over(Window.orderBy("_file")).cast("long"))
-        ordered = (good.withColumn("_pos", F.monotonically_increasing_id())
-                       .join(F.broadcast(files), "_file"))
-        nodes = to_node_rows(ordered, as_of)
-        if base is None:
-            base = spark.createDataFrame([], "topic string, max_id long")
-        from topicspark.operators.sizing import bounded_broadcast
-        base = bounded_broadcast(base)  # fixed and size-checked once per batch
-        # Reserve first: running max = base + good rows per topic, written
-        # under this batch id before the rows (a replay writes the same).
-        counts = good.groupBy("topic").agg(F.count(F.lit(1)).alias("_n"))
-        running = (base.join(counts, "topic", "full_outer")
-                       .select("topic", (F.coalesce("max_id", F.lit(0)) + F.coalesce("_n", F.lit(0)))
-                               .cast("long").alias("max_id")))
-        (running.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id").parquet(maxids))
-        rows = store.allocate_ids(nodes, None, ["_file_rank", "_pos"], base=base, base_checked=True)
-        (rows.select("topic", "id", "question", "answer", "keywords", "updatedAt")
-             .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .transform(lambda d: store.cluster_for_write(d, ["topic", "id"])).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id", "topic").parquet(table))
+        counts = good.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+        base = bounded_broadcast(store.reserve_ids(spark, table, counts, name, batch_id))
+        rows = store.allocate_ids(to_node_rows(good, as_of), None, csv_records.PLACE, base=base, base_checked=True)
+        store.append_articles(rows, table, load=load)
     return write
 
 
@@ -106,20 +66,21 @@ def run_ingest_stream(spark: SparkSession, folder: str, table: str, checkpoint:
                       as_of: str, files_per_batch: int = 1) -> None:
     """Ingest every file now in ``folder`` (availableNow) and stop.
 
-    Batch ids start again with a new checkpoint, and a batch replaces its own
-    partitions: a new checkpoint over a table that is already there would
-    overwrite it, or reuse its ids, and is refused."""
-    if not _exists(spark, checkpoint) and (_exists(spark, table) or _exists(spark, _maxids_path(table))):
-        raise ValueError(f"{table} was written by another stream or a batch load; go on with its checkpoint or take a new table")
+    Batch numbers start again with a new checkpoint. Where the table knows
+    loads of this checkpoint's name but the checkpoint is gone, a new one in
+    its place would take their ids and replace their rows, and is refused."""
+    name = stream_name(checkpoint)
+    if not _exists(spark, checkpoint) and name in id_log.named_loads(spark, table):
+        raise ValueError(f"the checkpoint of a stream into {table} is gone: take a new folder for the next one")
     q = (input_stream(spark, folder, files_per_batch).writeStream
-         .foreachBatch(_batch_writer(table, as_of))
+         .foreachBatch(_batch_writer(table, as_of, name))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table)
+    return store.read_articles(spark, table)
 
 
 def stream_paths(base: str) -> tuple[str, str, str]:
