@@ -38,6 +38,7 @@ def test_search_without_pushdown_broadcast_or_lookup(spark, monkeypatch):
     small = run()
     assert len(small) >= 3
     monkeypatch.setattr(search, "MAX_LITERALS", 0)
+    monkeypatch.setattr(search, "MAX_FEW", 0)
     assert run() == small
     monkeypatch.setattr(search, "MAX_PUSHDOWN_TERMS", 0)
     monkeypatch.setattr(search, "MAX_BROADCAST_TERMS", 0)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicspark.operators.numbering import dense_rank_values, number_rows, number_rows_nested, running_offsets
+from topicspark.session import checkpoint_dir
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -92,15 +93,25 @@ def chunk_gaps(ci: DataFrame) -> DataFrame:
     """(topic, chunk_end, next_start) where a topic's next chunk (in
     chunkStart order) does not start right after the previous one ends.
 
-    Chunks are numbered per topic skew-safely and each is paired with its
-    successor by an equi-join on (topic, position): a topic with very many
-    chunks is not one task."""
-    n = number_rows(ci.select("topic", "chunkStart", "chunkEnd"), ["topic"],
-                    ["chunkStart", "chunkEnd"], "_p")
-    nxt = n.select("topic", (F.col("_p") - 1).alias("_p"), F.col("chunkStart").alias("next_start"))
-    return (n.join(nxt, ["topic", "_p"])
-             .filter(F.col("next_start") != F.col("chunkEnd") + 1)
-             .select("topic", F.col("chunkEnd").alias("chunk_end"), "next_start"))
+    Chunks are ranged by (topic, chunkStart, chunkEnd) over borders sampled
+    from all of them, so a topic with very many chunks is many tasks. Within a
+    range the next chunk is a ``lead``; the last chunk of a range takes its
+    successor from a table of the ranges' first chunks (one row per range)."""
+    spark = ci.sparkSession
+    checkpoint_dir(spark)
+    key = ["topic", "chunkStart", "chunkEnd"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (ci.select(*key).repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in key]).checkpoint(eager=True)
+                .withColumn("_range", F.spark_partition_id()))
+    after = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_first() for c in key])
+    here = F.struct(F.col("topic").alias("topic"), F.col("chunkStart").alias("start"))
+    # Ranges without rows have no first chunk, so the next one that has is the successor.
+    firsts = ranged.groupBy("_range").agg(F.min_by(here, F.struct(*key)).alias("_first"))
+    borders = firsts.select("_range", F.lead("_first").over(Window.orderBy("_range")).alias("_border"))
+    found = (ranged.withColumn("_next", F.lead(here).over(after)).join(F.broadcast(borders), "_range")  # a row per range
+             .withColumn("_next", F.coalesce("_next", "_border")))
+    return (found.filter(F.col("_next.topic").eqNullSafe(F.col("topic")) & (F.col("_next.start") != F.col("chunkEnd") + 1))
+                 .select("topic", F.col("chunkEnd").alias("chunk_end"), F.col("_next.start").alias("next_start")))
 
 
 def topics_by_ranges(ci: DataFrame) -> DataFrame:

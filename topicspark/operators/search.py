@@ -132,35 +132,34 @@ MAX_BROADCAST_KEYS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fetch_articles(hits: DataFrame, articles: DataFrame, bound: int | None = None,
-                   keys: list[tuple[str, int]] | None = None) -> DataFrame:
+def fetch_articles(hits: DataFrame, articles: DataFrame, bound: int | None = None) -> DataFrame:
     """Answer text of every hit by (topic, row id). Hits without an
     article drop out. ``bound`` is an upper bound on the hit count (k x
-    queries); ``keys`` are a few (topic, id) pairs that hold those of all hits.
-
-    Few hits are point lookups: their topics and ids go into the article scan
-    as literal filters (partition pruning on topic, row-group min/max on the
-    id-sorted files). More hits are fixed first, and broadcast with their
-    texts if these have no more than ``MAX_BROADCAST_BYTES`` in all; else a
-    broadcast of their keys cuts the articles down before a shuffle join, and
-    beyond ``MAX_BROADCAST_KEYS`` there is the shuffle join alone."""
+    queries).
+
+    Few hits are point lookups: they pass through the driver, and their
+    topics and ids go into the article scan as literal filters (partition
+    pruning on topic, row-group min/max on the id-sorted files). More hits are
+    fixed first, and broadcast with their texts if these have no more than
+    ``MAX_BROADCAST_BYTES`` in all; else a broadcast of their keys cuts the
+    articles down before a shuffle join, and beyond ``MAX_BROADCAST_KEYS``
+    there is the shuffle join alone."""
     h = hits.withColumn("id", F.col("row_id").cast("long")).drop("row_id")
     arts = articles.select("topic", "id", "answer")
-    if keys is None:
-        if bound is None or bound > MAX_BROADCAST_KEYS:
-            return arts.join(h, ["topic", "id"])
-        checkpoint_dir(h.sparkSession)
-        h = h.checkpoint(eager=True)
-        if bound > MAX_LITERALS:
-            size = h.agg(F.coalesce(F.sum(F.octet_length("row_text") + 100), F.lit(0))).first()[0]
-            if size <= MAX_BROADCAST_BYTES:
-                return arts.join(F.broadcast(h), ["topic", "id"])
-            wanted = h.select("topic", "id").distinct()
-            return arts.join(F.broadcast(wanted), ["topic", "id"], "left_semi").join(h, ["topic", "id"])
-        keys = [(r.topic, r.id) for r in h.select("topic", "id").distinct().collect()]  # at most ``bound`` rows
-    topics = sorted({t for t, _ in keys if t is not None})
-    ids = sorted({i for _, i in keys if i is not None})
-    return arts.filter(F.col("topic").isin(topics) & F.col("id").isin(ids)).join(h, ["topic", "id"])
+    if bound is None or bound > MAX_BROADCAST_KEYS:
+        return arts.join(h, ["topic", "id"])
+    if bound <= MAX_LITERALS:
+        rows = h.collect()  # at most ``bound`` rows
+        topics, ids = ({r[c] for r in rows if r[c] is not None} for c in ("topic", "id"))
+        few = F.broadcast(h.sparkSession.createDataFrame(rows, h.schema))
+        return arts.filter(F.col("topic").isin(sorted(topics)) & F.col("id").isin(sorted(ids))).join(few, ["topic", "id"])
+    checkpoint_dir(h.sparkSession)
+    h = h.checkpoint(eager=True)
+    size = h.agg(F.coalesce(F.sum(F.octet_length("row_text") + 100), F.lit(0))).first()[0]
+    if size <= MAX_BROADCAST_BYTES:
+        return arts.join(F.broadcast(h), ["topic", "id"])
+    wanted = h.select("topic", "id").distinct()
+    return arts.join(F.broadcast(wanted), ["topic", "id"], "left_semi").join(h, ["topic", "id"])
 
 
 def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
@@ -189,6 +188,7 @@ def smart_query(queries: DataFrame, chunk_index: DataFrame, articles: DataFrame,
 
 MAX_PUSHDOWN_TERMS = 100_000
 MAX_CANDIDATES = 1_000_000
+MAX_FEW = 5000
 #: Of the share that commoner terms may have, so much is dropped: the less, the sharper is the candidates' bound.
 DROPPED = 0.75
 BUCKETS_PER_TASK = 4
@@ -269,7 +269,8 @@ def spark_lines(spark, lines_path: str) -> DataFrame:
 class Candidates:
     rows: DataFrame    # (qid, line key..., row_id, and the sums over kept terms): lines that may score above the threshold
     left: DataFrame    # (qid, left): the dropped terms of each query, array<struct<term, q>>
-    keys: list | None  # the candidates themselves where they are at most ``MAX_LITERALS``
+    keys: list | None  # the candidates themselves where they are at most ``MAX_FEW``
+    queries: int | None  # the queries with a term, where they passed through the driver
 
 
 def _split_terms(terms: list, lines_of: dict[str, int], share: float) -> tuple[list[tuple], dict]:
@@ -332,14 +333,17 @@ def index_candidates(queries: DataFrame, terms_path: str, threshold: float = DEF
         buckets = {r.term: r.bucket for r in asked}
         lines_of = {}
         if buckets and stored:
-            asked_for = F.broadcast(spark.createDataFrame([(t,) for t in buckets], "term string"))
-            lines_of = dict(_of_terms(counts, buckets).join(asked_for, "term").select("term", "df").collect())
+            known = _of_terms(counts, buckets).select("term", "df")
+            if len(buckets) > MAX_LITERALS:
+                known = known.join(F.broadcast(spark.createDataFrame([(t,) for t in buckets], "term string")), "term")
+            lines_of = dict(known.collect())
         rows, left = _split_terms(asked, lines_of, share)
         postings = _of_terms(postings, {r[1]: buckets[r[1]] for r in rows if r[1] in lines_of})
         kept = F.broadcast(spark.createDataFrame(rows, f"{kinds}, term string, q long, Q2 long, dropped long"))
         rest = F.broadcast(spark.createDataFrame(list(left.items()), f"{kinds}, left array<struct<term: string, q: bigint>>"))
     else:
         kept, rest = _split_frames(terms, counts, qkey, share)
+    n_queries = len({r[0] for r in asked}) if len(asked) <= MAX_PUSHDOWN_TERMS else None
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
     found = (postings.join(kept, "term").groupBy(qkey, *LINE_KEY)
                      .agg(*[F.first(c).alias(c) for c in ("row_id", "Q2", "D2", "dropped")],
@@ -351,13 +355,14 @@ def index_candidates(queries: DataFrame, terms_path: str, threshold: float = DEF
     bound = ((F.col("dot") + F.sqrt(F.col("dropped") * more))
              / (F.sqrt(sq + c2 * (F.col("Q2") - sq)) * F.sqrt(sd + c2 * (F.col("D2") - sd))))
     found = found.filter(bound > F.lit(threshold - 1e-9)).drop("dropped")
+    if len(asked) <= MAX_LITERALS:
+        few = found.limit(MAX_FEW + 1).collect()
+        if len(few) <= MAX_FEW:
+            return Candidates(F.broadcast(spark.createDataFrame(few, found.schema)), rest, few, n_queries)
     path = scratch_path(spark, "candidates")
     found.write.parquet(path)
     rows = spark.read.schema(found.schema).parquet(path)
-    n = rows.count()
-    if n > MAX_CANDIDATES:
-        return Candidates(rows, rest, None)
-    return Candidates(F.broadcast(rows), rest, rows.collect() if n <= MAX_LITERALS else None)  # keys only
+    return Candidates(F.broadcast(rows) if rows.count() <= MAX_CANDIDATES else rows, rest, None, n_queries)  # keys and sums only
 
 
 def _of_terms(table: DataFrame, buckets: dict[str, int]) -> DataFrame:
@@ -386,13 +391,16 @@ def score_candidates(found: Candidates, lines_path: str, threshold: float = DEFA
     only the dropped terms are looked up in a line."""
     lines = spark_lines(found.rows.sparkSession, lines_path).drop("row_id")
     if found.keys is not None:
-        lines = lines.filter(F.col("topic").isin(sorted({r["topic"] for r in found.keys if r["topic"] is not None}))
-                             & F.col("chunk_start").isin(sorted({r["chunk_start"] for r in found.keys})))
+        for column in ("topic", "chunk_start"):
+            values = sorted({r[column] for r in found.keys if r[column] is not None})
+            lines = lines.filter(F.col(column).isin(values)) if len(values) <= MAX_LITERALS else lines
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
     shared = F.filter(F.transform("left", lambda x: F.struct(
         x["q"].alias("q"), F.try_element_at(F.col("_counts"), x["term"]).alias("cnt"))), lambda x: x["cnt"].isNotNull())
     add = lambda name, value: F.col(name) + _sum(F.col("_shared"), value)
-    # Counted once per line, before a line meets its queries.
+    # A line is counted once, before it meets its queries; of few candidates, only their lines.
+    if found.keys is not None:
+        lines = lines.join(F.broadcast(found.rows.select(*LINE_KEY).distinct()), LINE_KEY, "left_semi")
     sums = (lines.withColumn("_counts", F.map_from_entries(token_counts("row_text")))
                  .join(found.rows, LINE_KEY).join(found.left, qkey).withColumn("_shared", shared)
                  .withColumns({"dot": add("dot", lambda x: x["q"] * x["cnt"]), "sq": add("sq", lambda x: x["q"] * x["q"]),
@@ -409,13 +417,11 @@ def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles:
     """T5 against the stored search index; same output as ``smart_query``.
 
     Besides the job of the result, a search runs a few small ones: the
-    queries' terms, their line counts, and the candidates (and, of more than
-    a few queries, the hits)."""
+    queries' terms, their line counts, the candidates, and the hits."""
     found = index_candidates(queries, terms_path, threshold, qkey, qtext)
     hits = top_hits(score_candidates(found, lines_path, threshold, qkey), k, qkey)
-    keys = None if found.keys is None else [(r["topic"], r["row_id"]) for r in found.keys]
-    bound = None if keys is not None else k * queries.count()
-    return fetch_articles(hits, articles, bound, keys).select(
+    n = queries.count() if found.queries is None else found.queries
+    return fetch_articles(hits, articles, k * n).select(
         qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicspark.operators.sizing import bounded_broadcast
 from topicspark.schemas import INPUT
 from topicspark.sources import csv_records
 
@@ -48,10 +49,16 @@ def read_headed_csv(spark: SparkSession, path: str, columns: list[str] | None =
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
     if not multi_line:
-        names = df.columns
+        text = spark.read.text(path)
+        by_folder = [c for c in text.columns if c != "value"]  # of a partitioned folder
+        names = [c for c in df.columns if c not in by_folder]
         df = (csv_records.read_records(spark, path).filter("_block > 0 OR _line > 1")
               .filter(csv_records.field_count(F.col("record")) > 0)
-              .select(csv_records.fields(F.col("record"), names).alias("_row")).select("_row.*"))
+              .select("_file", csv_records.fields(F.col("record"), names).alias("_row")))
+        if by_folder:
+            files = text.select(F.col("_metadata.file_path").alias("_file"), *by_folder).distinct()
+            df = df.join(bounded_broadcast(files), "_file")
+        df = df.select("_row.*", *by_folder)
     return df.select(*columns) if columns else df
 
 

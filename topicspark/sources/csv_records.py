@@ -23,8 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicspark.operators.sizing import bounded_broadcast
-
 PLACE = ["_file", "_block", "_line"]
 
 
@@ -55,7 +53,8 @@ def records(lines: DataFrame) -> DataFrame:
                   F.col("_block").alias("b"), F.col("_mine").alias("l"))), ignorenulls=True).over(earlier))
               .select("_file", "_block", "_start", "_open"))
     begins = (F.col("_start") + F.col("_before")) % 2 == 0
-    placed = (marked.join(bounded_broadcast(splits), ["_file", "_block"]).withColumn("_begins", begins)
+    # Lines and ranges are dealt by the same keys: the lines stay where the window has put them.
+    placed = (marked.join(splits, ["_file", "_block"]).withColumn("_begins", begins)
               .withColumn("_at", F.max(F.when(F.col("_begins"), F.col("_line"))).over(of_split)))
     single = F.col("_begins") & (F.col("_odd") == 0)
     first = F.when(F.col("_at").isNotNull(), F.struct(F.col("_block").alias("b"), F.col("_at").alias("l"))).otherwise(F.col("_open"))

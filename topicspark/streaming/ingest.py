@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from topicspark.operators.prepare import to_node_rows, validate
 from topicspark.operators.sizing import bounded_broadcast
+from topicspark.session import checkpoint_dir
 from topicspark.sources import csv_io, csv_records, id_log, store
 
 
@@ -50,7 +51,8 @@ def _batch_writer(table: str, as_of: str, name: str):
     def write(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         load = f"{name}-{batch_id}"
-        v = validate(csv_io.parse_input(csv_records.records(lines)))
+        checkpoint_dir(spark)
+        v = validate(csv_io.parse_input(csv_records.records(lines))).checkpoint()  # read several times below
         (v.filter(F.col("reject_reason").isNotNull()).select("question", "answer", "topic", "reject_reason")
           .withColumn("load", F.lit(load)).write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(rejects_path(table)))
