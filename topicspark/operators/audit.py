@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicspark.functions.text import strip_ws
 from topicspark.operators.numbering import dense_rank_values, number_rows, number_rows_nested, running_offsets
 from topicspark.session import checkpoint_dir
 
@@ -83,7 +84,7 @@ def first_mismatch(a: DataFrame, a_order: list[str], b: DataFrame, b_order: list
     ai = _positions(a.withColumnRenamed(col, "_a"), a_outer or [], a_order, "_a")
     bi = _positions(b.withColumnRenamed(col, "_b"), b_outer or [], b_order, "_b")
     return (ai.join(bi, "idx")
-              .filter(~F.trim("_a").eqNullSafe(F.trim("_b")))
+              .filter(~strip_ws("_a").eqNullSafe(strip_ws("_b")))
               .orderBy("idx").limit(1)
               .select((F.col("idx") - 1).alias("index"), F.col("_a").alias("left_value"),
                       F.col("_b").alias("right_value")))

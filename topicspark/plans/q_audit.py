@@ -144,7 +144,8 @@ def j3_topic_counts(spark: SparkSession, sf: str) -> DataFrame:
   SELECT l.idx - 1 AS "index", l.v AS left_value, r.v AS right_value FROM
     (SELECT row_number() OVER (ORDER BY doc_id) AS idx, text AS v FROM documents) l
     JOIN (SELECT row_number() OVER (ORDER BY topic, id) AS idx, answer AS v FROM articles) r USING (idx)
-  WHERE trim(l.v) IS DISTINCT FROM trim(r.v) ORDER BY l.idx LIMIT 1""", "articles"))
+  WHERE regexp_replace(l.v, '^\\s+|\\s+$', '', 'g') IS DISTINCT FROM regexp_replace(r.v, '^\\s+|\\s+$', '', 'g')
+  ORDER BY l.idx LIMIT 1""", "articles"))
 def j4_first_mismatch(spark: SparkSession, sf: str) -> DataFrame:
     """First position where documents (doc_id order) and articles (topic, id order) differ."""
     docs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").alias("question"))
