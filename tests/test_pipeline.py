@@ -98,6 +98,26 @@ def test_topics_by_ranges_matches_python_sort(spark):
     assert got == want
 
 
+def test_settled_ranges_are_not_ranked_again(spark):
+    import random
+    draw = random.Random(5)
+    # Lists with long common heads, equal lists, prefixes, and lists that differ at once.
+    lists = {f"t{n:02d}": [(10 * i + 1, 10 * i + 10) for i in range(draw.randrange(1, 40))] for n in range(12)}
+    lists |= {"x": [(3, 4)], "y": [(5, 9), (11, 20)], "same": lists["t00"],
+              "late": lists["t01"][:-1] + [(lists["t01"][-1][0], 10**6)]}
+    ci = spark.createDataFrame([(t, s, e) for t, pairs in lists.items() for s, e in pairs], "topic string, chunkStart long, chunkEnd long")
+    rounds = []
+    got = [r.topic for r in A.topics_by_ranges(ci, rounds).orderBy("position").collect()]
+    assert got == [t for t, _ in sorted(sorted(lists.items()), key=lambda x: x[1], reverse=True)]
+    assert rounds[0] < sum(map(len, lists.values())) and all(a >= b for a, b in zip(rounds, rounds[1:])) and rounds[-1] < rounds[0] / 2
+    # Lists that differ in their first pairs are ranked in no round.
+    rounds.clear()
+    apart = spark.createDataFrame([(t, 1000 * n + i, 1000 * n + i) for n, t in enumerate("abc") for i in range(300)],
+                                  "topic string, chunkStart long, chunkEnd long")
+    assert [r.topic for r in A.topics_by_ranges(apart, rounds).orderBy("position").collect()] == ["c", "b", "a"]
+    assert rounds == [0]
+
+
 def test_ingest_csv_in_file_order(spark):
     from topicspark.plans.ingest import ingest_csv
     base = tempfile.mkdtemp(prefix="ts-csv-")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicspark.functions.text import strip_ws
-from topicspark.operators.numbering import dense_rank_values, number_rows, number_rows_nested, running_offsets
+from topicspark.operators.numbering import number_rows, number_rows_nested, running_offsets
 from topicspark.session import checkpoint_dir
 
 
@@ -115,34 +115,53 @@ def chunk_gaps(ci: DataFrame) -> DataFrame:
                  .select("topic", F.col("chunkEnd").alias("chunk_end"), F.col("_next.start").alias("next_start")))
 
 
-def topics_by_ranges(ci: DataFrame) -> DataFrame:
+def _ranked(rows: DataFrame, key: list[str]) -> DataFrame:
+    """(key..., before, same): for each distinct tuple, the rows that stand
+    before it in ascending order, and the rows that hold it."""
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("same"))
+    return running_offsets(counts, [F.col(k).asc() for k in key], "same", "before")
+
+
+def topics_by_ranges(ci: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """L4: topics ordered by their list of (chunkStart, chunkEnd) pairs
     (ascending within a topic), descending; lists compare element by element
     and a proper prefix is smaller. Output (topic, position, n_rows), ties by
     topic name.
 
     Exact without gathering a topic's list into one group: prefix doubling.
-    Every element (topic, i) starts with the dense rank of its pair; each
-    round ranks the pair (rank of the block at i, rank of the block at
-    i + k), the end of a list ranking below everything; after ceil(log2 L)
-    rounds the rank at i = 1 orders whole lists. Each round is an equi-join
-    on the unique key (topic, i) and a distributed dense rank; the table is
-    checkpointed between rounds."""
-    spark = ci.sparkSession
+    Every element (topic, i) starts with the rank of its pair (elements with a
+    smaller pair, plus 1); each round splits the elements of one rank by the
+    rank at i + k, the end of a list ranking below everything. An element
+    whose rank no other holds is settled: it is looked up by others but is
+    not ranked again, as what a split gives stays within the places of its
+    rank. The rounds end when every list's first element is settled, or its
+    whole list is compared. Each round is an equi-join on the unique key
+    (topic, i) and a distributed running count over the active elements, which
+    are checkpointed. ``rounds`` takes the number of elements that each round
+    ranks."""
+    checkpoint_dir(ci.sparkSession)
     el = number_rows(ci.select("topic", "chunkStart", "chunkEnd"), ["topic"],
                      ["chunkStart", "chunkEnd"], "i")
-    cur = dense_rank_values(el, ["chunkStart", "chunkEnd"], "r").select("topic", "i", "r")
-    cur = cur.checkpoint(eager=True)
+    pair = ["chunkStart", "chunkEnd"]
+    cur = el.join(_ranked(el, pair), pair).select(
+        "topic", "i", (F.col("before") + 1).alias("r"), (F.col("same") == 1).alias("settled")).checkpoint(eager=True)
     longest = cur.agg(F.max("i")).first()[0] or 0
-    k = 1
+    done, active, k = cur.filter("settled"), cur.filter("NOT settled"), 1
     while k < longest:
-        ahead = cur.select("topic", (F.col("i") - k).alias("i"), F.col("r").alias("r2"))
-        paired = (cur.join(ahead, ["topic", "i"], "left")
-                     .select("topic", "i", "r", F.coalesce("r2", F.lit(0)).cast("long").alias("r2")))
-        cur = dense_rank_values(paired, ["r", "r2"], "nr").select("topic", "i", F.col("nr").alias("r"))
-        cur = cur.checkpoint(eager=True)
-        k *= 2
-    first = cur.filter(F.col("i") == 1).select("topic", "r")
+        size = active.agg(F.count(F.lit(1)), F.min("i")).first()
+        if rounds is not None:
+            rounds.append(size[0])
+        if size[1] != 1:  # every list's first element is settled
+            break
+        ahead = done.unionByName(active).select("topic", (F.col("i") - k).alias("i"), F.col("r").alias("r2"))
+        paired = active.join(ahead, ["topic", "i"], "left").select("topic", "i", "r", F.coalesce("r2", F.lit(0)).alias("r2"))
+        split = _ranked(paired, ["r", "r2"]).checkpoint(eager=True)
+        least = split.groupBy("r").agg(F.min("before").alias("least"))
+        cur = (paired.join(split, ["r", "r2"]).join(least, "r")
+                     .select("topic", "i", (F.col("r") + F.col("before") - F.col("least")).alias("r"),
+                             (F.col("same") == 1).alias("settled")).checkpoint(eager=True))
+        done, active, k = done.unionByName(cur.filter("settled")), cur.filter("NOT settled"), 2 * k
+    first = done.unionByName(active).filter(F.col("i") == 1).select("topic", "r")
     rows = ci.groupBy("topic").agg(
         F.sum(F.abs(F.col("chunkEnd") - F.col("chunkStart")) + 1).cast("long").alias("n_rows"))
     order = first.join(rows, "topic").withColumn("_one", F.lit(1))
