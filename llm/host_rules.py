@@ -10,7 +10,7 @@ Defined cases: null or empty text has no words and fails the base rule; a
 null host is a host of its own; an empty table gives no rows; repeated rows
 are judged each for themselves (a row counts once per occurrence in its
 host); columns beyond the named ones are ignored by ``judge`` and kept by
-``keep_documents``.
+``keep_documents``, also where they are named like the operator's own.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.tables import written
+from llm.tables import set_aside, written
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -127,14 +127,6 @@ def host_rates(figured: DataFrame, host: str = "source") -> DataFrame:
                          (F.greatest(*[F.col(f"p_{k}") for k in rules]) > HOST_BOUND).alias("_host_rejected"))
 
 
-def _judged(docs: DataFrame, columns: list[str]) -> DataFrame:
-    flagged = written(with_figures(docs.select(*[F.col(f"`{c}`") for c in columns])), "host-figures")
-    hosts = host_rates(flagged)
-    return (flagged.join(hosts, F.col("source").eqNullSafe(F.col("_host")), "left")
-            .withColumn("_failed", _base_failed())
-            .withColumn("_kept", ~F.col("_failed") & ~F.col("_host_rejected")))
-
-
 def judge(docs: DataFrame) -> DataFrame:
     """A row per document: the figures, ``base_failed``, ``kept`` and the host's rates."""
     narrow = written(with_figures(docs.select("doc_id", "source", "text")).drop("text"), "host-figures")
@@ -148,5 +140,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The kept documents, with the columns of ``docs``."""
-    judged = _judged(docs, docs.columns)
-    return judged.filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = set_aside(docs, ("source", "text"))
+    flagged = written(with_figures(rows), "host-figures")
+    judged = flagged.join(host_rates(flagged), F.col("source").eqNullSafe(F.col("_host")), "left")
+    return judged.filter(~_base_failed() & ~F.col("_host_rejected")).select(*rows.columns).toDF(*docs.columns)

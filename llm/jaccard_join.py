@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 
 from llm import words as W
 from llm.components import components
-from llm.tables import partitions, releasing, releasing_group, releasing_pair, written
+from llm.tables import partitions, releasing, releasing_group, releasing_pair, set_aside, written
 
 SHINGLE = 5
 #: Similarity bound as a fraction of whole numbers: 80 / 100.
@@ -353,4 +353,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group: the rows whose ``doc_id`` is its component's smallest (null ids stay)."""
     groups = near_duplicates(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = set_aside(docs, ("doc_id", "text"))
+    return rows.join(groups, "doc_id", "left_anti").select(*rows.columns).toDF(*docs.columns)

@@ -26,7 +26,7 @@ Defined cases: order is by ``doc_id``; rows with the same id are not aligned
 with each other; null ids and null or empty texts come back unchanged. A
 document that loses every line is dropped by ``clean_documents`` and has an
 empty text in ``dedup_lines``. ``n_chars``, where there is such a column,
-follows the text. Extra columns are kept.
+follows the text. Extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.tables import releasing, written
+from llm.tables import releasing, set_aside, written
 
 MIN_CHARS = 24
 #: Parts, by ranges of the id, in which the holders of one key are numbered.
@@ -314,8 +314,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without the deleted lines; documents that had words and lost them all go."""
-    done = _with_deletions(docs).filter((F.col("_n_deleted") == 0) | (F.length(F.btrim("_clean", F.lit(" \t\n\x0b\x0c\r"))) > 0))
+    rows = set_aside(docs, ("doc_id", "text", "n_chars"))
+    done = _with_deletions(rows).filter((F.col("_n_deleted") == 0) | (F.length(F.btrim("_clean", F.lit(" \t\n\x0b\x0c\r"))) > 0))
     new = {"text": F.col("_clean")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_n_deleted") > 0, F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    if "n_chars" in rows.columns:
+        new["n_chars"] = F.when(F.col("_n_deleted") > 0, F.length("_clean").cast(rows.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return done.select(*[new.get(c, F.col(c)).alias(c) for c in rows.columns]).toDF(*docs.columns)

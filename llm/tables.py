@@ -23,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(docs: DataFrame, used: tuple[str, ...]) -> DataFrame:
+    """``docs`` with every column but those ``used`` under a name given by its place.
+
+    An operator's own columns then clash with none of the input. Taking the
+    places in order and ``toDF(*docs.columns)`` gives the first names back.
+    """
+    return docs.toDF(*[c if c in used else f"extra{at}" for at, c in enumerate(docs.columns)])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
