@@ -3,21 +3,23 @@
 A multinomial classifier, fitted on a bounded sample of a labelled table,
 gives every document the posterior of each domain. A document's expected
 tokens of a domain are its tokens times that posterior. Rates r >= 0 (how
-often a document is taken) are those nearest to 1, weighted by tokens, at
-which every domain's expected total
-
-    sum over documents i of tokens_i p_ik r_i
-
-is within ``TOLERANCE`` of its target T_k. They are r_i = max(0, 1 - p_i . s)
-with one vector s of domains for all documents, which minimises a convex
-function (the dual). Newton steps find it: their matrix is the Gram matrix of
-the rows whose rate is above 0, so scarce domains take no more rounds than
-others; each round is one pass over a narrow table that returns the sums for
-a few lengths of the step, of which the best is taken. Rounds end when the
-gradient is as good as 0. A small ridge (``RIDGE``) lets them end also where
-no rates meet the targets: then the sum over domains of (total - T_k)^2 / T_k
-is the least possible, a warning names the domains that miss their targets,
-and ``Mixer.missed`` holds by how much.
+often a document is taken) start at 1 and follow projected gradient steps of
+the least squares
+
+    f(r) = sum over domains k of (total_k - T_k)^2 / T_k / 2,
+    total_k = sum over documents i of tokens_i p_ik r_i
+
+A step lowers every rate by p_i . s, with one vector s of domains for all
+documents, and cuts it off at 0, so the rates are known from the list of
+steps and a document's own posterior. Each round is one pass over a narrow
+table. It tries the gradient of f at the length that is sure to descend and
+at a few longer ones, and the gradient times the inverse of the Gram matrix
+of the rows above 0, with which scarce domains move as fast as others; the
+best of them by f is taken. Rounds end when every total is within
+``TOLERANCE`` / 10 of its target, or when the projected gradient moves the
+rates by less than ``STILL``: then no rates meet the targets, f is at its
+least, a warning names the domains that miss, and ``Mixer.missed`` holds by
+how much.
 
 A rate is realised as floor(r + u) copies, u being a hash of the row: the
 expected number of copies is the rate, and a run repeats exactly.
@@ -45,13 +47,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import text_stats
-from llm.tables import written
+from llm.tables import set_aside, written
 
 #: Bound of the training sample, in labelled rows.
 MAX_TRAIN = 8_000
-TOLERANCE, RIDGE = 1e-4, 1e-8
-#: Lengths of a Newton step that are tried in one pass.
-LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
+TOLERANCE = 1e-4
+#: Root mean square (by tokens) of what a sure gradient step moves the rates by, at which f counts as least.
+STILL = 1e-7
+#: Lengths tried in one pass: of the gradient, in lengths that surely descend, and of the gradient times the inverse Gram matrix.
+PLAIN, SCALED = (1.0, 4.0, 16.0, 64.0, 256.0), (1.0, 0.5, 0.2, 0.05)
 
 
 def sample_of(docs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -99,16 +103,19 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def _totals(narrow: DataFrame, tried: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """For each vector tried: expected tokens of each domain, the Gram matrix of the rows above 0, half the sum of tokens r^2."""
+def _totals(narrow: DataFrame, steps: np.ndarray, tried: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For each step tried after ``steps``: expected tokens of each domain, the Gram matrix of the rows above 0, sum of tokens (change of r)^2."""
+    k = tried.shape[1]
+
     def run(batches):
         sums = np.zeros((len(tried), k + k * k + 1))
         for b in batches:
             p, tokens = _matrix(b.column(0), k), b.column(1).to_numpy(zero_copy_only=False).astype(float)
+            old = _rates(p, steps)
             for at, s in enumerate(tried):
-                r = _rates(p, s[None])
+                r = np.maximum(old - p @ s, 0)
                 above = p * (tokens * (r > 0))[:, None]
-                sums[at] += np.concatenate([(tokens * r) @ p, (p.T @ above).ravel(), [(tokens * r * r).sum() / 2]])
+                sums[at] += np.concatenate([(tokens * r) @ p, (p.T @ above).ravel(), [(tokens * (r - old) ** 2).sum()]])
         yield pa.RecordBatch.from_arrays([pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))], ["sums"])
     # One short row a task: added up on the executors.
     parts = narrow.select("_p", "_stats_words").mapInArrow(run, "sums array<double>").select(F.posexplode("sums").alias("at", "x"))
@@ -119,32 +126,33 @@ def _totals(narrow: DataFrame, tried: np.ndarray, k: int) -> list[tuple[np.ndarr
 
 
 def descend(narrow: DataFrame, weights: list[float], reduce: list[int], budget: float | None = None):
-    """(the vector s as one row, expected totals, targets)."""
+    """(the steps taken, a row each; expected totals; targets)."""
     k = len(weights)
-    at = np.zeros(k)
-    now, gram, half = _totals(narrow, at[None], k)[0]
+    steps = np.zeros((0, k))
+    now, gram, _ = _totals(narrow, steps, np.zeros((1, k)))[0]
+    tokens = now.sum()
     w = np.where(now > 0, np.array(weights, float), 0)
     if not w.sum():
-        return np.zeros((0, k)), now, now
+        return steps, now, now
     w /= w.sum()
     keep = [i for i in range(k) if i not in reduce and w[i] > 0]
     if budget is None:
-        budget = max(now[i] / w[i] for i in keep) if keep else now.sum()
+        budget = max(now[i] / w[i] for i in keep) if keep else tokens
     target = budget * w
-    unit = np.maximum(target, now.sum() * 1e-6)
-    ridge = RIDGE * unit
+    unit = np.maximum(target, tokens * 1e-6)
     root = np.sqrt(unit)
-    value = half
-    while np.abs(slope := (now - target - ridge * at) / unit).max() > TOLERANCE / 10:
-        step = np.linalg.solve((gram + np.diag(ridge)) / np.outer(root, root), slope * root) / root
-        tried = at + np.array(LENGTHS)[:, None] * step
-        sums = _totals(narrow, tried, k)
-        values = [half + target @ x + (ridge * x) @ x / 2 for x, (_, _, half) in zip(tried, sums)]
+    # The rates' largest curvature of f: a gradient step of 1 / steepest always descends.
+    steepest = np.linalg.eigvalsh(gram / np.outer(root, root))[-1]
+    while np.abs(miss := (now - target) / unit).max() > TOLERANCE / 10:
+        scaled = np.linalg.pinv(gram / np.outer(root, root), rcond=1e-9, hermitian=True) @ (miss * root) / root
+        tried = np.concatenate([np.outer(PLAIN, miss / steepest), np.outer(SCALED, scaled)])
+        sums = _totals(narrow, steps, tried)
+        values = [((x - target) ** 2 / unit).sum() for x, _, _ in sums]
         best = int(np.argmin(values))
-        if not values[best] < value:
-            break  # as near as doubles get
-        at, value, (now, gram, _) = tried[best], values[best], sums[best]
-    return at[None], now, target
+        if sums[0][2] < STILL ** 2 * tokens or not values[best] < ((now - target) ** 2 / unit).sum():
+            break
+        steps, (now, gram, _) = np.concatenate([steps, tried[best:best + 1]]), sums[best]
+    return steps, now, target
 
 
 def missed(domains: list[str], reached: np.ndarray, targets: np.ndarray) -> dict[str, float]:
@@ -199,10 +207,11 @@ class Mixer:
 
     def mixed(self, docs: DataFrame) -> DataFrame:
         """``docs`` with every row as often as its rate says."""
-        rated = self._told(docs, True).drop("_stats").withColumn("_rate", _rate(self.steps))
+        rows = set_aside(docs, ("doc_id", "text"))
+        rated = self._told(rows, True).drop("_stats").withColumn("_rate", _rate(self.steps))
         return (rated.withColumn("_copies", _copies()).filter("_copies > 0")
                 .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-                .select(*[F.col(f"`{c}`") for c in docs.columns]))
+                .select(*rows.columns).toDF(*docs.columns))
 
 
 #: The registered mix: documents of low quality are thinned out, the rest is weighted by language.

@@ -24,11 +24,38 @@ def test_scarce_domains_reach_their_targets(llm, shares):
     narrow = _narrow(llm, shares)
     steps, reached, targets = soft_mixing.descend(narrow, list(soft_mixing.TARGETS.values()), [4])
     assert np.abs(reached / targets - 1).max() < 2 * soft_mixing.TOLERANCE
+    assert len(steps) < 40
     rows = narrow.collect()
     p, tokens = np.array([r[0] for r in rows]), np.array([float(r[1]) for r in rows])
     assert np.allclose((tokens * soft_mixing._rates(p, steps)) @ p, reached)
 
 
+def _coordinate_descent(p, tokens, target, rounds=4000):
+    """The least squares by the plain definition, one document's rate after the other."""
+    r, total = np.ones(len(p)), tokens @ p
+    a = p * tokens[:, None]
+    for _ in range(rounds):
+        for i in range(len(p)):
+            new = max(0.0, r[i] - (a[i] * (total - target) / target).sum() / (a[i] ** 2 / target).sum())
+            total = total + a[i] * (new - r[i])
+            r[i] = new
+    return total
+
+
+@pytest.mark.parametrize("weights", [(0.2, 0.3, 0.5), (0.02, 0.08, 0.9), (0.9, 0.05, 0.05)])
+def test_least_squares_equal_another_solver(llm, weights):
+    rng = np.random.default_rng(8)
+    # Posteriors that are never sharp: not every target is within reach.
+    p = rng.dirichlet([1.0] * 3, 40) * 0.4 + 0.6 / 3
+    tokens = rng.integers(20, 400, 40).astype(float)
+    narrow = llm.createDataFrame([(x.tolist(), int(t)) for x, t in zip(p, tokens)], "_p array<double>, _stats_words long").cache()
+    _, reached, targets = soft_mixing.descend(narrow, list(weights), [], 8000.0)
+    want = _coordinate_descent(p, tokens, targets)
+    f = lambda x: ((x - targets) ** 2 / targets).sum()
+    assert f(reached) <= f(want) + 1e-4 * targets.sum() * soft_mixing.TOLERANCE
+    assert np.allclose(reached, want, rtol=1e-3)
+
+
 def test_targets_out_of_reach_are_reported(llm):
     narrow = llm.createDataFrame([([0.5, 0.5], 100)] * 20, "_p array<double>, _stats_words long")
     _, reached, targets = soft_mixing.descend(narrow, [0.9, 0.1], [], 2000.0)
