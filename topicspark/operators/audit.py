@@ -3,8 +3,9 @@ L1, L3, L5, X1-X3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from topicspark.functions.text import strip_ws
 from topicspark.operators.numbering import number_rows, number_rows_nested, running_offsets
@@ -68,11 +69,33 @@ def topic_counts(expected: DataFrame, rows: DataFrame) -> DataFrame:
                     .select("topic", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")))
 
 
-def _positions(df: DataFrame, outer: list[str], order: list[str], value: str) -> DataFrame:
-    cols = [*outer, *order]
-    if outer:
-        return number_rows_nested(df.select(*cols, value), outer, order, "idx")
-    return number_rows(df.select(*cols, value), [], order, "idx")
+#: Positions per block of a positional compare.
+COMPARE_BLOCK = 100_000
+
+
+def _prints(df: DataFrame, outer: list[str], order: list[str], col: str) -> DataFrame:
+    """(idx, _key, _p, _q): position, order keys and 128 print bits of the
+    trimmed value of each row, checkpointed. The value itself goes nowhere."""
+    v = strip_ws(col)
+    keys = [*outer, *order]
+    narrow = df.select(*keys, *[F.xxhash64(F.lit(salt), v.isNull(), v).alias(name) for salt, name in ((1, "_p"), (2, "_q"))])
+    numbered = number_rows_nested(narrow, outer, order, "idx") if outer else number_rows(narrow, [], order, "idx")
+    return numbered.select("idx", F.struct(*keys).alias("_key"), "_p", "_q").checkpoint(eager=True)
+
+
+def _block_prints(prints: DataFrame, names: list[str]) -> DataFrame:
+    """(block, names...): print of each block, in which every row counts with its position."""
+    row = [F.xxhash64(F.lit(salt), "idx", "_p", "_q") for salt in (1, 2)]
+    return prints.groupBy(F.floor((F.col("idx") - 1) / F.lit(COMPARE_BLOCK)).alias("block")).agg(
+        *[F.bit_xor(h).alias(n) for h, n in zip(row, names)])
+
+
+def _at(df: DataFrame, key: Row, col: str, p: int, q: int) -> DataFrame:
+    """The value at one key, by literal filters; where rows share the key, the one with this print."""
+    v = strip_ws(col)
+    for name, value in key.asDict().items():
+        df = df.filter(F.col(name).eqNullSafe(F.lit(value)))
+    return df.filter((F.xxhash64(F.lit(1), v.isNull(), v) == p) & (F.xxhash64(F.lit(2), v.isNull(), v) == q)).limit(1)
 
 
 def first_mismatch(a: DataFrame, a_order: list[str], b: DataFrame, b_order: list[str],
@@ -80,14 +103,32 @@ def first_mismatch(a: DataFrame, a_order: list[str], b: DataFrame, b_order: list
                    b_outer: list[str] | None = None) -> DataFrame:
     """First position where trimmed ``col`` differs between two tables
     compared row by row in their orders ((outer keys, order keys) each);
-    rows beyond the shorter side are ignored. Empty when they agree."""
-    ai = _positions(a.withColumnRenamed(col, "_a"), a_outer or [], a_order, "_a")
-    bi = _positions(b.withColumnRenamed(col, "_b"), b_outer or [], b_order, "_b")
-    return (ai.join(bi, "idx")
-              .filter(~strip_ws("_a").eqNullSafe(strip_ws("_b")))
-              .orderBy("idx").limit(1)
-              .select((F.col("idx") - 1).alias("index"), F.col("_a").alias("left_value"),
-                      F.col("_b").alias("right_value")))
+    rows beyond the shorter side are ignored. Empty when they agree.
+
+    Each side is read once for narrow prints of its values. Blocks of
+    positions are compared by one print each (a row per ``COMPARE_BLOCK``
+    positions), rows only in the first block that differs, and the two values
+    are read by their keys. End the orders with a unique key: rows that agree
+    in all of it come in any order. Values count as equal when 128 hash bits
+    agree."""
+    spark = a.sparkSession
+    checkpoint_dir(spark)
+    ap, bp = _prints(a, a_outer or [], a_order, col), _prints(b, b_outer or [], b_order, col)
+    shorter = F.col("idx") <= min(ap.count(), bp.count())
+    ap, bp = ap.filter(shorter), bp.filter(shorter)
+    unlike = (_block_prints(ap, ["_p1", "_q1"]).join(_block_prints(bp, ["_p2", "_q2"]), "block")
+              .filter("_p1 <> _p2 or _q1 <> _q2").agg(F.min("block").alias("block")).first()["block"])
+    value = a.schema[col].dataType
+    if unlike is None:
+        return spark.createDataFrame([], StructType().add("index", "long").add("left_value", value).add("right_value", value))
+    block = F.col("idx").between(unlike * COMPARE_BLOCK + 1, (unlike + 1) * COMPARE_BLOCK)
+    hit = (ap.filter(block).alias("l").join(bp.filter(block).alias("r"), "idx")
+             .filter("l._p <> r._p or l._q <> r._q").orderBy("idx").limit(1)
+             .select("idx", *[F.col(f"{t}.{c}").alias(f"{t}{c}") for t in "lr" for c in ("_key", "_p", "_q")]).first())
+    index = F.lit(hit["idx"] - 1).cast("long").alias("index")
+    left, right = (_at(df, hit[f"{t}_key"], col, hit[f"{t}_p"], hit[f"{t}_q"]).select(index, F.col(col).alias(name))
+                   for df, t, name in ((a, "l", "left_value"), (b, "r", "right_value")))
+    return left.join(right, "index")
 
 
 def chunk_gaps(ci: DataFrame) -> DataFrame:
