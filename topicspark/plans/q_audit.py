@@ -11,7 +11,7 @@ from topicspark.operators import audit as A
 from topicspark.operators.chunks import assign_chunks, chunk_bounds, fold_chunks, summary_lines
 from topicspark.operators.search import fetch_articles, relevant_lines, term_counts, top_hits
 from topicspark.operators.summarize import summarize
-from topicspark.plans.q_ingest import _input
+from topicspark.plans.q_ingest import _input, _stored
 from topicspark.plans.q_search import CHUNK, _index
 from topicspark.operators.numbering import running_offsets
 from topicspark.operators.sizing import bounded_broadcast
@@ -192,7 +192,7 @@ def w4_index_ids(spark: SparkSession, sf: str) -> DataFrame:
                       "articles"))
 def l1_page(spark: SparkSession, sf: str) -> DataFrame:
     """Page 2 (0-based) of 10 rows of the article table in (topic, id) order."""
-    return A.page(fx.articles(spark, sf).select("topic", "id"), 2, 10, ["topic", "id"])
+    return A.page(_stored(spark, sf).select("topic", "id"), 2, 10, ["topic", "id"])
 
 
 @register("L3", O.sql("""SELECT id, topic, chunkStart, strftime(updatedAt, '%Y-%m-%d %H:%M:%S') AS updatedAt

@@ -60,23 +60,25 @@ def allocate_ids(rows: DataFrame, existing: DataFrame | None, order: list[str],
 
 
 # Rows of one topic whose key falls in the same block of this many ids go to
-# the same writer task.
+# the same writer task, as far as its byte target allows.
 WRITE_BLOCK = 1_000_000
 
 
 def cluster_for_write(df: DataFrame, keys: list[str], block: int = WRITE_BLOCK) -> DataFrame:
     """Cluster rows before a ``partitionBy('topic')`` write.
 
-    ``keys`` = (topic, numeric key, ...). Rows are hash-partitioned on
+    ``keys`` = (topic, numeric key, ...). Rows are rebalanced on
     (topic, floor(key / block)) and sorted within partitions: a hot topic is
     spread over many tasks (``repartition('topic')`` would give it one), a
-    task writes few topics, and files hold sorted runs of contiguous ids
-    whose row-group min/max make id lookups cheap. Unlike a range
-    partitioning, this needs no sampling pass over an expensive input."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    task writes few topics, and files hold sorted runs of ids whose row-group
+    min/max make id lookups cheap. A block is a number of ids, but writers
+    are sized by bytes: from the measured sizes of the shuffle, partitions
+    over ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (long texts) are
+    split and small ones put together. Unlike a range partitioning, this
+    needs no sampling pass over an expensive input."""
     topic, key = keys[0], keys[1]
-    return (df.repartition(n, F.col(topic), F.floor(F.col(key) / F.lit(block)))
-              .sortWithinPartitions(*keys))
+    return (df.withColumn("_block", F.floor(F.col(key) / F.lit(block))).hint("rebalance", topic, "_block")
+              .sortWithinPartitions(*keys).drop("_block"))
 
 
 def append_articles(df: DataFrame, path: str, mode: str = "append", load: str | None = None) -> None:
