@@ -3,8 +3,11 @@
 Every document gets base figures of its whole text and fails or passes a few
 rules. Rule failures are added up by host (the ``source`` column); each
 host's failure rates are shrunk towards the corpus by a beta prior fitted to
-all hosts (method of moments), and a host whose shrunken rate passes the
-bound is rejected. The verdict goes back to the documents over the host.
+all hosts (moments of the beta-binomial, hosts weighted by their documents,
+the spread that chance alone gives taken off). A host is rejected when it is
+near certain that its rate passes the bound: when the rate's mean after its
+documents, less ``HOST_TAIL`` standard deviations, does. The verdict goes back
+to the documents over the host.
 
 Defined cases: null or empty text has no words and fails the base rule; a
 null host is a host of its own; an empty table gives no rows; repeated rows
@@ -25,8 +28,10 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: A host is rejected when the shrunken share of its documents that fail a rule is beyond this.
-HOST_BOUND = 0.6
+#: A host is rejected when the share of its documents that fail a rule is beyond this, by so many standard deviations.
+HOST_BOUND, HOST_TAIL = 0.6, 1.645
+#: Least and largest weight of the prior, in documents.
+PRIOR = (1.0, 1e6)
 
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RULES = ["r_base", "r_symbols", "r_lines", "r_word_length"]
@@ -108,23 +113,36 @@ def _rules() -> dict[str, Column]:
 def host_rates(figured: DataFrame, host: str = "source") -> DataFrame:
     """A row per host: documents, and for each rule the shrunken failure rate.
 
-    Prior of a rule: Beta(m k, (1 - m) k), with m the mean of the host rates
-    and k from their variance. Hosts that agree more than chance allows, or a
-    lone host, get the largest k (``1e6``): all shrink to the mean.
+    Prior of a rule: Beta(m k, (1 - m) k), with m the share of all documents
+    that fail it. For H hosts of n of the N documents, failing at rate p, the
+    sum of n (p - m)^2 is expected to be
+    m (1 - m) (H - 1 + c (N - sum of n^2 / N - (H - 1))), with c = 1 / (k + 1)
+    the correlation of two documents of a host. Hosts that agree more than
+    chance allows, a lone host, and hosts of one document each, which tell
+    nothing of c, get the largest k: all shrink to the mean.
     """
     rules = _rules()
     hosts = figured.groupBy(F.col(host).alias("_host")).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c.cast("long")).alias(k) for k, c in rules.items()])
-    raw = {k: F.col(k) / F.col("n") for k in rules}
-    moments = hosts.agg(*[x for k, r in raw.items() for x in (F.avg(r).alias(f"m_{k}"), F.var_pop(r).alias(f"v_{k}"))])
+    n = F.col("n").cast("double")
+    moments = hosts.agg(
+        F.sum(n).alias("docs"), F.sum(n * n).alias("squares"), F.count(F.lit(1)).alias("hosts"),
+        *[x for k in rules for x in (F.sum(k).alias(f"x_{k}"), F.sum(F.col(k) * F.col(k) / n).alias(f"q_{k}"))])
     joined = hosts.crossJoin(F.broadcast(moments))  # one row of moments
+    free = F.col("hosts") - 1
+    between = F.col("docs") - F.col("squares") / F.col("docs") - free
+    certain = []
     for k in rules:
-        m, v = F.col(f"m_{k}"), F.col(f"v_{k}")
-        size = F.when(v > 0, F.least(F.greatest(m * (1 - m) / v - 1, F.lit(1.0)), F.lit(1e6))).otherwise(F.lit(1e6))
-        joined = joined.withColumn(f"p_{k}", (F.col(k) + m * size) / (F.col("n") + size))
+        m = F.col(f"x_{k}") / F.col("docs")
+        spread = F.col(f"q_{k}") - F.col("docs") * m * m
+        c = F.when((between > 1e-9) & (m > 0) & (m < 1), F.try_divide(F.try_divide(spread, m * (1 - m)) - free, between))
+        size = F.coalesce(F.when(c > 0, F.least(F.greatest(1 / c - 1, F.lit(PRIOR[0])), F.lit(PRIOR[1]))), F.lit(PRIOR[1]))
+        joined = joined.withColumn(f"k_{k}", size).withColumn(f"p_{k}", (F.col(k) + m * F.col(f"k_{k}")) / (n + F.col(f"k_{k}")))
+        p = F.col(f"p_{k}")
+        certain.append(p - HOST_TAIL * F.sqrt(F.greatest(p * (1 - p), F.lit(0.0)) / (n + F.col(f"k_{k}") + 1)))
     return joined.select("_host", F.col("n").alias("_host_docs"),
                          *[F.col(f"p_{k}").alias(f"_host_{k}") for k in rules],
-                         (F.greatest(*[F.col(f"p_{k}") for k in rules]) > HOST_BOUND).alias("_host_rejected"))
+                         (F.greatest(*certain) > HOST_BOUND).alias("_host_rejected"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
