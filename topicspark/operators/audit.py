@@ -128,7 +128,8 @@ def first_mismatch(a: DataFrame, a_order: list[str], b: DataFrame, b_order: list
     index = F.lit(hit["idx"] - 1).cast("long").alias("index")
     left, right = (_at(df, hit[f"{t}_key"], col, hit[f"{t}_p"], hit[f"{t}_q"]).select(index, F.col(col).alias(name))
                    for df, t, name in ((a, "l", "left_value"), (b, "r", "right_value")))
-    return left.join(right, "index")
+    both = left.unionByName(right, allowMissingColumns=True)  # a row each
+    return both.groupBy("index").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("left_value", "right_value")])
 
 
 def chunk_gaps(ci: DataFrame) -> DataFrame:

@@ -149,7 +149,7 @@ def j3_topic_counts(spark: SparkSession, sf: str) -> DataFrame:
 def j4_first_mismatch(spark: SparkSession, sf: str) -> DataFrame:
     """First position where documents (doc_id order) and articles (topic, id order) differ."""
     docs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").alias("question"))
-    arts = fx.articles(spark, sf).select("topic", "id", F.col("answer").alias("question"))
+    arts = _stored(spark, sf).select("topic", "id", F.col("answer").alias("question"))
     return A.first_mismatch(docs, ["doc_id"], arts, ["id"], b_outer=["topic"])
 
 
