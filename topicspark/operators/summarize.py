@@ -16,116 +16,101 @@ TextRank (Mihalcea & Tarau 2004):
 4. the top ``k`` sentences by (round(score, 9) desc, position) are emitted
    in position order joined by one space; a row without text gives ''.
 
-Work is keyed by row: the input is hash-partitioned by the row key once,
-after which every window and aggregate below is keyed by (row key, ...) and
-needs no further exchange.
+A summary needs its own row alone. Rows are spread by their key once; Spark
+cuts and tokenises the text, and an Arrow function takes the tokens of a batch
+of rows and gives the places of the picked sentences. No token becomes a row,
+so nothing is sorted or held per token beyond a slice of a batch, and a query
+that does not read the summaries does not make them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicspark.functions.text import qa_text, tokens
 
 SENTENCE_BREAK = r"([.!?])\s+"
-
-
-def _sentence_weights(base: DataFrame, key: list[str]) -> DataFrame:
-    """Rows (key, pos, term, n, blank, stext, sv): the L2-normalised weight
-    ``sv`` of every term of every sentence piece.
-
-    Written with window functions and aggregates only: all of them keep the
-    (row key) hash partitioning of ``base``, so after the one repartition no
-    further exchange is planned (joins would re-shuffle on all their keys).
-    Blank pieces stay as rows (``blank``) so that a row without any sentence
-    still reaches the final aggregate and gets ''. The sentence text rides
-    on the row of its first token only (``stext``, null elsewhere), so sorts
-    do not copy it per token."""
-    split = F.split(F.regexp_replace(F.col("text"), SENTENCE_BREAK, "$1\n"), "\n")
-    pieces = base.select(*key, split.alias("parts"))
-    # n = non-blank sentences of the row, counted inside the row.
-    pieces = pieces.withColumn("n", F.size(F.filter("parts", lambda x: F.trim(x) != "")))
-    sents = (pieces.select(*key, "n", F.posexplode("parts").alias("pos", "sentence"))
-                   .withColumn("sentence", F.trim("sentence"))
-                   .withColumn("blank", F.col("sentence") == ""))
-    # One row per (sentence, term); a sentence without tokens keeps one row
-    # with a null term (weight 0).
-    toks = sents.select(*key, "pos", "n", "blank", "sentence",
-                        F.posexplode_outer(tokens("sentence")).alias("tp", "term"))
-    tf = (toks.groupBy(*key, "pos", "term")
-              .agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("tf"),
-                   F.max(F.when(F.coalesce(F.col("tp"), F.lit(0)) == 0, F.col("sentence"))).alias("stext"),
-                   F.first("blank").alias("blank")))
-    by_term = Window.partitionBy(*key, "term")
-    by_sent = Window.partitionBy(*key, "pos")
-    return (tf.withColumn("df", F.count(F.lit(1)).over(by_term))
-              .withColumn("w", F.when(F.col("term").isNull(), F.lit(0.0)).otherwise(
-                  F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)))
-              .withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(by_sent)))
-              .withColumn("sv", F.when(F.col("norm") > 0, F.col("w") / F.col("norm")).otherwise(F.lit(0.0)))
-              .select(*key, "pos", "term", "n", "blank", "stext", "sv"))
-
-
-def _degree_ranked(base: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, sentence, blank, score) for every sentence piece, degree
-    centrality: score_i = s_i . (sum_j s_j)."""
-    w = _sentence_weights(base, key).withColumn(
-        "tw", F.sum("sv").over(Window.partitionBy(*key, "term")))
-    return w.groupBy(*key, "pos").agg(
-        F.max("stext").alias("sentence"), F.first("blank").alias("blank"),
-        F.sum(F.col("sv") * F.col("tw")).alias("score"))
-
-
-def _textrank_ranked(base: DataFrame, key: list[str], rounds: int = 10,
-                     damping: float = 0.85) -> DataFrame:
-    """(key, pos, sentence, blank, score) by power iteration on the cosine
-    graph: r <- (1 - d)/n + d * S (S^T (r / deg)), deg = S (S^T 1).
-
-    Every product is a window sum over the (row, sentence, term) rows: by
-    (key, term) for S^T x, by (key, pos) for S y. No sentence pairs, no
-    joins and no exchange after the first, so all rounds run in the one
-    stage after the repartition: a lost task is recomputed from that
-    shuffle's output alone, and no lineage cut is needed."""
-    by_term = Window.partitionBy(*key, "term")
-    by_sent = Window.partitionBy(*key, "pos")
-    w = (_sentence_weights(base, key)
-         .withColumn("tw", F.sum("sv").over(by_term))
-         .withColumn("deg", F.sum(F.col("sv") * F.col("tw")).over(by_sent))
-         .drop("tw")
-         .withColumn("r", F.when(F.col("n") > 0, 1.0 / F.col("n")).otherwise(F.lit(0.0))))
-    for _ in range(rounds):
-        x = F.when(F.col("deg") > 0, F.col("r") / F.col("deg")).otherwise(F.lit(0.0))
-        w = (w.withColumn("y", F.sum(F.col("sv") * x).over(by_term))
-              .withColumn("r", F.when(F.col("n") > 0, (1 - damping) / F.col("n")).otherwise(F.lit(0.0))
-                          + damping * F.sum(F.col("sv") * F.col("y")).over(by_sent))
-              .drop("y"))
-    return w.groupBy(*key, "pos").agg(
-        F.max("stext").alias("sentence"), F.first("blank").alias("blank"),
-        F.first("r").alias("score"))
+METHODS = ("degree", "textrank")
+#: Tokens that the ranking holds as numbers at a time (a row is never cut).
+SLICE_TOKENS = 500_000
+
+
+def _picks(method: str, top: int, rounds: int = 10, damping: float = 0.85):
+    """Arrow function: the tokens of each sentence of a row -> the places
+    (from 0, ascending) of the row's ``top`` best sentences.
+
+    Its body is one nested function, so that it reaches executors that do not
+    have this package."""
+    slice_tokens = SLICE_TOKENS
+
+    def pick(rows):
+        import numpy as np
+        import pyarrow as pa
+
+        def ranked(sentences, per_row):
+            """The places of the picked sentences, and how many each row has."""
+            n_rows, n_sent = len(per_row), len(sentences)
+            row = np.repeat(np.arange(n_rows), per_row)
+            first = np.cumsum(per_row) - per_row
+            words = sentences.flatten().dictionary_encode()
+            kinds = max(len(words.dictionary), 1)
+            at = np.repeat(np.arange(n_sent), np.diff(sentences.offsets.to_numpy()))
+            # One entry per (sentence, term); ``own`` numbers the (row, term) it belongs to.
+            entry, tf = np.unique(at * kinds + words.indices.to_numpy(), return_counts=True)
+            sent, term = entry // kinds, entry % kinds
+            _, own, df = np.unique(row[sent] * kinds + term, return_inverse=True, return_counts=True)
+            w = tf * (np.log((1.0 + per_row[row[sent]]) / (1.0 + df[own])) + 1.0)
+            sv = w / np.sqrt(np.bincount(sent, w * w, n_sent))[sent]
+            score = np.bincount(sent, sv * np.bincount(own, sv)[own], n_sent)
+            if method == "textrank":
+                degree, n = score, per_row[row].astype(float)
+                score = 1.0 / n
+                for _ in range(rounds):
+                    x = np.divide(score, degree, out=np.zeros(n_sent), where=degree > 0)
+                    back = np.bincount(own, sv * x[sent])
+                    score = (1.0 - damping) / n + damping * np.bincount(sent, sv * back[own], n_sent)
+            order = np.lexsort((np.arange(n_sent), -np.round(score, 9), row))
+            best = np.sort(order[np.arange(n_sent) - first[row] < top])  # ``order`` keeps each row's places together
+            return best - first[row[best]], np.minimum(per_row, top)
+
+        lengths = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        sentences = rows.flatten()
+        ends = np.cumsum(lengths)  # of rows, in sentences
+        offsets = np.asarray(sentences.offsets) if len(sentences) else np.zeros(1, np.int64)
+        before = offsets[ends] - offsets[0]  # tokens up to the end of each row
+        places, counts, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        while start < len(lengths):
+            done = before[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(before, done + slice_tokens, side="right")))
+            low = int(ends[start - 1]) if start else 0
+            part = sentences.slice(low, int(ends[stop - 1]) - low)
+            chosen, each = ranked(part, lengths[start:stop])
+            places.append(chosen)
+            counts.append(each)
+            start = stop
+        cuts = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(places), pa.int32()))
+
+    return F.arrow_udf(pick, "array<int>")
 
 
 def summarize(df: DataFrame, key: list[str], question: str = "question",
               answer: str = "answer", top: int = 3, method: str = "degree",
               out: str = "summary") -> DataFrame:
-    """One row per input row: (key, summary)."""
-    # An explicit partition count: the text is small in bytes next to the
-    # per-token rows made from it, so the exchange must not be coalesced
-    # down to a few tasks by input size.
+    """One row per key: (key, summary). (Of rows that share a key, the
+    summary that sorts last stays.)"""
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}")
+    # An explicit partition count: the text is small in bytes next to the work
+    # on it, so the exchange must not be coalesced down to a few tasks by
+    # input size.
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = (df.select(*key, qa_text(question, answer).alias("text"))
+    base = (df.select(*key, qa_text(question, answer).alias("_text"))
               .repartition(n_parts, *[F.col(k) for k in key]))
-    if method == "degree":
-        scored = _degree_ranked(base, key)
-    elif method == "textrank":
-        scored = _textrank_ranked(base, key)
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    # Blank pieces sort last and are never picked.
-    ranked = scored.withColumn("rk", F.row_number().over(
-        Window.partitionBy(*key).orderBy("blank", F.round("score", 9).desc(), "pos")))
-    pick = (F.col("rk") <= top) & ~F.col("blank")
-    return ranked.groupBy(*key).agg(
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(pick, F.struct("pos", "sentence")))),
-            lambda s: s["sentence"]), " ").alias(out))
+    pieces = F.transform(F.split(F.regexp_replace("_text", SENTENCE_BREAK, "$1\n"), "\n"), lambda x: F.trim(x))
+    picked = (base.select(*key, F.filter(pieces, lambda x: x != "").alias("_sentences"))
+                  .withColumn("_tokens", F.transform("_sentences", lambda x: tokens(x)))
+                  .withColumn("_picks", _picks(method, top)("_tokens")))
+    text = F.array_join(F.transform("_picks", lambda i: F.get("_sentences", i)), " ")
+    return picked.select(*key, text.alias(out)).groupBy(*key).agg(F.max(out).alias(out))
