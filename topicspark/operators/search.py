@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from topicspark.functions.text import IDF_ONE_OF_TWO, tokens, value_counts
 from topicspark.session import checkpoint_dir, scratch_path
@@ -51,26 +52,31 @@ def score_pairs(queries: DataFrame, lines: DataFrame, qkey: str = "qid",
     (qid, lkey..., carry..., score).
 
     J5 is the join of line terms with the (broadcast) query terms. Lines are
-    hash-partitioned on their key once; the per-line sums and the
-    per-(query, line) aggregate all reuse that partitioning."""
+    hash-partitioned on their key once. Up to ``MAX_PUSHDOWN_TERMS`` query
+    terms go to the tasks, where each line is scored against all queries; more
+    are joined, and the per-line sums and the per-(query, line) aggregate
+    reuse the lines' partitioning."""
     lkey = lkey or ["topic", "chunk_start", "chunk_end", "line_no"]
     carry = [c for c in (carry if carry is not None else [ltext, "row_id"]) if c in lines.columns]
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
     qtc = term_counts(queries, [qkey], qtext)
-    qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
-             .select(qkey, "term", F.col("cnt").alias("q"), "Q2"))
     # An explicit partition count: the lines are small in bytes but the
     # pairs built from them are many, so the shuffle must not be coalesced
     # into a few tasks.
     n_parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ltc = (lines.repartition(n_parts, *[F.col(k) for k in lkey])
-                .select(*lkey, *carry, F.explode(tokens(ltext)).alias("term"))
+    dealt = lines.repartition(n_parts, *[F.col(k) for k in lkey])
+    bound = min(MAX_BROADCAST_TERMS, MAX_PUSHDOWN_TERMS)
+    asked = qtc.limit(bound + 1).collect() if n_queries is None or n_queries <= bound else None
+    if asked is not None and len(asked) <= bound:
+        return _scored_in_lines(asked, queries.schema[qkey], dealt, lkey, carry, ltext)
+    qt = (qtc.withColumn("Q2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(qkey)))
+             .select(qkey, "term", F.col("cnt").alias("q"), "Q2"))
+    ltc = (dealt.select(*lkey, *carry, F.explode(tokens(ltext)).alias("term"))
                 .groupBy(*lkey, *carry, "term").agg(F.count(F.lit(1)).alias("cnt"))
                 .withColumn("D2", F.sum(F.col("cnt") * F.col("cnt")).over(Window.partitionBy(*lkey))))
-    if n_queries is None:
-        n_queries = queries.count()
     # The query-term table has at most (terms per query) x queries rows;
     # count it when the query count allows, broadcast it when small.
+    n_queries = queries.count() if n_queries is None else n_queries
     n_terms = qt.count() if n_queries <= MAX_BROADCAST_TERMS else MAX_BROADCAST_TERMS + 1
     qside = F.broadcast(qt) if n_terms <= MAX_BROADCAST_TERMS else qt
     # Per-line values ride along as first(): they are constant per group and
@@ -87,6 +93,79 @@ def score_pairs(queries: DataFrame, lines: DataFrame, qkey: str = "qid",
                         .alias("score"))
 
 
+#: Pairs that a task holds at a time, and that an Arrow batch of them has.
+SLICE_PAIRS = 200_000
+
+
+def _scored_in_lines(asked: list, qfield: StructField, lines: DataFrame, lkey: list[str], carry: list[str], ltext: str) -> DataFrame:
+    """``score_pairs`` for a bounded list of query terms (qid, term, cnt):
+    each line meets all queries inside its task, so that no row is made per
+    shared term and no group per pair. Lines that share a key count as one."""
+    spark = lines.sparkSession
+    qids = list(dict.fromkeys(r[0] for r in asked))
+    whole = (lines.groupBy(*lkey).agg(*[F.first(c).alias(f"_c{i}") for i, c in enumerate(carry)],
+                                      F.concat_ws(" ", F.collect_list(ltext)).alias("_text"))
+                  .select(*lkey, *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], tokens("_text").alias("_tokens")))
+    out = StructType(whole.schema.fields[:-1]).add("_q", IntegerType()).add("score", DoubleType())
+    names = spark.createDataFrame(list(enumerate(qids)), StructType().add("_q", IntegerType()).add(qfield))
+    pairs = whole.mapInArrow(_pair_scores(asked, qids), out)
+    return pairs.join(F.broadcast(names), "_q").select(qfield.name, *lkey, *carry, "score")  # a row per query
+
+
+def _pair_scores(asked: list, qids: list):
+    """Arrow function: lines with their tokens -> a row for each (line, query)
+    that share a term. One nested function, for executors without this package."""
+    at = {q: i for i, q in enumerate(qids)}
+    postings = sorted((r[1], at[r[0]], r[2]) for r in asked)
+    terms = list(dict.fromkeys(t for t, _, _ in postings))
+    slice_pairs, c2 = SLICE_PAIRS, IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
+
+    def scores(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        n_q, n_terms = len(qids), len(terms)
+        number = {t: i for i, t in enumerate(terms)}
+        of_query = np.array([q for _, q, _ in postings], np.int64)
+        weight = np.array([c for _, _, c in postings], np.int64)
+        held = np.bincount([number[t] for t, _, _ in postings], minlength=n_terms) if terms else np.zeros(0, np.int64)
+        start = np.cumsum(held) - held
+        q2 = np.bincount(of_query, weight * weight, n_q)
+        vocabulary = pa.array(terms, pa.string())
+        step = max(1, slice_pairs // max(n_q, 1))
+
+        def scored(rows):
+            words = rows.column("_tokens")
+            size = pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False)
+            coded = words.flatten().dictionary_encode()
+            kinds = max(len(coded.dictionary), 1)
+            line = np.repeat(np.arange(len(rows)), size)
+            entry, cnt = np.unique(line * kinds + coded.indices.to_numpy(), return_counts=True)
+            line, kind = entry // kinds, entry % kinds
+            d2 = np.bincount(line, cnt * cnt, len(rows))
+            known = pc.index_in(coded.dictionary.cast(pa.string()), value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
+            term = known[kind] if len(kind) else kind
+            line, cnt, term = line[term >= 0], cnt[term >= 0], term[term >= 0]
+            # Each shared term once for each query that has it.
+            many = held[term]
+            first = np.cumsum(many) - many
+            posting = np.arange(many.sum()) + np.repeat(start[term] - first, many)
+            pair, cnt, q = np.repeat(line, many) * n_q + of_query[posting], np.repeat(cnt, many), weight[posting]
+            dot, sq, sd = (np.bincount(pair, x, len(rows) * n_q) for x in (q * cnt, q * q, cnt * cnt))
+            hit = np.flatnonzero(sq)
+            dot, sq, sd, line, query = dot[hit], sq[hit], sd[hit], hit // n_q, hit % n_q
+            score = dot / (np.sqrt(sq + c2 * (q2[query] - sq)) * np.sqrt(sd + c2 * (d2[line] - sd)))
+            kept = rows.select([c for c in rows.schema.names if c != "_tokens"]).take(pa.array(line))
+            return pa.RecordBatch.from_arrays([*kept.columns, pa.array(query, pa.int32()), pa.array(score)],
+                                              names=[*kept.schema.names, "_q", "score"])
+
+        for batch in batches:
+            for low in range(0, len(batch) if n_q else 0, step):
+                yield scored(batch.slice(low, step))
+    return scores
+
+
 def candidate_share(threshold: float) -> float:
     """The share of a query's squared weight Q2 that the terms shared with a
     line must exceed for a score above ``threshold``.

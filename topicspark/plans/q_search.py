@@ -49,7 +49,7 @@ def f9_summary_lines(spark: SparkSession, sf: str) -> DataFrame:
 def t1_similarity(spark: SparkSession, sf: str) -> DataFrame:
     """TF-IDF cosine of every benchmark item against every summary line sharing a term."""
     _, ci = _index(spark, sf)
-    return score_pairs(fx.queries(spark, sf), summary_lines(ci)).select(
+    return score_pairs(fx.queries(spark, sf), summary_lines(ci), carry=[]).select(
         "qid", "topic", "chunk_start", "chunk_end", "line_no", "score")
 
 
