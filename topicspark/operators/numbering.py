@@ -73,7 +73,9 @@ def number_rows(df: DataFrame, by: list[str], order: list[Column | str],
                     _same(keys, "s") + [F.col("_ts_b") == F.col("_ts_bs")])
               .select(*[F.col(k).alias(k + "p") for k in keys + okeys], "_ts_b",
                       (F.col("_ts_off") + F.col("_ts_in") + 1).alias("_ts_first")))
-    out = base.join(placed, _same(keys + okeys, "p"))
+    # Neither side is small here, whatever the planner makes of a file's size: a
+    # broadcast would send the whole table through the driver.
+    out = base.hint("merge").join(placed.hint("merge"), _same(keys + okeys, "p"))
     if size["same"] > 1:
         alike = Window.partitionBy(*keys, *okeys).orderBy(F.lit(0))
         out = out.withColumn("_ts_first", F.col("_ts_first") + F.row_number().over(alike) - 1)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicspark.operators.chunks import (
-    DEFAULT_CHUNK_SIZE, assign_chunks, build_chunk_index, chunk_bounds, fold_chunks, ids_dense_from_one, index_ids,
+    DEFAULT_CHUNK_SIZE, assign_chunks, build_chunk_index, fold_chunks, ids_dense_from_one, index_ids,
 )
-from topicspark.operators.keywords import keyword_index, keyword_maps
+from topicspark.operators.keywords import keyword_chunks
 from topicspark.operators.numbering import running_offsets
 from topicspark.operators.summarize import summarize
 from topicspark.session import scratch_path
@@ -26,9 +26,7 @@ def plan_keyword_index(rows: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE,
                        chunk_counts: DataFrame | None = None) -> DataFrame:
     """Index rows whose summary is the chunk's keyword map as JSON, of
     ``rows`` (topic, id, keywords); a chunk without keywords has ``{}``."""
-    bounds = chunk_bounds(assign_chunks(rows.select("topic", "id"), chunk_size))
-    maps = keyword_maps(keyword_index(rows, chunk_size)).select("topic", "chunk", "keyword_json")
-    chunks = bounds.join(maps, ["topic", "chunk"], "left")
+    chunks = keyword_chunks(rows, chunk_size)
     return index_ids(chunks, topic_order, chunk_counts).select(
         "id", F.col("chunk_start").alias("chunkStart"), F.col("chunk_end").alias("chunkEnd"), "topic",
         F.coalesce("keyword_json", F.lit("{}")).alias("summary"),
