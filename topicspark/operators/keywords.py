@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicspark.functions.text import keyword_map_json, render_keyword_map, tokens, value_counts
+from topicspark.functions.text import keyword_map_json, render_keyword_map, tokens
 from topicspark.operators.chunks import assign_chunks
 from topicspark.session import scratch_path
 
@@ -30,6 +30,51 @@ def keyword_maps(index: DataFrame) -> DataFrame:
                             keyword_map_json("entries").alias("keyword_json"))
 
 
+#: Tokens whose phrases are counted at a time (a row is never cut).
+SLICE_TOKENS = 500_000
+
+
+def _phrase_counts():
+    """Arrow function: the tokens of a row -> its distinct 1- and 2-word
+    phrases with their counts. One nested function, for executors without this
+    package."""
+    slice_tokens = SLICE_TOKENS
+
+    def counts(rows):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def counted(words, size):
+            """(phrase, tf, phrases of each row) of rows of ``size`` tokens."""
+            coded = words.dictionary_encode()
+            kinds, code = max(len(coded.dictionary), 1), coded.indices.to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(size)), size)
+            one, tf1 = np.unique(row * kinds + code, return_counts=True)
+            pair = row[1:] == row[:-1]
+            two, tf2 = np.unique((row[:-1] * kinds + code[:-1])[pair] * kinds + code[1:][pair], return_counts=True)
+            name = lambda at: coded.dictionary.take(pa.array(at))
+            phrases = pa.concat_arrays([name(one % kinds), pc.binary_join_element_wise(name(two // kinds % kinds), name(two % kinds), " ")])
+            owner = np.concatenate([one // kinds, two // kinds // kinds])
+            order = np.argsort(owner, kind="stable")
+            return phrases.take(pa.array(order)), np.concatenate([tf1, tf2])[order], np.bincount(owner, minlength=len(size))
+
+        size = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        words, ends = rows.flatten(), np.cumsum(size)
+        done, parts = 0, [(pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        while done < len(size):
+            low = int(ends[done - 1]) if done else 0
+            stop = max(done + 1, int(np.searchsorted(ends, low + slice_tokens, side="right")))
+            parts.append(counted(words.slice(low, int(ends[stop - 1]) - low), size[done:stop]))
+            done = stop
+        phrase, tf, each = zip(*parts)
+        cuts = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(each))]), pa.int32())
+        found = pa.StructArray.from_arrays([pa.concat_arrays(phrase), pa.array(np.concatenate(tf), pa.int64())], names=["phrase", "tf"])
+        return pa.ListArray.from_arrays(cuts, found)
+
+    return F.arrow_udf(counts, "array<struct<phrase: string, tf: bigint>>")
+
+
 def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> DataFrame:
     """Top ``top`` 1- and 2-word phrases per row by corpus TF-IDF:
     score = tf * (ln((1 + N) / (1 + df)) + 1), N = rows, df = rows holding
@@ -47,14 +92,10 @@ def keyphrases(docs: DataFrame, key: list[str], text: str, top: int = 5) -> Data
     in most rows is a hot key: both sides come from files and end in a shuffle
     of their own, which is what the adaptive skew-join split needs."""
     spark = docs.sparkSession
-    t = F.col("_toks")
-    bigrams = F.transform(F.sequence(F.lit(2), F.greatest(F.size(t), F.lit(2))),
-                          lambda i: F.concat_ws(" ", F.try_element_at(t, i - 1), F.try_element_at(t, i)))
-    grams = F.when(F.size(t) >= 2, F.concat(t, bigrams)).otherwise(t)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = (docs.select(*key, text).repartition(n_parts, *[F.col(k) for k in key])
                    .select(*key, tokens(text).alias("_toks"))
-                   .select(*key, value_counts(grams, "phrase", "tf").alias("counts")))
+                   .select(*key, _phrase_counts()("_toks").alias("counts")))
     path = scratch_path(spark, "phrases")
     counted.write.parquet(path + "/tf")
     tf = spark.read.schema(counted.schema).parquet(path + "/tf")
