@@ -13,8 +13,10 @@ No shared term gives 0, so an inner join of line terms and query terms
 loses nothing for thresholds >= 0. Query terms are a small table (bounded by
 the query texts); they are broadcast when their checked size allows.
 
-Above a threshold only candidate lines are scored: see ``candidate_share``
-and ``index_candidates``. ``score_pairs`` (T1) gives the scores of all pairs.
+A stored index scores only candidate lines where the queries' postings are few
+(see ``candidate_share`` and ``index_candidates``); a broad batch of queries is
+scored by one pass over the lines, inside their tasks, from which only hits
+come out. ``score_pairs`` (T1) gives the scores of all pairs.
 """
 
 from __future__ import annotations
@@ -101,20 +103,38 @@ def _scored_in_lines(asked: list, qfield: StructField, lines: DataFrame, lkey: l
     """``score_pairs`` for a bounded list of query terms (qid, term, cnt):
     each line meets all queries inside its task, so that no row is made per
     shared term and no group per pair. Lines that share a key count as one."""
-    spark = lines.sparkSession
-    qids = list(dict.fromkeys(r[0] for r in asked))
     whole = (lines.groupBy(*lkey).agg(*[F.first(c).alias(f"_c{i}") for i, c in enumerate(carry)],
                                       F.concat_ws(" ", F.collect_list(ltext)).alias("_text"))
                   .select(*lkey, *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], tokens("_text").alias("_tokens")))
-    out = StructType(whole.schema.fields[:-1]).add("_q", IntegerType()).add("score", DoubleType())
-    names = spark.createDataFrame(list(enumerate(qids)), StructType().add("_q", IntegerType()).add(qfield))
-    pairs = whole.mapInArrow(_pair_scores(asked, qids), out)
-    return pairs.join(F.broadcast(names), "_q").select(qfield.name, *lkey, *carry, "score")  # a row per query
+    return _scored(asked, qfield, whole)
+
+
+def _scored(asked: list, qfield: StructField, lines: DataFrame, threshold: float | None = None) -> DataFrame:
+    """(qid, the columns of ``lines``, score) of lines whose last column is
+    ``_tokens``: all pairs that share a term, or those above ``threshold``."""
+    qids = list(dict.fromkeys(r[0] for r in asked))
+    kept = lines.columns[:-1]
+    out = StructType(lines.schema.fields[:-1]).add("_q", IntegerType()).add("score", DoubleType())
+    names = lines.sparkSession.createDataFrame(list(enumerate(qids)), StructType().add("_q", IntegerType()).add(qfield))
+    pairs = lines.mapInArrow(_pair_scores(asked, qids, threshold), out)
+    return pairs.join(F.broadcast(names), "_q").select(qfield.name, *kept, "score")  # a row per query
+
+
+def _lines_above(asked: list, qfield: StructField, lines: DataFrame, threshold: float) -> DataFrame:
+    """(qid, line key..., row_id, row_text, score) of the lines above
+    ``threshold``, from one pass over the lines: each is scored against all
+    query terms (qid, term, cnt) inside its task, and only hits leave it. As
+    in the stored index, lines and queries without a whole key take no part."""
+    n_parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.dropna(subset=LINE_KEY).repartition(n_parts, *LINE_KEY)  # few bytes, much work
+    return _scored([r for r in asked if r[0] is not None], qfield,
+                   dealt.select(*LINE_KEY, "row_id", "row_text", tokens("row_text").alias("_tokens")), threshold)
 
 
-def _pair_scores(asked: list, qids: list):
+def _pair_scores(asked: list, qids: list, threshold: float | None = None):
     """Arrow function: lines with their tokens -> a row for each (line, query)
-    that share a term. One nested function, for executors without this package."""
+    that share a term (and score above ``threshold``, if there is one). One
+    nested function, for executors without this package."""
     at = {q: i for i, q in enumerate(qids)}
     postings = sorted((r[1], at[r[0]], r[2]) for r in asked)
     terms = list(dict.fromkeys(t for t, _, _ in postings))
@@ -156,6 +176,8 @@ def _pair_scores(asked: list, qids: list):
             hit = np.flatnonzero(sq)
             dot, sq, sd, line, query = dot[hit], sq[hit], sd[hit], hit // n_q, hit % n_q
             score = dot / (np.sqrt(sq + c2 * (q2[query] - sq)) * np.sqrt(sd + c2 * (d2[line] - sd)))
+            if threshold is not None:
+                line, query, score = (x[score > threshold] for x in (line, query, score))
             kept = rows.select([c for c in rows.schema.names if c != "_tokens"]).take(pa.array(line))
             return pa.RecordBatch.from_arrays([*kept.columns, pa.array(query, pa.int32()), pa.array(score)],
                                               names=[*kept.schema.names, "_q", "score"])
@@ -184,8 +206,15 @@ def relevant_lines(queries: DataFrame, lines: DataFrame, threshold: float = DEFA
     """Lines scoring strictly above ``threshold``:
     (qid, topic, chunk_start, chunk_end, line_no, row_text, row_id, score).
 
-    The lines are stored as a search index in the scratch folder first, so
-    that only candidate lines are scored (see ``index_candidates``)."""
+    Up to ``MAX_PUSHDOWN_TERMS`` query terms go to the tasks, where each line
+    is scored once: an index read by one batch of queries would cost more to
+    write than it saves. For more terms the lines are stored as a search index
+    in the scratch folder, and candidate lines are scored (see
+    ``index_candidates``)."""
+    asked = term_counts(queries, [qkey], qtext).limit(MAX_PUSHDOWN_TERMS + 1).collect()
+    if len(asked) <= MAX_PUSHDOWN_TERMS:
+        return _lines_above(asked, queries.schema[qkey], lines, threshold).select(
+            qkey, *LINE_KEY, "row_text", "row_id", "score")
     base = scratch_path(lines.sparkSession, "lines")
     store_lines(lines, base + "/terms", base + "/lines")
     found = index_candidates(queries, base + "/terms", threshold, qkey, qtext)
@@ -271,6 +300,8 @@ MAX_FEW = 5000
 #: Of the share that commoner terms may have, so much is dropped: the less, the sharper is the candidates' bound.
 DROPPED = 0.75
 BUCKETS_PER_TASK = 4
+#: A batch of queries with more postings than so many for each stored line is scored by one pass over the lines.
+SCAN_POSTINGS = 50
 LINE_KEY = ["topic", "chunk_start", "chunk_end", "line_no"]
 # Stated, as an empty index has no file to tell them and a topic may look like a number.
 TERMS = ("chunk_start long, chunk_end long, line_no int, term string, row_id int, cnt long, D2 long, "
@@ -308,22 +339,23 @@ def write_search_index(chunk_index: DataFrame, terms_path: str, lines_path: str)
 
 def store_lines(lines: DataFrame, terms_path: str, lines_path: str) -> None:
     """Store the line texts (partitioned by topic), the term table (in
-    ``BUCKETS_PER_TASK`` buckets of the term for each shuffle partition) and
-    the number of lines of each term.
+    buckets of the term) and the number of lines of each term.
 
-    Writers take (a run of buckets, salt of the line): a term that most lines
-    hold is spread over the writers of its buckets, and a sampling pass over
-    the tokenised lines isn't needed."""
+    Writers take (a run of ``BUCKETS_PER_TASK`` buckets, salt of the line): a
+    term that most lines hold is spread over the writers of its buckets, and a
+    sampling pass over the tokenised lines isn't needed. A writer has a file
+    for each of its buckets, so files grow with the shuffle partitions alone."""
     from topicspark.sources.store import cluster_for_write
     spark = lines.sparkSession
     (cluster_for_write(lines.select(*LINE_KEY, "row_id", "row_text"), LINE_KEY)
           .write.mode("overwrite").option("partitionOverwriteMode", "static")  # topics that left the index go
           .partitionBy("topic").parquet(lines_path))
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets = n_parts * BUCKETS_PER_TASK
     salts = max(1, round(n_parts ** 0.5))
     runs = -(-n_parts // salts)
-    (line_term_table(spark_lines(spark, lines_path))
+    n_buckets = runs * BUCKETS_PER_TASK
+    # Dealt out first: the texts are few bytes next to the work of counting their words.
+    (line_term_table(spark_lines(spark, lines_path).repartition(n_parts, *LINE_KEY))
         .withColumn("of", F.lit(n_buckets)).withColumn("bucket", term_bucket(n_buckets))
         .repartition(n_parts, F.floor(F.col("bucket") * F.lit(runs) / F.lit(n_buckets)),
                      F.pmod(F.xxhash64(*LINE_KEY), F.lit(salts)))
@@ -387,8 +419,43 @@ def _split_frames(terms: DataFrame, counts: DataFrame, qkey: str, share: float)
     return kept, left  # a list holds terms of one query
 
 
+@dataclass
+class Asked:
+    terms: list | None  # (qid, term, q, bucket) of all queries, where they pass through the driver
+    lines_of: dict      # lines that hold each of their terms, by the stored counts
+    rows: list          # ``_split_terms`` of them
+    left: dict
+
+    @property
+    def postings(self) -> int:
+        """Rows of the kept terms' postings, once for each query that has the term."""
+        return sum(self.lines_of.get(r[1], 0) for r in self.rows)
+
+
+def _terms_of(queries: DataFrame, of: int, qkey: str, qtext: str) -> DataFrame:
+    return term_counts(queries, [qkey], qtext).select(qkey, "term", F.col("cnt").alias("q"), term_bucket(of).alias("bucket"))
+
+
+def ask(queries: DataFrame, terms_path: str, threshold: float = DEFAULT_THRESHOLD,
+        qkey: str = "qid", qtext: str = "query") -> Asked:
+    """The queries' terms with their line counts, in two small jobs;
+    ``terms`` is None where there are more than ``MAX_PUSHDOWN_TERMS``."""
+    spark = queries.sparkSession
+    stored = _partition_value(spark, terms_path, "of")  # no folder: no postings
+    asked = _terms_of(queries, int(stored or 1), qkey, qtext).limit(MAX_PUSHDOWN_TERMS + 1).collect()
+    if len(asked) > MAX_PUSHDOWN_TERMS:
+        return Asked(None, {}, [], {})
+    buckets, lines_of = {r.term: r.bucket for r in asked}, {}
+    if buckets and stored:
+        known = _of_terms(spark.read.schema(COUNTS).parquet(counts_path(terms_path)), buckets).select("term", "df")
+        if len(buckets) > MAX_LITERALS:
+            known = known.join(F.broadcast(spark.createDataFrame([(t,) for t in buckets], "term string")), "term")
+        lines_of = dict(known.collect())
+    return Asked(asked, lines_of, *_split_terms(asked, lines_of, candidate_share(threshold) * DROPPED))
+
+
 def index_candidates(queries: DataFrame, terms_path: str, threshold: float = DEFAULT_THRESHOLD,
-                     qkey: str = "qid", qtext: str = "query") -> Candidates:
+                     qkey: str = "qid", qtext: str = "query", asked: Asked | None = None) -> Candidates:
     """Every (query, line) that can score above ``threshold``, from the
     postings of the queries' rarer terms alone.
 
@@ -398,31 +465,22 @@ def index_candidates(queries: DataFrame, terms_path: str, threshold: float = DEF
     lines found, the shared weight of the kept terms bounds the score, with
     all that the dropped ones could add (Cauchy again); only lines whose bound
     is above the threshold are candidates. Queries of up to
-    ``MAX_PUSHDOWN_TERMS`` terms pass through the driver (two small jobs: the
-    terms, and their line counts); more are joined."""
+    ``MAX_PUSHDOWN_TERMS`` terms pass through the driver (``ask``); more are
+    joined."""
     spark = queries.sparkSession
-    share = candidate_share(threshold) * DROPPED
-    stored = _partition_value(spark, terms_path, "of")  # no folder: no postings
-    terms = term_counts(queries, [qkey], qtext).select(
-        qkey, "term", F.col("cnt").alias("q"), term_bucket(int(stored or 1)).alias("bucket"))
+    asked = asked or ask(queries, terms_path, threshold, qkey, qtext)
     kinds = f"{qkey} {queries.schema[qkey].dataType.simpleString()}"
-    postings, counts = (spark.read.schema(s).parquet(p) for s, p in ((TERMS, terms_path), (COUNTS, counts_path(terms_path))))
-    asked = terms.limit(MAX_PUSHDOWN_TERMS + 1).collect()
-    if len(asked) <= MAX_PUSHDOWN_TERMS:
-        buckets = {r.term: r.bucket for r in asked}
-        lines_of = {}
-        if buckets and stored:
-            known = _of_terms(counts, buckets).select("term", "df")
-            if len(buckets) > MAX_LITERALS:
-                known = known.join(F.broadcast(spark.createDataFrame([(t,) for t in buckets], "term string")), "term")
-            lines_of = dict(known.collect())
-        rows, left = _split_terms(asked, lines_of, share)
-        postings = _of_terms(postings, {r[1]: buckets[r[1]] for r in rows if r[1] in lines_of})
-        kept = F.broadcast(spark.createDataFrame(rows, f"{kinds}, term string, q long, Q2 long, dropped long"))
-        rest = F.broadcast(spark.createDataFrame(list(left.items()), f"{kinds}, left array<struct<term: string, q: bigint>>"))
+    postings = spark.read.schema(TERMS).parquet(terms_path)
+    if asked.terms is not None:
+        buckets = {r.term: r.bucket for r in asked.terms}
+        postings = _of_terms(postings, {r[1]: buckets[r[1]] for r in asked.rows if r[1] in asked.lines_of})
+        kept = F.broadcast(spark.createDataFrame(asked.rows, f"{kinds}, term string, q long, Q2 long, dropped long"))
+        rest = F.broadcast(spark.createDataFrame(list(asked.left.items()), f"{kinds}, left array<struct<term: string, q: bigint>>"))
     else:
-        kept, rest = _split_frames(terms, counts, qkey, share)
-    n_queries = len({r[0] for r in asked}) if len(asked) <= MAX_PUSHDOWN_TERMS else None
+        terms = _terms_of(queries, int(_partition_value(spark, terms_path, "of") or 1), qkey, qtext)
+        counts = spark.read.schema(COUNTS).parquet(counts_path(terms_path))
+        kept, rest = _split_frames(terms, counts, qkey, candidate_share(threshold) * DROPPED)
+    n_queries = len(asked.left) if asked.terms is not None else None
     c2 = IDF_ONE_OF_TWO * IDF_ONE_OF_TWO
     found = (postings.join(kept, "term").groupBy(qkey, *LINE_KEY)
                      .agg(*[F.first(c).alias(c) for c in ("row_id", "Q2", "D2", "dropped")],
@@ -434,7 +492,7 @@ def index_candidates(queries: DataFrame, terms_path: str, threshold: float = DEF
     bound = ((F.col("dot") + F.sqrt(F.col("dropped") * more))
              / (F.sqrt(sq + c2 * (F.col("Q2") - sq)) * F.sqrt(sd + c2 * (F.col("D2") - sd))))
     found = found.filter(bound > F.lit(threshold - 1e-9)).drop("dropped")
-    if len(asked) <= MAX_LITERALS:
+    if asked.terms is not None and len(asked.terms) <= MAX_LITERALS:
         few = found.limit(MAX_FEW + 1).collect()
         if len(few) <= MAX_FEW:
             return Candidates(F.broadcast(spark.createDataFrame(few, found.schema)), rest, few, n_queries)
@@ -490,6 +548,23 @@ def score_candidates(found: Candidates, lines_path: str, threshold: float = DEFA
                 .filter(F.col("score") > F.lit(threshold)))
 
 
+def stored_scores(queries: DataFrame, terms_path: str, lines_path: str, threshold: float = DEFAULT_THRESHOLD,
+                  qkey: str = "qid", qtext: str = "query") -> tuple[DataFrame, int | None]:
+    """(qid, line key..., row_id, row_text, score) of the stored lines above
+    ``threshold``, and the queries with a term (None where not known).
+
+    Candidates come from the postings, unless the queries have more than
+    ``SCAN_POSTINGS`` of them for each line: then a pass over the lines, each
+    scored inside its task, moves less than the postings would."""
+    asked = ask(queries, terms_path, threshold, qkey, qtext)
+    if asked.terms is not None:
+        lines = spark_lines(queries.sparkSession, lines_path)
+        if asked.postings > SCAN_POSTINGS * max(asked.lines_of.values(), default=0) and asked.postings > SCAN_POSTINGS * lines.count():
+            return _lines_above(asked.terms, queries.schema[qkey], lines, threshold), len(asked.left)
+    found = index_candidates(queries, terms_path, threshold, qkey, qtext, asked)
+    return score_candidates(found, lines_path, threshold, qkey), found.queries
+
+
 def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles: DataFrame,
                  k: int = DEFAULT_K, threshold: float = DEFAULT_THRESHOLD,
                  qkey: str = "qid", qtext: str = "query") -> DataFrame:
@@ -497,9 +572,9 @@ def search_index(queries: DataFrame, terms_path: str, lines_path: str, articles:
 
     Besides the job of the result, a search runs a few small ones: the
     queries' terms, their line counts, the candidates, and the hits."""
-    found = index_candidates(queries, terms_path, threshold, qkey, qtext)
-    hits = top_hits(score_candidates(found, lines_path, threshold, qkey), k, qkey)
-    n = queries.count() if found.queries is None else found.queries
+    scores, n = stored_scores(queries, terms_path, lines_path, threshold, qkey, qtext)
+    hits = top_hits(scores, k, qkey)
+    n = queries.count() if n is None else n
     return fetch_articles(hits, articles, k * n).select(
         qkey, "rank", "score", "row_text", "answer", "chunk_start", "chunk_end", "topic")
 
@@ -509,6 +584,6 @@ def index_hits(queries: DataFrame, terms_path: str, lines_path: str,
                qkey: str = "qid", qtext: str = "query") -> DataFrame:
     """Top-k lines per query from the stored search index:
     (qid, rank, score, row_text, row_id, line key...)."""
-    found = index_candidates(queries, terms_path, threshold, qkey, qtext)
-    return top_hits(score_candidates(found, lines_path, threshold, qkey), k, qkey).select(
+    scores, _ = stored_scores(queries, terms_path, lines_path, threshold, qkey, qtext)
+    return top_hits(scores, k, qkey).select(
         qkey, "rank", "score", "row_text", "row_id", *LINE_KEY)
