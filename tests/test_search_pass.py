@@ -1,4 +1,4 @@
-"""A broad batch of queries is one pass over the lines, and a stored index has few files."""
+"""A broad batch of queries is one pass over the lines, and a stored index has few files."""
 import glob
 import io
 import random
@@ -7,7 +7,9 @@ from contextlib import redirect_stdout
 
 import pytest
 
+from conftest import SF_SMALL
 from topicspark.operators import search
+from topicspark.plans import q_audit
 
 SCHEMA = "topic string, chunk_start long, chunk_end long, line_no int, row_text string, row_id int"
 
@@ -70,3 +72,8 @@ def test_files_of_the_index_grow_with_the_partitions(spark):
     buckets = glob.glob(base + "/terms/of=*/bucket=*")
     files = glob.glob(base + "/terms/of=*/bucket=*/*.parquet")
     assert len(buckets) <= 24 and len(files) <= 36 * search.BUCKETS_PER_TASK
+
+
+def test_words_of_a_line_are_counted_without_a_shuffle(spark):
+    p = plan(q_audit.j5_term_join(spark, SF_SMALL))
+    assert not any("Exchange hashpartitioning" in x and "term#" in x and "topic#" in x for x in p.splitlines()), p

@@ -161,7 +161,9 @@ def j5_term_join(spark: SparkSession, sf: str) -> DataFrame:
     _, ci = _index(spark, sf)
     lkey = ["topic", "chunk_start", "chunk_end", "line_no"]
     qt = term_counts(fx.queries(spark, sf), ["qid"], "query").withColumnRenamed("cnt", "q")
-    lt = term_counts(summary_lines(ci), lkey, "row_text")
+    # Dealt out by line before its words are rows: their counts then need no shuffle.
+    lines = summary_lines(ci).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *lkey)
+    lt = term_counts(lines, lkey, "row_text")
     return lt.join(bounded_broadcast(qt), "term").select("qid", *lkey, "term", "q", "cnt")
 
 
