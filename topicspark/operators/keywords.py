@@ -48,11 +48,16 @@ def _row_phrases():
         import numpy as np
 
         rows = max(len(size), 1)
-        row = np.repeat(np.arange(len(size)), size)
-        one, pair = code * (kinds + 1), row[1:] == row[:-1]
-        at = np.sort(np.concatenate([one * rows + row, ((one[:-1] + code[1:] + 1) * rows + row[:-1])[pair]]))
-        new = np.flatnonzero(np.diff(at, prepend=-1))
-        return (*np.divmod(at[new], rows), np.diff(new, append=len(at)))
+        row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        pair = row[1:] == row[:-1]
+        two = (code[:-1][pair] * (kinds + 1) + code[1:][pair] + 1) * rows + row[:-1][pair]
+        at = np.concatenate([code * (kinds + 1) * rows + row, two])
+        del row, pair, two  # the largest arrays of a block go as soon as they can
+        at.sort()
+        new = np.flatnonzero(np.append([True][:len(at)], at[1:] != at[:-1]))
+        tf = np.diff(new, append=len(at))
+        at = at[new]
+        return at // rows, (at % rows).astype(np.int32), tf
 
     return phrases
 
@@ -127,7 +132,17 @@ def _phrase_steps(top: int, n_rows: int, buckets: int):
         return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
 
     def one_by_one(batch):
-        return (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows))
+        """The rows of a batch; what one took is given back to the system before the next."""
+        import ctypes
+
+        import pyarrow as pa
+
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+            pa.default_memory_pool().release_unused()
+            if trim is not None:
+                trim(0)
 
     def coded(batches):
         """(key..., tokens) -> a block's keys, tokens of each row, word of each token, words in order."""
@@ -170,7 +185,7 @@ def _phrase_steps(top: int, n_rows: int, buckets: int):
             yield block(held)
 
     def opened(block):
-        """Its (words, tf, row, rows of each phrase, first word, second word, places of the phrases by bucket, phrases of each bucket)"""
+        """Its (words, first word, second word and rows of each phrase, places of the phrases by bucket, phrases of each bucket, row, tf)"""
         import zlib
 
         import numpy as np
@@ -180,13 +195,16 @@ def _phrase_steps(top: int, n_rows: int, buckets: int):
         words = pc.utf8_slice_codeunits(lines(unpack(block["words"])).view(pa.large_string()), 0, -1)
         kinds, size = len(words), unpack_numbers(block["sizes"])
         phrase, row, tf = found_in(unpack_numbers(block["codes"]), size, kinds)
-        starts = np.flatnonzero(np.diff(phrase, prepend=-1))
-        first, second = np.divmod(phrase[starts], kinds + 1)
+        starts = np.flatnonzero(np.append([True][:len(phrase)], phrase[1:] != phrase[:-1]))
+        held, phrase = np.diff(starts, append=len(phrase)), phrase[starts]
+        first, second = phrase // (kinds + 1), phrase % (kinds + 1)
+        del starts, phrase
         # The same words have the same bucket in every block; which one it is makes no difference.
         mark = np.fromiter(map(zlib.crc32, words.view(pa.large_binary()).to_pylist()), np.uint64, kinds)
         mixed = mark[first] * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([np.zeros(1, np.uint64), mark])[second]
         bucket = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) % np.uint64(buckets)
-        return words, tf, row, np.diff(starts, append=len(phrase)), first, second, np.argsort(bucket, kind="stable"), np.bincount(bucket.astype(np.int64), minlength=buckets)
+        bucket = bucket.astype(np.int32)
+        return words, first, second, held, np.argsort(bucket, kind="stable"), np.bincount(bucket, minlength=buckets), row, tf
 
     def names(words, first, second, end):
         """The phrases' texts, each with ``end`` behind it."""
@@ -204,7 +222,7 @@ def _phrase_steps(top: int, n_rows: int, buckets: int):
 
         for batch in batches:
             for block in one_by_one(batch):
-                words, _, _, held, first, second, order, each = opened(block)
+                words, first, second, held, order, each = opened(block)[:6]
                 text = names(words, first[order], second[order], "\n")
                 at = np.frombuffer(text.buffers()[1], np.int64)[text.offset:][:len(text) + 1] if len(text) else np.zeros(1, np.int64)
                 held, cuts, some = held[order], np.concatenate([[0], np.cumsum(each)]), np.flatnonzero(each)
@@ -235,11 +253,12 @@ def _phrase_steps(top: int, n_rows: int, buckets: int):
 
         for batch in batches:
             for at, block in enumerate(one_by_one(batch.drop_columns(["keys"]))):
-                words, tf, row, held, first, second, order, _ = opened(block)
+                words, first, second, held, order, _, row, tf = opened(block)
                 df = np.empty(len(order), np.int64)
                 df[order] = np.concatenate([unpack_numbers(x["dfs"]) for x in sorted(block["dfs"], key=lambda x: x["bucket"])])
-                phrase = np.repeat(np.arange(len(df)), held)
-                score = tf * (np.log((1 + n_rows) / (1 + df)) + 1)[phrase]
+                phrase = np.repeat(np.arange(len(df), dtype=np.int32), held)
+                score = (np.log((1 + n_rows) / (1 + df)) + 1)[phrase]
+                score *= tf
                 keys = batch.column("keys")[at].values
                 by_row = np.lexsort((-score, row))
                 starts = np.searchsorted(row[by_row], np.arange(len(keys) + 1))
